@@ -81,27 +81,30 @@ def downscale_mortality(
     years: Sequence[int],
     final_year: int = FINAL_REPORT_YEAR,
 ) -> DataFrame:
-    """Macro-region deaths to model regions: (scenario, model_region, year, mort).
+    """Macro-region deaths to model regions: (scenario, [cause,] model_region, year, mort).
 
     Deaths are split by population share and rounded half-even per country, then summed. ``regions``:
-    (country, model_region). Every share needs deaths in every scenario; rather than crossing shares with
-    scenarios, the scenarios per macro-region and year are counted and compared with their number.
+    (country, model_region). Every share needs deaths in every scenario (and cause); rather than crossing
+    shares with scenarios, the scenarios per macro-region and year are counted and compared with their
+    number. ``mort`` is one row per scenario, region and year, read three times: stage it if it is costly.
     """
+    dims = [c for c in mort.columns if c not in ("region", "year", "mort")]
     wanted = shares.filter(F.col("year").isin(*years) & (F.col("year") <= final_year))
-    n = mort.select("scenario").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
-    counted = mort.groupBy("region", "year").agg(F.count(F.lit(1)).alias("n_scenarios"))
+    n = mort.select(*dims).distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
+    counted = mort.groupBy("region", "year").agg(F.count(F.lit(1)).alias("n_runs"))
     wanted = strict_left_join(
         wanted.withColumnRenamed("macro_region", "region"), counted, ["region", "year"]
     )
     message = F.concat(
         F.lit("a scenario has no deaths for "), F.to_json(F.struct("region", "year"))
     )
-    covered = F.when(F.col("n_scenarios") != n, F.raise_error(message)).otherwise(F.lit(True))
-    split = inner_join(wanted.filter(covered).drop("n_scenarios"), mort, ["region", "year"]).select(
-        "scenario", "country", "year", F.bround(F.col("mort") * F.col("share"), 0).alias("mort")
+    covered = F.when(F.col("n_runs") != n, F.raise_error(message)).otherwise(F.lit(True))
+    placed = strict_left_join(
+        wanted.filter(covered).drop("n_runs"), regions.select("country", "model_region"), ["country"]
     )
-    placed = strict_left_join(split, regions.select("country", "model_region"), ["country"])
-    return sum_by(placed, ["scenario", "model_region", "year"], "mort")
+    split = inner_join(placed, mort, ["region", "year"])
+    split = split.withColumn("mort", F.bround(F.col("mort") * F.col("share"), 0))
+    return sum_by(split, [*dims, "model_region", "year"], "mort")
 
 
 def total_mortality(*causes: DataFrame) -> DataFrame:
@@ -109,23 +112,26 @@ def total_mortality(*causes: DataFrame) -> DataFrame:
     return sum_by(union_by_name(*causes), ["scenario", "model_region", "year"], "mort")
 
 
-def health(
+def deaths_by_cause(
     pm25: DataFrame,
     o3: DataFrame,
-    shares: DataFrame,
-    regions: DataFrame,
-    years: Sequence[int],
-    final_year: int = FINAL_REPORT_YEAR,
     pm25_value: str = "GBD",
     o3_value: str = "Jerret2009",
     merged: tuple[str, str] = MERGED_REGION,
 ) -> DataFrame:
-    """Deaths from both pollutants by model region, for all scenarios at once."""
-    return total_mortality(
-        *[
-            downscale_mortality(
-                regional_deaths(df, value, merged), shares, regions, years, final_year
-            )
-            for df, value in ((pm25, pm25_value), (o3, o3_value))
-        ]
+    """Macro-region deaths of both pollutants: (scenario, cause, region, year, mort)."""
+    return union_by_name(
+        regional_deaths(pm25, pm25_value, merged).withColumn("cause", F.lit("PM2.5")),
+        regional_deaths(o3, o3_value, merged).withColumn("cause", F.lit("O3")),
     )
+
+
+def health(
+    deaths: DataFrame,
+    shares: DataFrame,
+    regions: DataFrame,
+    years: Sequence[int],
+    final_year: int = FINAL_REPORT_YEAR,
+) -> DataFrame:
+    """Deaths from both pollutants by model region; all scenarios and causes in one pass."""
+    return total_mortality(downscale_mortality(deaths, shares, regions, years, final_year))

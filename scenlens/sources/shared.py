@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 _local_default: dict[str, str] = {}
 
@@ -31,3 +34,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def literal_table(spark: SparkSession, rows: Iterable[Sequence], ddl: str) -> DataFrame:
+    """A small lookup written into the plan itself, so Spark knows its size and broadcasts it unasked."""
+    fields = StructType.fromDDL(ddl).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, row, strict=True)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -370,9 +370,11 @@ ORACLES = {
         LEFT JOIN (SELECT * FROM obs WHERE value > 480000) o ON s.region = o.region AND s.year = o.year
         GROUP BY 1, 2"""),
     "numeric_sums": _with("service", f"""
-        SELECT technology, {r('sum(demand)', 4, 'demand')}, {r('sum(discount)', 4, 'discount')},
-               {r('avg(demand)', 4, 'mean_demand')}
+        SELECT technology, {r('sum(demand)', 4, 'demand')}, {r('sum(discount)', 4, 'discount')}
         FROM service WHERE technology LIKE 'S%' GROUP BY 1"""),
+    "means": _with("service", f"""
+        SELECT scenario, year, {r('avg(cost)', 8, 'cost')}, {r('avg(discount)', 8, 'discount')}
+        FROM service GROUP BY 1, 2"""),
     "scenario_parse": _with("obs", """
         SELECT DISTINCT 'study_' || w || decile || '_' || super_region AS scenario,
                'study_' || w || decile AS adj, decile AS gt,

@@ -19,7 +19,7 @@ from scenlens.operators.aggregation import (
     sum_numeric_by,
     weighted_ratio,
 )
-from scenlens.operators.joins import natural_inner_join, natural_left_join, strict_left_join
+from scenlens.operators.joins import natural_left_join, strict_left_join
 from scenlens.operators.reshape import (
     complete,
     duplicate_member,
@@ -35,7 +35,7 @@ from scenlens.operators.spatial import point_in_polygon
 from scenlens.plans import compare as C
 from scenlens.plans import economy, food, health, land, water
 from scenlens.sources import catalog, files
-from scenlens.sources.shared import new_folder, staged
+from scenlens.sources.shared import literal_table, new_folder, staged
 from scenlens.workload.views import (
     BASELINE,
     FOOD_TYPES,
@@ -86,7 +86,7 @@ def gdp_per_capita(v: Views) -> DataFrame:
 
 @query(8)
 def population_weights(v: Views) -> DataFrame:
-    return economy.population_weights(v.pop())
+    return economy.population_weights(staged(v.pop(), "pop"))
 
 
 @query()
@@ -99,7 +99,7 @@ def gdp_per_capita_world(v: Views) -> DataFrame:
 
 @query(4)
 def label_rewrite(v: Views) -> DataFrame:
-    rows = catalog.rewrite_labels(v.service().select("technology", "demand"), "technology", TYPE_GROUPS)
+    rows = catalog.rewrite_labels(v.lines().select("technology", "demand"), "technology", TYPE_GROUPS)
     return sum_by(rows, ["technology"], "demand")
 
 
@@ -186,6 +186,7 @@ def merge_projects_keep_first(v: Views) -> DataFrame:
 @query(4)
 def complete_years(v: Views) -> DataFrame:
     cells = v.obs().groupBy("scenario", "region", "title", "year").agg(F.sum("value").alias("demand"))
+    cells = staged(cells, "cells")
     years = (*range(1994, 2000), 2005)
     return complete(cells, ["scenario", "region", "title"], years, {"demand": 0.0})
 
@@ -201,7 +202,7 @@ def strict_join(v: Views) -> DataFrame:
 def natural_left_join_strict_sum(v: Views) -> DataFrame:
     """A group with one ungrouped part type has an unknown total."""
     pairs = [(k, float(len(g))) for k, g in TYPE_GROUPS.items()]
-    factors = v.spark.createDataFrame(pairs, "technology string, factor double")
+    factors = literal_table(v.spark, pairs, "technology string, factor double")
     rows = natural_left_join(
         v.service().select("region", "year", "decile", "flag", "technology", "demand"), factors
     )
@@ -212,7 +213,7 @@ def natural_left_join_strict_sum(v: Views) -> DataFrame:
 @query(8)
 def share_of_group(v: Views) -> DataFrame:
     cells = v.obs().groupBy("scenario", "region", "year").agg(F.sum("value").alias("value"))
-    return share_of_total(cells, ["scenario", "year"], "value", "share").drop("value")
+    return share_of_total(staged(cells, "cells"), ["scenario", "year"], "value", "share").drop("value")
 
 
 @query(8)
@@ -227,7 +228,7 @@ def weighted_ratios(v: Views) -> DataFrame:
 def calibrated(v: Views) -> DataFrame:
     observed = v.nations().select("region", (F.col("n_nationkey") + 100.0).alias("seen"))
     return calibrate(
-        v.gdp(), observed, ["scenario", "region"], ["region"], "value", "seen", 1998, "scaled", "factor"
+        staged(v.gdp(), "gdp"), observed, ["scenario", "region"], ["region"], "value", "seen", 1998, "scaled", "factor"
     )
 
 
@@ -273,9 +274,12 @@ def zero_filled_full_join(v: Views) -> DataFrame:
 
 @query(4)
 def numeric_sums(v: Views) -> DataFrame:
-    rows = match_rows(v.service().select("technology", "demand", "discount"), "technology", "^S")
-    means = mean_by(rows, ["technology"], "demand").withColumnRenamed("demand", "mean_demand")
-    return natural_inner_join(sum_numeric_by(rows, ["technology"]), means)
+    return sum_numeric_by(match_rows(v.lines(), "technology", "^S"), ["technology"])
+
+
+@query(8)
+def means(v: Views) -> DataFrame:
+    return mean_by(v.service(part=False), ["scenario", "year"], "cost", "discount")
 
 
 @query(None)
@@ -317,17 +321,17 @@ def _multipliers(v: Views) -> DataFrame:
     return v.nations().select("region", (1 + F.col("n_nationkey") / 10).alias("energy_mult"))
 
 
-def _energy(v: Views, household: DataFrame) -> DataFrame:
+def _energy(v: Views, household: DataFrame, pop: DataFrame, income: DataFrame) -> DataFrame:
     sector = F.col("consumer").alias("sector")
     price = household.select("scenario", "region", sector, "year", (F.col("cost") / 1e9).alias("value"))
     # Cells with little demand have no output row at all.
     output = household.filter("demand > 20").select(
         "scenario", "region", sector, "year", F.col("demand").alias("value")
     )
-    return economy.energy_share(price, output, v.pop(), _multipliers(v), _income(v), 2.0, YEARS)
+    return economy.energy_share(price, output, pop, _multipliers(v), income, 2.0, YEARS)
 
 
-def _food(v: Views, household: DataFrame) -> DataFrame:
+def _food(v: Views, household: DataFrame, pop: DataFrame, income: DataFrame) -> DataFrame:
     def table(value: str, scale: float) -> DataFrame:
         inputs = F.explode(F.array(*[F.lit(g) for g in FOOD_TYPES]))
         rows = household.select(
@@ -339,27 +343,27 @@ def _food(v: Views, household: DataFrame) -> DataFrame:
 
     observed = v.nations().select("region", (F.col("n_nationkey") + 100.0).alias("av_food_exp"))
     return economy.food_share(
-        table("cost", 1e-9), table("demand", 1.0), v.pop(), observed, _income(v), 0.5, YEARS, 1998
+        table("cost", 1e-9), table("demand", 1.0), pop, observed, income, 0.5, YEARS, 1998
     )
 
 
 @query(6)
 def energy_share(v: Views) -> DataFrame:
-    return _energy(v, v.household())
+    return _energy(v, v.household(), v.pop(), _income(v))
 
 
 @query(5)
 def food_share_calibrated(v: Views) -> DataFrame:
-    return _food(v, v.household()).drop("food_expenditure", "food_mult")
+    return _food(v, v.household(), v.pop(), _income(v)).drop("food_expenditure", "food_mult")
 
 
 @query(6)
 def basic_needs_world(v: Views) -> DataFrame:
-    household = v.household()
-    return economy.basic_needs_world(_food(v, household), _energy(v, household), v.pop())
+    tables = v.household(), staged(v.pop(), "pop"), staged(_income(v), "income")
+    return economy.basic_needs_world(_food(v, *tables), _energy(v, *tables), tables[1])
 
 
-def _basket(v: Views) -> DataFrame:
+def _basket(v: Views, pop: DataFrame) -> DataFrame:
     consumption = v.service().select(
         "scenario", "region", "year", "technology",
         F.concat_ws(",", "technology", "flag").alias("subsector_1"),
@@ -367,32 +371,34 @@ def _basket(v: Views) -> DataFrame:
         (F.col("demand") / 1e9).alias("value"),
     )
     pairs = [(g, t) for g, types in FOOD_TYPES.items() for t in types]
-    groups = v.spark.createDataFrame(pairs, "supplysector string, subsector string")
+    groups = literal_table(v.spark, pairs, "supplysector string, subsector string")
     inputs = F.explode(F.array(*[F.lit(g) for g in FOOD_TYPES]))
     price = v.income().select(*CELL, inputs.alias("input"), "value")
-    return food.food_basket_regional(consumption, groups, v.pop(), price)
+    return food.food_basket_regional(consumption, groups, pop, price)
 
 
 @query(4)
 def food_basket_regional(v: Views) -> DataFrame:
-    return _basket(v)
+    return _basket(v, v.pop())
 
 
 @query(4)
 def food_basket_pct_gdp(v: Views) -> DataFrame:
-    return food.food_basket_pct_gdp(_basket(v), v.gdp(), 1.25)
+    return food.food_basket_pct_gdp(_basket(v, v.pop()), v.gdp(), 1.25)
 
 
 @query(4)
 def food_basket_pct_gdp_world(v: Views) -> DataFrame:
-    share = food.food_basket_pct_gdp(_basket(v), v.gdp(), 1.25)
-    return food.food_basket_pct_gdp_world(share, v.pop())
+    pop = staged(v.pop(), "pop")
+    share = food.food_basket_pct_gdp(_basket(v, pop), v.gdp(), 1.25)
+    return food.food_basket_pct_gdp_world(share, pop)
 
 
 @query(3)
 def food_basket_pct_gdp_published(v: Views) -> DataFrame:
-    share = food.food_basket_pct_gdp(_basket(v), v.gdp(), 1.25, faithful=True)
-    return food.food_basket_pct_gdp_world(share, v.pop())
+    pop = staged(v.pop(), "pop")
+    share = food.food_basket_pct_gdp(_basket(v, pop), v.gdp(), 1.25, faithful=True)
+    return food.food_basket_pct_gdp_world(share, pop)
 
 
 # Health ------------------------------------------------------------------------------------------
@@ -409,7 +415,7 @@ def paf_mortality(v: Views) -> DataFrame:
 
 
 def _shares(v: Views) -> DataFrame:
-    wide = pivot_years(v.pop(), ["scenario", "region"], YEARS).select(
+    wide = pivot_years(staged(v.pop(), "pop"), ["scenario", "region"], YEARS).select(
         F.col("scenario").alias("SCENARIO"),
         F.col("region").alias("REGION"),
         F.lit("Population").alias("VARIABLE"),
@@ -428,8 +434,7 @@ def country_share(v: Views) -> DataFrame:
 
 @query(2)
 def mortality_downscaled(v: Views) -> DataFrame:
-    obs = v.obs()
-    deaths = obs.select(
+    rows = v.obs().select(
         "scenario", F.col("super_region").alias("region"), "year", F.col("title").alias("disease"),
         F.col("decile").alias("age"), (F.col("value") / 1000).alias("GBD"),
         (F.col("value") / 3000).alias("Jerret2009"),
@@ -438,11 +443,11 @@ def mortality_downscaled(v: Views) -> DataFrame:
         F.col("region").alias("country"),
         F.concat(F.lit("M"), (F.col("n_nationkey") % 7).cast("string")).alias("model_region"),
     )
-    extra = v.spark.createDataFrame([("AFRICA", "M7")], "country string, model_region string")
+    extra = literal_table(v.spark, [("AFRICA", "M7")], "country string, model_region string")
+    deaths = health.deaths_by_cause(rows, rows, merged=("MIDDLE EAST", "EUROPE"))
     return health.health(
-        deaths, deaths, _shares(v), regions.unionByName(extra), YEARS, REPORT_TO,
-        merged=("MIDDLE EAST", "EUROPE"),
-    )
+        staged(deaths, "deaths"), _shares(v), regions.unionByName(extra), YEARS, REPORT_TO
+    )
 
 
 # Water -------------------------------------------------------------------------------------------
@@ -499,7 +504,7 @@ def land_projection_wide(v: Views) -> DataFrame:
     )
     # The sixth basin is not in the mapping, so its rows leave the projection.
     pairs = [(f"G{i}", i + 1) for i in range(5)]
-    basins = v.spark.createDataFrame(pairs, "GLU_name string, basin_id int")
+    basins = literal_table(v.spark, pairs, "GLU_name string, basin_id int")
     return land.land_projection(rows, basins, YEARS[1:])
 
 
@@ -541,8 +546,7 @@ def edge_rows(rings) -> list[tuple]:
 
 
 def _edges(spark: SparkSession, rings) -> DataFrame:
-    return spark.createDataFrame(
-        edge_rows(rings), "poly_id int, x1 double, y1 double, x2 double, y2 double"
+    return literal_table(spark, edge_rows(rings), "poly_id int, x1 double, y1 double, x2 double, y2 double"
     )
 
 
@@ -560,15 +564,14 @@ def _cell_map(v: Views, cells: DataFrame) -> DataFrame:
 def _areas(v: Views) -> DataFrame:
     grid = staged(v.grid(), "grid")
     cells = _cell_map(v, grid.select("lon", "lat").distinct())
-    ecoregions = v.spark.createDataFrame(list(ECO_CODES), "OBJECTID int, eco_code string")
-    names = v.spark.createDataFrame(list(ECO_NAMES), "ECOREGION_CODE string, ECO_NAME string")
+    ecoregions = literal_table(v.spark, list(ECO_CODES), "OBJECTID int, eco_code string")
+    names = literal_table(v.spark, list(ECO_NAMES), "ECOREGION_CODE string, ECO_NAME string")
     periods = land.grid_periods(grid, tuple(LAND_CLASSES.values()))
     return land.ecoregion_areas(periods, cells, ecoregions, names, SCENARIOS)
 
 
 def _loss(v: Views) -> DataFrame:
-    factors = v.spark.createDataFrame(
-        list(ECO_FACTORS),
+    factors = literal_table(v.spark, list(ECO_FACTORS),
         "ECOREGION_CODE string, Forest_CF double, Pasture_CF double, Irrigated_crop_CF double, "
         "Rainfed_crop_CF double",
     )

@@ -141,6 +141,18 @@ class Views:
             F.col("l_discount").alias("discount"),
         )
 
+    def lines(self) -> DataFrame:
+        """Order lines with their part's type, for queries that need nothing of the order."""
+        return (
+            self.table("lineitem")
+            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .select(
+                F.col("p_type").alias("technology"),
+                F.col("l_quantity").alias("demand"),
+                F.col("l_discount").alias("discount"),
+            )
+        )
+
     def household(self) -> DataFrame:
         """Mean cost and demand per scenario, region, year and decile; at most one row per cell."""
         keys = ["scenario", "region", "year", "decile"]
