@@ -164,9 +164,13 @@ def extract_data(spark: SparkSession, paths: Sequence[str], schema: StructType)
 
 
 def write_indicator(df: DataFrame, root: str, indicator: str, mode: str = "overwrite") -> str:
-    """One folder per project under the indicator, as CSV. ``df`` carries a ``project`` column."""
+    """One folder per project under the indicator, as CSV. ``df`` carries a ``project`` column.
+
+    Overwriting replaces the folders of the projects in ``df`` and leaves other projects alone.
+    """
     path = f"{root}/{indicator}/indiv_results"
-    df.write.mode(mode).option("nullValue", "NA").partitionBy("project").csv(path, header=True)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.option("nullValue", "NA").partitionBy("project").csv(path, header=True)
     return path
 
 
