@@ -36,7 +36,8 @@ def _check_names(left: DataFrame, right: DataFrame, on: list[str]) -> None:
 def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_keys: bool) -> DataFrame:
     _check_names(left, right, on)
     if not null_keys:
-        return left.join(right, on, how)
+        values = [c for c in right.columns if c not in on]
+        return left.join(right, on, how).select(*_quoted(left.columns), *_quoted(values))
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in on})
     cond = None
     for k in on:

@@ -11,10 +11,6 @@ from pyspark.sql.types import StructType
 from scenlens.sources.files import extract_data, list_matching, read_csv_by_name, scan_first
 
 
-def _schema(text: str) -> StructType:
-    return StructType.fromDDL(text)
-
-
 @dataclass(frozen=True)
 class Output:
     """Where an indicator's files are and how their rows enter the gathered table.
@@ -24,7 +20,7 @@ class Output:
     """
 
     folder: str
-    schema: StructType
+    columns: str
     pattern: str
     reference_pattern: str
     exclude: str | None = None
@@ -38,35 +34,35 @@ _LONG = "Units string, scenario string, region string, year int, value double"
 
 # Folders, file-name patterns and columns of the per-project outputs.
 OUTPUTS: dict[str, Output] = {
-    "gdp": Output("SDG1-GDP/indiv_results", _schema(_LONG), "{ssp}", "sdgstudy_base"),
+    "gdp": Output("SDG1-GDP/indiv_results", _LONG, "{ssp}", "sdgstudy_base"),
     "expenditure": Output(
         "SDG1-Expenditure/indiv_results",
-        _schema("scenario string, year int, total_expenditure_per_world double"),
+        "scenario string, year int, total_expenditure_per_world double",
         "^SDG1_totalWorldExpPer.*{ssp}",
         "totalWorldExpPer_sdgstudy_base",
         distinct=True,
     ),
     "food": Output(
         "SDG2-Poverty/indiv_results",
-        _schema("year int, scenario string, units string, expenditure_percent_GDP double"),
+        "year int, scenario string, units string, expenditure_percent_GDP double",
         "fbbPerGlobal_{ssp}",
         "fbbPerGlobal_sdgstudy_base",
     ),
     "health": Output(
         "SDG3-Health/mort.fin",
-        _schema("scenario string, model_region string, year int, mort double"),
+        "scenario string, model_region string, year int, mort double",
         "{ssp}",
         "sdgstudy_base",
     ),
     "water": Output(
         "SDG6-Water/indiv_results",
-        _schema("scenario string, year int, resource string, index_sup double, index_wd double"),
+        "scenario string, year int, resource string, index_sup double, index_wd double",
         "wscarIndex_{ssp}",
         "wscarIndex_sdgstudy_base",
     ),
     "land": Output(
         "SDG15-Land/results/PSL-results",
-        _schema("final_PSL double, scenario string"),
+        "final_PSL double, scenario string",
         r".*pareto.*{ssp}.*\.csv$",
         r"base.*jan.*\.csv$",
         exclude="base",
@@ -74,7 +70,7 @@ OUTPUTS: dict[str, Output] = {
         rename={"final_PSL": "value"},
         constants={"Units": "PSL", "account": "PSL"},
     ),
-    "population": Output("SDG0-POP/indiv_results", _schema(_LONG), "pop_{ssp}", "pop_sdgstudy_base"),
+    "population": Output("SDG0-POP/indiv_results", _LONG, "pop_{ssp}", "pop_sdgstudy_base"),
 }
 
 
@@ -91,28 +87,27 @@ def gather(spark: SparkSession, root: str, indicator: str, ssp: str) -> DataFram
     """All rows of one family's outputs of an indicator, read in one scan."""
     out = OUTPUTS[indicator]
     paths = list_matching(spark, f"{root}/{out.folder}", out.pattern.format(ssp=ssp), out.exclude)
-    return _shape(read_csv_by_name(spark, paths, out.schema, with_file=out.distinct), out)
+    schema = StructType.fromDDL(out.columns)
+    return _shape(read_csv_by_name(spark, paths, schema, with_file=out.distinct), out)
 
 
 def gather_reference(spark: SparkSession, root: str, indicator: str) -> DataFrame:
     """The baseline project's output: the first matching file, or all of them for the land indicator."""
     out = OUTPUTS[indicator]
-    folder = f"{root}/{out.folder}"
+    folder, schema = f"{root}/{out.folder}", StructType.fromDDL(out.columns)
     if out.all_reference_files:
-        rows = read_csv_by_name(
-            spark, list_matching(spark, folder, out.reference_pattern), out.schema
-        )
+        rows = read_csv_by_name(spark, list_matching(spark, folder, out.reference_pattern), schema)
     else:
-        rows = scan_first(spark, folder, out.reference_pattern, out.schema)
+        rows = scan_first(spark, folder, out.reference_pattern, schema)
     return _shape(rows, out)
 
 
-PSL_SCHEMA = _schema(
+PSL_COLUMNS = (
     "forest_PSL double, pasture_PSL double, crop_irr_PSL double, crop_rfd_PSL double, "
     "final_PSL double, scenario string"
 )
 
 
-def gather_psl(spark: SparkSession, folder: str, schema: StructType = PSL_SCHEMA) -> DataFrame:
+def gather_psl(spark: SparkSession, folder: str, columns: str = PSL_COLUMNS) -> DataFrame:
     """Every species-loss result in a folder, CSV or Parquet."""
-    return extract_data(spark, list_matching(spark, folder), schema)
+    return extract_data(spark, list_matching(spark, folder), StructType.fromDDL(columns))

@@ -303,12 +303,12 @@ ORACLES = {
         SELECT scenario, region || '_water withdrawals' AS resource, 'runoff' AS subresource, year,
                {r('sum(demand)', 4, 'demand')} FROM service WHERE status = 'O' GROUP BY 1, 2, 4"""),
     "query_coverage": _with("obs", """
-        SELECT title || '/' || region AS title, count(DISTINCT scenario) AS n_scenarios,
+        SELECT title || '/' || region || '/' || year AS title, count(DISTINCT scenario) AS n_scenarios,
                count(DISTINCT scenario) = (SELECT count(DISTINCT scenario) FROM obs WHERE value > 480000)
                    AS in_all_scenarios
         FROM obs WHERE value > 480000 GROUP BY 1"""),
     "missing_titles": _with("obs", """
-        SELECT title || '/' || region AS title FROM obs GROUP BY 1
+        SELECT title || '/' || region || '/' || year AS title FROM obs GROUP BY 1
         HAVING count(DISTINCT CASE WHEN value > 480000 THEN scenario END)
              < (SELECT count(DISTINCT scenario) FROM obs WHERE value > 480000)"""),
     "list_scenarios": _with("runs", "SELECT DISTINCT run AS scenario FROM runs"),
@@ -426,7 +426,7 @@ ORACLES = {
         SELECT k.scenario, k.region, k.year, k.decile AS age, k.title AS disease,
                {r('m.rate * (k.n / 10.0) / (1 + k.n / 10.0) * e.n', 11, 'mort')}
         FROM (SELECT scenario, region, year, title, decile, count(*) AS n FROM obs GROUP BY ALL) k
-        JOIN (SELECT region, year, title, decile, avg(value) / 1e6 AS rate FROM obs GROUP BY ALL) m
+        JOIN (SELECT region, year, title, decile, avg(value) / 1000003 AS rate FROM obs GROUP BY ALL) m
           ON k.region = m.region AND k.year = m.year AND k.title = m.title AND k.decile = m.decile
         JOIN (SELECT scenario, region, year, decile, count(*) AS n FROM obs GROUP BY ALL) e
           ON k.scenario = e.scenario AND k.region = e.region AND k.year = e.year AND k.decile = e.decile"""),

@@ -140,7 +140,7 @@ def _expensive(v: Views) -> DataFrame:
     return (
         v.obs()
         .filter(F.col("value") > 480_000)
-        .select(F.concat_ws("/", "title", "region").alias("title"), "scenario")
+        .select(F.concat_ws("/", "title", "region", "year").alias("title"), "scenario")
     )
 
 
@@ -151,7 +151,7 @@ def query_coverage(v: Views) -> DataFrame:
 
 @query(None)
 def missing_titles(v: Views) -> DataFrame:
-    required = v.obs().select(F.concat_ws("/", "title", "region").alias("title")).distinct()
+    required = v.obs().select(F.concat_ws("/", "title", "region", "year").alias("title")).distinct()
     return catalog.missing_titles(_expensive(v), required, in_all=True)
 
 
@@ -408,7 +408,7 @@ def food_basket_pct_gdp_published(v: Views) -> DataFrame:
 def paf_mortality(v: Views) -> DataFrame:
     obs = v.obs().select(*CELL, F.col("title").alias("disease"), F.col("decile").alias("age"), "value")
     cause = ["region", "year", "disease", "age"]
-    rates = obs.groupBy(*cause).agg((F.avg("value") / 1e6).alias("rate"))
+    rates = obs.groupBy(*cause).agg((F.avg("value") / 1_000_003).alias("rate"))
     risk = obs.groupBy("scenario", *cause).agg((1 + F.count(F.lit(1)) / 10).alias("rr"))
     exposed = obs.groupBy(*CELL, "age").agg(F.count(F.lit(1)).cast("double").alias("exposed"))
     return health.paf_mortality(rates, risk, exposed)

@@ -6,7 +6,10 @@ model year. Each builder reads only the tables and columns it needs.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from scenlens.operators.joins import cross_scenarios, left_join
 from scenlens.sources.shared import staged
@@ -37,13 +40,34 @@ def _literals(values) -> Column:
     return F.explode(F.array(*[F.lit(v) for v in values]))
 
 
+_schemas: dict[str, StructType] = {}
+
+
+def _once(build):
+    """Build a view's plan once per ``Views``."""
+
+    @wraps(build)
+    def get(self) -> DataFrame:
+        if build.__name__ not in self._built:
+            self._built[build.__name__] = build(self)
+        return self._built[build.__name__]
+
+    return get
+
+
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """An input table. Its footers are read for the schema the first time only."""
+        path = f"{self.dir}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
+    @_once
     def nations(self) -> DataFrame:
         return self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -54,11 +78,13 @@ class Views:
             F.col("r_regionkey").alias("super_key"),
         )
 
+    @_once
     def spine(self) -> DataFrame:
         """Every scenario, region and year: generated per nation from the fixed lists."""
         every = cross_scenarios(self.nations(), SCENARIOS)
         return every.select("scenario", "region", "super_region", _literals(YEARS).alias("year"))
 
+    @_once
     def obs(self) -> DataFrame:
         year = F.year("o_orderdate").cast("int")
         return (
@@ -79,6 +105,7 @@ class Views:
             )
         )
 
+    @_once
     def pop(self) -> DataFrame:
         customers = (
             self.table("customer")
@@ -95,6 +122,7 @@ class Views:
             ((1 + F.coalesce("n", F.lit(0))) * growth).cast("double").alias("value"),
         )
 
+    @_once
     def gdp(self) -> DataFrame:
         keys = ["scenario", "region", "year"]
         mean = self.obs().groupBy(*keys).agg((F.avg("value") / 1000).alias("v"))
@@ -102,6 +130,7 @@ class Views:
             *keys, F.coalesce("v", F.lit(1.0)).alias("value")
         )
 
+    @_once
     def income(self) -> DataFrame:
         keys = ["scenario", "region", "year", "decile"]
         mean = self.obs().groupBy(*keys).agg((F.avg("value") / 1000).alias("v"))
@@ -153,6 +182,7 @@ class Views:
             )
         )
 
+    @_once
     def household(self) -> DataFrame:
         """Mean cost and demand per scenario, region, year and decile; at most one row per cell."""
         keys = ["scenario", "region", "year", "decile"]
@@ -172,6 +202,7 @@ class Views:
         )
         return staged(full, "household")
 
+    @_once
     def water(self) -> DataFrame:
         source = F.when(F.col("status") == "O", "runoff").otherwise(
             F.concat(F.lit("groundwater"), F.col("flag"))
@@ -205,6 +236,7 @@ class Views:
             shaped(ground, "groundwater", "withdrawal"),
         )
 
+    @_once
     def grid(self) -> DataFrame:
         landclass = F.lit(None).cast("string")
         for p_type, name in LAND_CLASSES.items():
@@ -228,6 +260,7 @@ class Views:
             F.col("embedding")[1].cast("double").alias("y"),
         )
 
+    @_once
     def runs(self) -> DataFrame:
         """Orders under study-like scenario names; one family per macro-region, levels 5 to 20.
 
@@ -245,6 +278,7 @@ class Views:
             F.concat(F.lit("study_"), label, F.lit("_SSP"), (F.col("super_key") + 1).cast("string")),
         )
 
+    @_once
     def run_cells(self) -> DataFrame:
         """The runs reduced to (scenario, region, year); all report blocks read this one table."""
         half = F.when(F.col("decile") <= 5, F.col("value")).otherwise(0.0)

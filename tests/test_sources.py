@@ -1,0 +1,247 @@
+import warnings
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+
+from scenlens.functions.fixed_values import CO2_LABELS_RESOURCE, CO2_LABELS_SECTOR
+from scenlens.plans import gather as GA
+from scenlens.sources import catalog as C
+from scenlens.sources import files as S
+from scenlens.sources.shared import literal_table, shared_dir, staged
+
+LONG = StructType(
+    [
+        StructField("scenario", StringType()),
+        StructField("year", IntegerType()),
+        StructField("v", DoubleType()),
+    ]
+)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def put(folder: Path, name: str, text: str) -> None:
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_bytes(text.encode())
+
+
+def test_preamble_csv(spark, tmp_path):
+    put(
+        tmp_path, "mult.csv",
+        '"Free text, with commas",,\nhttps://example.org/x,,\nregion,energy_mult,year\nA,1.5,2020\n"B b",2,2020\n',
+    )
+    df = S.read_preamble_csv(spark, str(tmp_path / "mult.csv"), S.ENERGY_MULTIPLIER_SCHEMA, "energy_mult")
+    assert rows(df) == [("A", 1.5, 2020), ("B b", 2.0, 2020)]
+
+
+def test_lookup_with_dos_line_ends(spark, tmp_path):
+    put(tmp_path, "basins.csv", "id,a,b,c,d,e,f\r\n1,Nile_Basin,GLU001,NileR,EGY,818,Egypt\r\n")
+    df = S.read_lookup(spark, str(tmp_path / "basins.csv"), S.BASINS_SCHEMA)
+    assert rows(df) == [(1, "Nile_Basin", "GLU001", "NileR", "EGY", 818, "Egypt")]
+
+
+def test_scan_matching_binds_by_name_skips_empty_and_excludes(spark, tmp_path):
+    put(tmp_path, "out_SSP1_a.csv", '"scenario","year","v"\n"s1",2020,1.5\n')
+    put(tmp_path, "out_SSP1_b.csv", "v,extra,scenario\n2.5,zz,s2\nNA,zz,s3\n")
+    put(tmp_path, "out_SSP1_base.csv", "scenario,year,v\nbase,2020,9\n")
+    put(tmp_path, "out_SSP2_a.csv", "scenario,year,v\ns4,2020,4\n")
+    put(tmp_path, "out_SSP1_empty.csv", "")
+    with pytest.warns(UserWarning, match="skipping empty file.*out_SSP1_empty"):
+        df = S.scan_matching(spark, str(tmp_path), "SSP1", LONG, exclude="base")
+    assert rows(df) == [("s1", 2020, 1.5), ("s2", None, 2.5), ("s3", None, None)]
+    assert df.schema == LONG
+
+
+def test_scan_of_nothing_is_an_empty_table(spark, tmp_path):
+    df = S.scan_matching(spark, str(tmp_path), "x", LONG)
+    assert df.schema == LONG and rows(df) == []
+
+
+def test_header_only_file_contributes_no_rows(spark, tmp_path):
+    put(tmp_path, "a.csv", "scenario,year,v\n")
+    put(tmp_path, "b.csv", "scenario,year,v\ns,1,2\n")
+    assert rows(S.scan_matching(spark, str(tmp_path), "csv$", LONG)) == [("s", 1, 2.0)]
+
+
+def test_scan_first(spark, tmp_path):
+    for n in "ba":
+        put(tmp_path, f"{n}.csv", f"scenario,year,v\n{n},1,1\n")
+    assert rows(S.scan_first(spark, str(tmp_path), "csv", LONG)) == [("a", 1, 1.0)]
+    with pytest.raises(FileNotFoundError):
+        S.scan_first(spark, str(tmp_path), "nope", LONG)
+
+
+def test_extract_data_mixes_formats_and_skips_others(spark, tmp_path):
+    put(tmp_path, "a.csv", "scenario,year,v\na,1,1\n")
+    put(tmp_path, "c.dat", "??")
+    spark.createDataFrame([("b", 2, 2.0)], LONG).write.parquet(str(tmp_path / "b.parquet"))
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.parquet", "c.dat")]
+    with pytest.warns(UserWarning, match="unsupported file type.*c.dat"):
+        df = S.extract_data(spark, paths, LONG)
+    assert rows(df) == [("a", 1, 1.0), ("b", 2, 2.0)]
+
+
+def test_indicator_sink_keeps_other_projects(spark, tmp_path):
+    root = str(tmp_path)
+    df = spark.createDataFrame([("s", 2020, 1.0), ("t", 2020, None)], LONG)
+    S.write_indicator(df.withColumn("project", F.lit("SSP1_x")), root, "food")
+    S.write_indicator(df.limit(1).withColumn("project", F.lit("SSP2_x")), root, "food")
+    S.write_indicator(df.withColumn("project", F.lit("SSP1_x")), root, "food")
+    back = S.read_indicator(spark, root, "food", LONG)
+    assert back.count() == 3
+    one = S.read_indicator(spark, root, "food", LONG, "^SSP1")
+    assert rows(one.drop("project")) == [("s", 2020, 1.0), ("t", 2020, None)]
+
+
+def test_dual_sink_and_scenario_split(spark, tmp_path):
+    df = spark.createDataFrame([("s", 2020, 1.0), ("t", 2020, 2.0)], LONG)
+    parquet, text = S.write_gathered(df, str(tmp_path), "food", "SSP1")
+    assert rows(spark.read.parquet(parquet)) == rows(spark.read.csv(text, header=True, schema=LONG)) == rows(df)
+    S.write_by_scenario(df, str(tmp_path / "split"))
+    assert {p.name for p in (tmp_path / "split").iterdir() if p.is_dir()} == {"scenario=s", "scenario=t"}
+
+
+def test_catalog_has_all_titles_and_scan_prunes(spark, tmp_path):
+    assert len(C.CATALOG) == 24
+    title = "population by region"
+    df = spark.createDataFrame(
+        [(f"s{i}", "r", "thous", 2020, float(i)) for i in range(3)], C.CATALOG[title].schema
+    )
+    C.register_title(str(tmp_path), title, df)
+    one = C.read_query(spark, str(tmp_path), title, ["s1"])
+    assert rows(one.select("scenario", "value")) == [("s1", 1.0)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "scenario" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    with pytest.raises(ValueError, match="needs struct"):
+        C.register_title(str(tmp_path / "x"), title, df.drop("Units"))
+    with pytest.raises(KeyError):
+        C.read_query(spark, str(tmp_path), "no such title")
+
+
+@pytest.mark.parametrize(
+    "title,keep,leave",
+    [
+        ("food consumption by type (specific)", dict(sector="FoodDemand_Staples"), dict(sector="Other")),
+        ("food demand prices", dict(consumer="FoodDemand"), dict(consumer="FoodDemand_Group1")),
+        ("food demand by income group", dict(consumer="FoodDemand_Group10"), dict(consumer="FoodDemand")),
+        ("GDP MER by region", dict(account="GDP"), dict(account="gdp-per-capita-ppp")),
+        ("nonCO2 emissions by resource production", dict(GHG="CH4"), dict(GHG="CO2_FUG")),
+        ("International Shipping emissions", dict(subsector="International Ship"), dict(subsector="Ship")),
+        (
+            "Basin level available runoff",
+            dict(resource="Nile_water withdrawals", subresource="runoff"),
+            dict(resource="Nile_water withdrawals", subresource="groundwater"),
+        ),
+        (
+            "building service costs",
+            dict(sector="resid heating", final_energy="building"),
+            dict(sector="steel", final_energy="industry"),
+        ),
+    ],
+)
+def test_where_catalog(spark, title, keep, leave):
+    df = spark.createDataFrame([tuple(keep.values()), tuple(leave.values())], list(keep))
+    assert rows(C.where_catalog(df, title)) == [tuple(keep.values())]
+
+
+def test_where_catalog_needs_its_columns(spark):
+    with pytest.raises(ValueError, match="needs columns"):
+        C.where_catalog(spark.range(1), "food demand prices")
+
+
+def test_label_rewrite_and_emissions(spark):
+    df = spark.createDataFrame(
+        [("s", "bldCO2"), ("s", "CH4"), ("t", "H2"), ("s", "XX"), ("s", None)], "scenario string, GHG string"
+    )
+    by_dict = C.rewrite_labels(df, "GHG", {"bldCO2": "CO2"})
+    table = spark.createDataFrame([("bldCO2", "CO2")], "a string, b string")
+    assert rows(by_dict) == rows(C.rewrite_labels(df, "GHG", table))
+    assert rows(by_dict.select("GHG")) == [("CH4",), ("CO2",), ("H2",), ("XX",), (None,)]
+    assert rows(C.emissions(df, scenarios=["s"])) == [("s", "CH4")]
+    assert len(CO2_LABELS_SECTOR) == 11 and len(CO2_LABELS_RESOURCE) == 14
+
+
+def test_coverage_and_missing_titles(spark):
+    df = spark.createDataFrame([("a", "s"), ("a", "t"), ("a", "t"), ("b", "s")], "title string, scenario string")
+    assert rows(C.query_coverage(df)) == [("a", 2, True), ("b", 1, False)]
+    required = spark.createDataFrame([("a",), ("b",), ("c",)], "title string")
+    assert rows(C.missing_titles(df, required)) == [("b",), ("c",)]
+    assert rows(C.missing_titles(df, required, in_all=False)) == [("c",)]
+
+
+def test_check_scenarios(spark):
+    df = spark.createDataFrame([("s", 1), ("t", 2)], "scenario string, v int")
+    assert rows(C.check_scenarios(df)) == rows(C.check_scenarios(df, ["s", "t"])) == [("s", 1), ("t", 2)]
+    assert rows(C.check_scenarios(df, ["t"])) == [("t", 2)]
+    with pytest.raises(Exception, match="not every one of these scenarios"):
+        C.check_scenarios(df, ["s", "nope"]).collect()
+
+
+def test_merge_projects_keeps_the_first(spark):
+    schema = "title string, scenario string, v int"
+    a = spark.createDataFrame([("x", "s", 1), ("x", "s", 2)], schema)
+    b = spark.createDataFrame([("x", "s", 9), ("x", "t", 3)], schema)
+    c = spark.createDataFrame([("x", "t", 9), ("y", "t", 4)], schema)
+    assert rows(C.merge_projects(a, b, c)) == [("x", "s", 1), ("x", "s", 2), ("x", "t", 3), ("y", "t", 4)]
+
+
+def test_grid_from_arrays(spark):
+    df = spark.createDataFrame(
+        [("s", "forest", [1.0, 2.0], [10.0, 20.0, 30.0], [1.0, 2.0, None, 4.0, 5.0, 6.0])],
+        "scenario string, landclass string, lon array<double>, lat array<double>, value array<double>",
+    )
+    got = rows(C.grid_long(df).select("lon", "lat", "value"))
+    assert got == [(1.0, 10.0, 1.0), (1.0, 30.0, 5.0), (2.0, 10.0, 2.0), (2.0, 20.0, 4.0), (2.0, 30.0, 6.0)]
+    long = spark.createDataFrame([(1.0, 2.0, None), (1.0, 3.0, 4.0)], "lon double, lat double, value double")
+    assert rows(C.grid_long(long)) == [(1.0, 3.0, 4.0)]
+
+
+def test_gather_every_indicator(spark, tmp_path):
+    root = tmp_path
+    put(root / "SDG1-Expenditure/indiv_results", "SDG1_totalWorldExpPer_SSP1_a.csv",
+        "scenario,year,total_expenditure_per_world\ns,2020,1\ns,2020,1\n")
+    put(root / "SDG1-Expenditure/indiv_results", "SDG1_totalWorldExpPer_SSP1_b.csv",
+        "scenario,year,total_expenditure_per_world\ns,2020,1\n")
+    put(root / "SDG1-Expenditure/indiv_results", "SDG1_foodExpPer_SSP1_b.csv", "scenario,year\ns,2020\n")
+    got = GA.gather(spark, str(root), "expenditure", "SSP1")
+    assert rows(got) == [("s", 2020, 1.0), ("s", 2020, 1.0)]  # distinct within a file only
+
+    land = root / "SDG15-Land/results/PSL-results"
+    put(land, "x_pareto_5_SSP1_PSL.csv", "pasture_PSL,final_PSL,scenario\n1,2.5,s\n")
+    put(land, "base_pareto_SSP1_jan_PSL.csv", "pasture_PSL,final_PSL,scenario\n1,7,b\n")
+    put(land, "x_pareto_5_SSP2_PSL.csv", "pasture_PSL,final_PSL,scenario\n1,9,t\n")
+    assert rows(GA.gather(spark, str(root), "land", "SSP1")) == [(2.5, "s", "PSL", "PSL")]
+    assert rows(GA.gather_reference(spark, str(root), "land")) == [(7.0, "b", "PSL", "PSL")]
+
+    gdp = root / "SDG1-GDP/indiv_results"
+    put(gdp, "SDG1_sdgstudy_base_1.csv", "Units,scenario,region,year,value\nu,base,r,2020,1\n")
+    put(gdp, "SDG1_sdgstudy_base_2.csv", "Units,scenario,region,year,value\nu,base,r,2020,2\n")
+    assert rows(GA.gather_reference(spark, str(root), "gdp")) == [("u", "base", "r", 2020, 1.0)]
+
+
+def test_gather_psl_reads_both_formats(spark, tmp_path):
+    put(tmp_path, "a.csv", "forest_PSL,final_PSL,scenario\n1,2,s\n")
+    put(tmp_path, "notes.txt", "x")
+    with warnings.catch_warnings(record=True):
+        warnings.simplefilter("always")
+        got = GA.gather_psl(spark, str(tmp_path))
+    assert rows(got.select("final_PSL", "scenario", "pasture_PSL")) == [(2.0, "s", None)]
+
+
+def test_staged_tables_live_in_the_shared_folder(spark):
+    df = staged(spark.range(3), "t")
+    assert df.inputFiles()[0].split(":", 1)[1].lstrip("/").startswith(shared_dir(spark).lstrip("/"))
+    assert rows(df) == [(0,), (1,), (2,)]
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_literal_table_is_broadcast_by_its_size(spark):
+    lookup = literal_table(spark, [("a", 1), ("b", 2)], "k string, v int")
+    assert lookup.dtypes == [("k", "string"), ("v", "int")]
+    big = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+    plan = big.join(lookup, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
