@@ -32,6 +32,12 @@ def mean_strict(c: str | Column) -> Column:
     return F.when(_complete(c), F.avg(c))
 
 
+def median_strict(c: str | Column) -> Column:
+    """Exact median; for groups with few rows, as it is not combined map-side."""
+    c = _col(c)
+    return F.when(_complete(c), F.median(c))
+
+
 def weighted_sum_of(value: str | Column, weight: str | Column) -> Column:
     """Sum of value x weight, null if either is missing anywhere in the group."""
     return sum_strict(_col(value) * _col(weight))

@@ -34,7 +34,7 @@ REPORT_SECTORS = ("afolu", "bld", "dac", "ind", "sup", "trn")
 
 # File and database naming.
 DB_PREFIX = "database_basexdb_"
-PROJECT_SUFFIX = r"\.dat$"
+PROJECT_SUFFIX = ".dat"
 
 # Gases of the sectoral emissions table.
 GASES = (

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from scenlens.functions.fixed_values import DB_PREFIX, SECTOR_PRECEDENCE
+from scenlens.functions.fixed_values import DB_PREFIX, PROJECT_SUFFIX, SECTOR_PRECEDENCE
 
 
 def _col(c: str | Column) -> Column:
@@ -94,7 +94,7 @@ def deflator(index: dict[int, float], to_year: int, from_year: int) -> float:
 
 def project_name(c: str | Column) -> Column:
     """Project label of an output: the project file name without its database prefix and extension."""
-    return F.regexp_replace(F.regexp_replace(_col(c), f"^{DB_PREFIX}", ""), r"\.dat$", "")
+    return F.regexp_replace(_col(c), rf"^{DB_PREFIX}|\Q{PROJECT_SUFFIX}\E$", "")
 
 
 def project_db_name(name: str | Column, ssp: str | Column) -> Column:

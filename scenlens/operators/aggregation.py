@@ -53,10 +53,11 @@ def share_of_total(
     """Each row's share of its group's total.
 
     Written as an aggregate joined back rather than as a window: the totals are combined map-side and
-    hold one row per group, so a group with a third of all rows never has to sit in one task.
+    hold one row per group, so a group with a third of all rows never has to sit in one task. ``df`` is
+    read twice; stage it if it is costly.
     """
     totals = df.groupBy(*keys).agg(A.sum_strict(value).alias("__total"))
-    joined = left_join(df, totals, keys, null_keys)
+    joined = left_join(df, totals, keys, null_keys, spread=True)
     return joined.withColumn(out, F.try_divide(F.col(value), F.col("__total"))).drop("__total")
 
 

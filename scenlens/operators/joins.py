@@ -4,6 +4,12 @@ No join here carries an unconditional ``broadcast`` hint: Spark broadcasts a sid
 be under ``spark.sql.autoBroadcastJoinThreshold`` (from file statistics, or at run time from the shuffled
 bytes) and otherwise sort-merges, where adaptive execution splits skewed partitions. The only hinted
 sides are those whose row count the caller can prove, see ``attach_baseline``.
+
+Adaptive execution only splits a hot key if both sides of the join come straight out of a shuffle of
+their own. A right side that was just grouped by the same key does not: Spark reuses that grouping, and
+all left rows of a hot key then meet in one task. Such joins are ``spread``: a hash of the key joins
+along as a second key. The grouping no longer fits, the grouped rows (one per key) are shuffled once
+more, and a hot key can be split again. The output is unchanged.
 """
 
 from __future__ import annotations
@@ -13,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 _MATCH = "__matched"
+_SPREAD = "__spread"
 
 
 def _as_list(on: str | Sequence[str]) -> list[str]:
@@ -33,22 +40,34 @@ def _check_names(left: DataFrame, right: DataFrame, on: list[str]) -> None:
         raise ValueError(f"columns {clash} exist on both sides; rename them or make them keys")
 
 
-def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_keys: bool) -> DataFrame:
+def _join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, null_keys: bool, spread: bool = False
+) -> DataFrame:
     _check_names(left, right, on)
+    values = [] if how == "left_anti" else [c for c in right.columns if c not in on]
+    out = [*_quoted(left.columns), *_quoted(values)]
+    if spread:
+        left = left.withColumn(_SPREAD, F.xxhash64(*_quoted(on)))
+        right = right.withColumn(_SPREAD, F.xxhash64(*_quoted(on)))
+        on = [*on, _SPREAD]
     if not null_keys:
-        values = [c for c in right.columns if c not in on]
-        return left.join(right, on, how).select(*_quoted(left.columns), *_quoted(values))
+        return left.join(right, on, how).select(*out)
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in on})
     cond = None
     for k in on:
         eq = left[f"`{k}`"].eqNullSafe(renamed[f"`__r_{k}`"])
         cond = eq if cond is None else cond & eq
-    return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in on])
+    return left.join(renamed, cond, how).select(*out)
 
 
-def left_join(left: DataFrame, right: DataFrame, on, null_keys: bool = False) -> DataFrame:
-    """Left join on named keys. ``null_keys`` makes a null key match a null key."""
-    return _join(left, right, _as_list(on), "left", null_keys)
+def left_join(
+    left: DataFrame, right: DataFrame, on, null_keys: bool = False, spread: bool = False
+) -> DataFrame:
+    """Left join on named keys. ``null_keys`` makes a null key match a null key.
+
+    Set ``spread`` where ``right`` is grouped by the same keys and the left side may have hot ones.
+    """
+    return _join(left, right, _as_list(on), "left", null_keys, spread)
 
 
 def inner_join(left: DataFrame, right: DataFrame, on, null_keys: bool = False) -> DataFrame:
@@ -61,6 +80,12 @@ def full_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "full")
 
 
+def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
+    """Left rows whose key does not occur on the right. The right keys are made distinct first."""
+    on = _as_list(on)
+    return _join(left, right.select(*_quoted(on)).distinct(), on, "left_anti", False, spread=True)
+
+
 def shared_names(left: DataFrame, right: DataFrame) -> list[str]:
     """The keys of a natural join: columns of both sides, in left order."""
     both = [c for c in left.columns if c in right.columns]
@@ -78,10 +103,7 @@ def natural_inner_join(left: DataFrame, right: DataFrame, null_keys: bool = Fals
 
 
 def unique_rows(df: DataFrame, on) -> DataFrame:
-    """``df`` itself, but the job fails if two rows share a key.
-
-    The check is a group-by on the key, so a following hash join on the same key needs no second shuffle.
-    """
+    """``df`` itself, but the job fails if two rows share a key. The check is a group-by on the key."""
     on = _as_list(on)
     rest = [c for c in df.columns if c not in on]
     tag = "__n"
@@ -106,7 +128,7 @@ def strict_left_join(
     on = _as_list(on)
     values = [c for c in right.columns if c not in on]
     checked = unique_rows(right, on).withColumn(_MATCH, F.lit(True))
-    joined = _join(left, checked, on, "left", null_keys)
+    joined = _join(left, checked, on, "left", null_keys, spread=True)
     bad = F.col(_MATCH).isNull()
     if reject_null:
         for c in _quoted(values):
@@ -138,7 +160,7 @@ def attach_baseline(
         base = base.withColumn(_MATCH, F.lit(True))
         text = F.concat(F.lit("no baseline for "), F.to_json(F.struct(*_quoted(on))))
         matched = F.when(F.col(_MATCH).isNull(), F.raise_error(text)).otherwise(F.lit(True))
-        return df.join(base, on, "left").filter(matched).drop(_MATCH)
+        return _join(df, base, on, "left", False).filter(matched).drop(_MATCH)
     return strict_left_join(df, base, on)
 
 

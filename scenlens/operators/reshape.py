@@ -101,7 +101,7 @@ def complete(
 
     Added rows take ``fill`` values and so do nulls of existing rows; rows of other years stay. The
     missing years of a combination come from one flag per listed year, so the only shuffle is that of
-    the combinations, combined map-side.
+    the combinations, combined map-side. ``df`` is read twice; stage it if it is costly.
     """
     flags = [F.bool_or(F.col("year") == y).alias(f"__y{y}") for y in years]
     absent = F.array_compact(

@@ -16,13 +16,21 @@ from scenlens.operators.joins import left_join
 
 
 def food_basket_regional(
-    consumption: DataFrame, groups: DataFrame, pop: DataFrame, price: DataFrame
+    consumption: DataFrame,
+    groups: DataFrame,
+    pop: DataFrame,
+    price: DataFrame,
+    consumer: str = "all",
 ) -> DataFrame:
     """Food bill in dollars per person and day: (region, scenario, year, expenditure).
 
     ``groups`` maps a food item (``subsector``) to its demand sector (``supplysector``). An item without
-    a group has no price, which leaves the whole region's bill unknown.
+    a group has no price, which leaves the whole region's bill unknown. ``consumer='all'`` adds up the
+    prices of all income groups, as existing published results do; ``'median'`` takes their median, the
+    documented median consumer.
     """
+    if consumer not in ("all", "median"):
+        raise ValueError(f"unknown consumer: {consumer!r}")
     items = consumption.groupBy(
         "region",
         "scenario",
@@ -44,8 +52,9 @@ def food_basket_regional(
         .groupBy("region", "scenario", "year", "supplysector")
         .agg(A.sum_strict("kcal").alias("consumption"))
     )
+    paid = A.sum_strict("value") if consumer == "all" else A.median_strict("value")
     prices = price.groupBy("region", "scenario", F.col("input").alias("supplysector"), "year").agg(
-        (A.sum_strict("value") / KCAL_PER_MCAL).alias("price")
+        (paid / KCAL_PER_MCAL).alias("price")
     )
     # An ungrouped item has a null sector, and a null sector may be priced.
     priced = left_join(eaten, prices, ["region", "year", "supplysector", "scenario"], null_keys=True)

@@ -130,22 +130,25 @@ def ecoregion_areas(
     cell_map: DataFrame,
     ecoregions: DataFrame,
     names: DataFrame,
-    scenarios: Sequence[str],
+    scenarios: Sequence[str] | None = None,
     classes: Sequence[str] = PSL_CLASSES,
 ) -> DataFrame:
     """Class areas in m2 and their change per ecoregion: (scenario, ECOREGION_CODE, ECO_NAME, ...).
 
     ``cell_map`` (lon, lat, OBJECTID) is the reusable result of the point-in-polygon join; ``ecoregions``
     (OBJECTID, eco_code) may give several polygons one code; ``names`` (ECOREGION_CODE, ECO_NAME) selects
-    the reported ones. Ecoregions without cells count as zero in every listed scenario.
+    the reported ones. Ecoregions without cells count as zero in every listed scenario; without a list
+    they have no row, which changes no total.
     """
     cols = [f"{c}_{i}" for i in (0, 1) for c in classes]
     placed = inner_join(periods, cell_map.select("lon", "lat", "OBJECTID"), ["lon", "lat"])
     by_polygon = sum_by(placed, ["scenario", "OBJECTID"], *cols)
-    every = cross_scenarios(
-        ecoregions.select("OBJECTID", F.col("eco_code").alias("ECOREGION_CODE")), scenarios
-    )
-    filled = zero_fill(full_join(by_polygon, every, ["scenario", "OBJECTID"]), ["OBJECTID"])
+    codes = ecoregions.select("OBJECTID", F.col("eco_code").alias("ECOREGION_CODE"))
+    if scenarios is None:
+        every = inner_join(by_polygon, codes, ["OBJECTID"])
+    else:
+        every = full_join(by_polygon, cross_scenarios(codes, scenarios), ["scenario", "OBJECTID"])
+    filled = zero_fill(every, ["OBJECTID"])
     named = inner_join(filled, names.select("ECOREGION_CODE", "ECO_NAME"), ["ECOREGION_CODE"])
     areas = sum_by(named, ["scenario", "ECOREGION_CODE", "ECO_NAME"], *cols)
     areas = map_numeric(areas, lambda c: c * KM2_TO_M2)

@@ -132,15 +132,12 @@ def indicators(
             deaths, shares, lookups.model_regions, lookups.health_years, final_year
         )
     if lookups.grid is not None:
-        names = scenarios or [
-            r.scenario for r in lookups.grid.select("scenario").distinct().collect()
-        ]
         areas = land.ecoregion_areas(
             land.grid_periods(lookups.grid, lookups.grid_members),
             lookups.cell_map,
             lookups.ecoregions,
             lookups.ecoregion_names,
-            names,
+            scenarios,
         )
         loss = land.species_loss(areas, lookups.factors)
         out["land"] = loss.select("scenario", F.col("final_PSL").alias("value"))
@@ -161,7 +158,7 @@ STORED: dict[str, str] = {
 
 def project_label(file_name: str) -> str:
     """Project label of a project file: without database prefix and extension."""
-    return file_name.removeprefix(DB_PREFIX).removesuffix(PROJECT_SUFFIX.replace("\\", ""))
+    return file_name.removeprefix(DB_PREFIX).removesuffix(PROJECT_SUFFIX)
 
 
 def run_indicators(

@@ -21,7 +21,7 @@ from scenlens.functions.fixed_values import (
     FOOD_GROUPS_BY_INCOME,
     GASES,
 )
-from scenlens.operators.joins import left_join
+from scenlens.operators.joins import anti_join, left_join
 from scenlens.operators.reshape import union_by_name
 
 
@@ -226,7 +226,7 @@ def missing_titles(rows: DataFrame, required: DataFrame, in_all: bool = True) ->
     covered = query_coverage(rows)
     if in_all:
         covered = covered.filter("in_all_scenarios")
-    return required.select("title").join(covered.select("title"), "title", "left_anti")
+    return anti_join(required.select("title"), covered, ["title"])
 
 
 def check_scenarios(df: DataFrame, desired: Sequence[str] | None = None) -> DataFrame:
@@ -246,7 +246,7 @@ def merge_projects(*tables: DataFrame, by: Sequence[str] = ("title", "scenario")
     by = list(by)
 
     def add(kept: DataFrame, new: DataFrame) -> DataFrame:
-        return union_by_name(kept, new.join(kept.select(*by).distinct(), by, "left_anti"))
+        return union_by_name(kept, anti_join(new, kept, by))
 
     return reduce(add, tables)
 

@@ -14,10 +14,12 @@ _local_default: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Only where it is unset (local tests): a temporary folder."""
+    """``spark.checkpoint.dir`` of the session; where it is unset in local mode, a temporary folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_default.setdefault("dir", tempfile.mkdtemp(prefix="scenlens-"))
 
 

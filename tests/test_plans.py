@@ -138,6 +138,8 @@ def test_food_basket(spark, pop, basket_inputs):
     bill = FO.food_basket_regional(consumption, groups, pop, price)
     # Rice: 2 x 365e-9 Pcal = 2e3 kcal/365 ... per 10000 persons and day: 0.2; x 0.3. Beef: 0.1 x 1.
     near(rows(bill), [("A", "s", 2020, 0.2 * 0.3 + 0.1 * 1.0), ("B", "s", 2020, None)])
+    median = FO.food_basket_regional(consumption, groups, pop, price, consumer="median")
+    near(rows(median.filter("region = 'A'").select("expenditure")), [(0.2 * 0.15 + 0.1 * 1.0,)])
     gdp = spark.createDataFrame([("s", "A", 2020, 3.65), ("s", "B", 2020, 1.0)], LONG)
     share = FO.food_basket_pct_gdp(bill, gdp, 2.0)
     near(rows(share.select("region", "expenditure_percent_GDP")), [("A", 0.8), ("B", None)])
@@ -313,6 +315,8 @@ def test_species_loss(grid, spark):
     # The cell lies in two polygons of the same code, so it counts twice.
     assert by_code["s", "E"].crop_rfd_0 == 2 * 7.0e6 and by_code["s", "E"].crop_rfd_diff == 2 * 2.0e6
     assert by_code["s", "F"].crop_rfd_0 == by_code["empty", "E"].forest_diff == 0.0
+    observed = L.ecoregion_areas(L.grid_periods(grid, MEMBERS), cell_map, ecoregions, names)
+    assert [r for r in rows(areas) if r[:2] == ("s", "E")] == rows(observed)
     factors = spark.createDataFrame(
         [("E", 1e-6, 2e-6, 3e-6, 4e-6)],
         "ECOREGION_CODE string, Forest_CF double, Pasture_CF double, Irrigated_crop_CF double, Rainfed_crop_CF double",
