@@ -40,6 +40,12 @@ def _literals(values) -> Column:
     return F.explode(F.array(*[F.lit(v) for v in values]))
 
 
+def _exact_mean(c: str) -> Column:
+    """Mean of a money column from an exact sum: the same double whatever the order of the rows."""
+    total = F.sum(F.col(c).cast("decimal(18,2)"))
+    return total.cast("double") / F.count(F.lit(1))
+
+
 _schemas: dict[str, StructType] = {}
 
 
@@ -125,7 +131,7 @@ class Views:
     @_once
     def gdp(self) -> DataFrame:
         keys = ["scenario", "region", "year"]
-        mean = self.obs().groupBy(*keys).agg((F.avg("value") / 1000).alias("v"))
+        mean = self.obs().groupBy(*keys).agg((_exact_mean("value") / 1000).alias("v"))
         return left_join(self.spine().select(*keys), mean, keys).select(
             *keys, F.coalesce("v", F.lit(1.0)).alias("value")
         )
@@ -133,7 +139,7 @@ class Views:
     @_once
     def income(self) -> DataFrame:
         keys = ["scenario", "region", "year", "decile"]
-        mean = self.obs().groupBy(*keys).agg((F.avg("value") / 1000).alias("v"))
+        mean = self.obs().groupBy(*keys).agg((_exact_mean("value") / 1000).alias("v"))
         cells = self.spine().select("scenario", "region", "year", _literals(DECILES).alias("decile"))
         return left_join(cells, mean, keys).select(
             "scenario",

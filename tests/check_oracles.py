@@ -1,4 +1,9 @@
-"""Compare registered queries with their SQL: python tests/check_oracles.py [sf_dir] [query ...]"""
+"""Compare registered queries with their SQL.
+
+python tests/check_oracles.py [--no-broadcast] [sf_dir] [query ...]
+
+``--no-broadcast`` turns off size-based broadcasts, as if every table were large.
+"""
 
 from __future__ import annotations
 
@@ -60,19 +65,23 @@ def difference(spark, con, name: str, sf_dir: str) -> str | None:
 if __name__ == "__main__":
     from pyspark.sql import SparkSession
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = [a for a in sys.argv[1:] if a != "--no-broadcast"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    threshold = "-1" if len(args) < len(sys.argv) - 1 else "10MB"
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.autoBroadcastJoinThreshold", threshold)
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
     db = connect(sf)
     failed = 0
-    for key in sys.argv[2:] or entry.queries():
+    for key in args[1:] or entry.queries():
         start = time.time()
         try:
             what = difference(session, db, key, sf)
