@@ -17,6 +17,7 @@ from scenlens.functions.fixed_values import (
     REPORT_SECTORS,
     SECTOR_PRECEDENCE,
     SECTOR_PRECEDENCE_LEGACY,
+    SECTOR_PRECEDENCE_LEGACY_LAND,
     SSPS,
 )
 from scenlens.functions.scalars import diff, sector_of, single_number, split_last
@@ -161,6 +162,37 @@ def compare_legacy(
     return pivot_members(cells, IDS, "sector", "diff", (*sorted(order), "a"))
 
 
+def legacy_report(
+    baseline: str,
+    gdp: DataFrame,
+    pop: DataFrame,
+    food: DataFrame,
+    health: DataFrame,
+    water: DataFrame,
+    land: DataFrame,
+    **window,
+) -> DataFrame:
+    """One project's report in the older layout: five indicators, one column per sector.
+
+    ``land`` holds (scenario, year, percent_unmanaged); its sector test puts dac first.
+    """
+    # Measure, unit and name in the report.
+    plan = [
+        (gdp_per_capita_world(gdp, pop), "GDPpc_thous", "Thous$/pers", "Economy"),
+        (food, "expenditure_percent_GDP", "perc_GDP", "Poverty"),
+        (sum_by(health, ["scenario", "year"], "mort"), "mort", "Mortalities", "Health"),
+        (water_scarcity_runoff(water), "index_wd", "Index", "Water"),
+    ]
+    blocks = [compare_legacy(df, m, baseline, unit, sdg, **window) for df, m, unit, sdg in plan]
+    blocks.append(
+        compare_legacy(
+            land, "percent_unmanaged", baseline, "%", "Land",
+            order=SECTOR_PRECEDENCE_LEGACY_LAND, **window,
+        )
+    )
+    return union_by_name(*blocks)
+
+
 def deliverable(
     blocks: Sequence[DataFrame],
     ssps: Sequence[str] = SSPS,

@@ -20,7 +20,7 @@ from scenlens.functions.fixed_values import (
 )
 from scenlens.functions.scalars import deflator
 from scenlens.plans import compare, economy, food, health, land, water
-from scenlens.sources.catalog import CATALOG, read_query, register_title, where_catalog
+from scenlens.sources.catalog import CATALOG, read_query, register_title, rewrite_labels, where_catalog
 from scenlens.sources.files import read_indicator, write_indicator
 from scenlens.sources.shared import literal_table, staged
 
@@ -61,10 +61,16 @@ def food_groups(spark: SparkSession) -> DataFrame:
 def create_project(
     root: str, tables: Mapping[str, DataFrame], raw: bool = False, mode: str = "errorifexists"
 ) -> None:
-    """Register a table per title. ``raw`` tables are model rows, to which the title's filter applies."""
+    """Register a table per title.
+
+    ``raw`` tables are model rows, to which the title's filter and label merging apply.
+    """
     for title, df in tables.items():
         if raw:
-            df = where_catalog(df, title).select(*[f"`{c}`" for c in CATALOG[title].schema.names])
+            query = CATALOG[title]
+            df = where_catalog(df, title).select(*[f"`{c}`" for c in query.schema.names])
+            if query.relabel:
+                df = rewrite_labels(df, *query.relabel)
         register_title(root, title, df, mode)
 
 
@@ -76,8 +82,13 @@ def indicators(
     lookups: Lookups,
     final_year: int = FINAL_REPORT_YEAR,
     scenarios: Sequence[str] | None = None,
+    details: bool = False,
 ) -> dict[str, DataFrame]:
-    """Every indicator of a project, lazily. ``ssp='base'`` evaluates the baseline project itself."""
+    """Every indicator of a project. ``ssp='base'`` evaluates the baseline project itself.
+
+    ``details`` adds the regional and household tables behind the world values. These are then staged, as
+    several results read them.
+    """
 
     def table(title: str) -> DataFrame:
         return read_query(spark, project_root, title, scenarios)
@@ -104,6 +115,8 @@ def indicators(
         income,
         deflator(index, 1990, 2005),
     )
+    if details:
+        energy, eaten = staged(energy, "energy_share"), staged(eaten, "food_share")
     bill = food.food_basket_regional(
         table("food consumption by type (specific)"),
         food_groups(spark) if lookups.food_groups is None else lookups.food_groups,
@@ -111,6 +124,8 @@ def indicators(
         prices,
     )
     share = food.food_basket_pct_gdp(bill, gdp, deflator(index, 2005, 1990))
+    if details:
+        share = staged(share, "food_regional")
     supply = water.water_supply(
         table("Basin level available runoff"), table("resource supply curves")
     )
@@ -118,13 +133,23 @@ def indicators(
         table("Water Withdrawals by Basin (Runoff)"),
         table("Water Withdrawals by Basin (Groundwater)"),
     )
+    scarcity = water.water_scarcity(supply, withdrawal)
     out = {
         "population": economy.population(pop),
         "gdp": economy.gdp_per_capita(gdp),
         "expenditure": economy.basic_needs_world(eaten, energy, pop),
         "food": food.food_basket_pct_gdp_world(share, pop),
-        "water": water.water_scarcity(supply, withdrawal),
+        "water": scarcity,
     }
+    if details:
+        out |= {
+            "population_weights": economy.population_weights(pop),
+            "energy_share": energy,
+            "food_share": eaten,
+            "total_share": economy.total_expenditure_share(eaten, energy),
+            "food_regional": share,
+            "water_runoff": water.water_scarcity_runoff(scarcity),
+        }
     if lookups.pm25 is not None:
         deaths = staged(health.deaths_by_cause(lookups.pm25, lookups.o3), "deaths")
         shares = health.country_shares(lookups.wide_pop, lookups.macro_regions)
@@ -144,7 +169,9 @@ def indicators(
     return out
 
 
-# Columns of the stored indicators.
+_HOUSEHOLD = "scenario string, region string, decile double, year int"
+
+# Columns of the stored indicators; those after ``land`` are details.
 STORED: dict[str, str] = {
     "population": "scenario string, region string, Units string, year int, value double",
     "gdp": "scenario string, region string, Units string, year int, value double",
@@ -153,6 +180,17 @@ STORED: dict[str, str] = {
     "health": "scenario string, model_region string, year int, mort double",
     "water": "scenario string, year int, resource string, index_sup double, index_wd double",
     "land": "scenario string, value double",
+    "population_weights": "scenario string, region string, year int, wpop double",
+    "energy_share": f"{_HOUSEHOLD}, energy_expenditure_per double",
+    "food_share": f"{_HOUSEHOLD}, food_expenditure_per double",
+    "total_share": (
+        f"{_HOUSEHOLD}, food_expenditure_per double, energy_expenditure_per double, "
+        "total_expenditure_per double"
+    ),
+    "food_regional": (
+        "region string, year int, scenario string, expenditure_percent_GDP double, units string"
+    ),
+    "water_runoff": "scenario string, year int, resource string, index_wd double",
 }
 
 

@@ -251,6 +251,25 @@ def _diffs(sdg: str) -> str:
         GROUP BY 3, 4, 5"""
 
 
+_LEGACY = (
+    ("Thous$/pers", "Economy", "total / n / 1000"),
+    ("perc_GDP", "Poverty", "100 * half / total"),
+    ("Mortalities", "Health", "n"),
+    ("Index", "Water", "half / n / 100000"),
+    ("%", "Land", "100 * half / total / 3"),
+)
+
+
+def _legacy(unit: str, sdg: str, expr: str) -> str:
+    """(unit, sdg, gt, sector, diff) of one block of the older report, second family."""
+    return f"""
+        SELECT '{unit}' AS unit, '{sdg}' AS sdg, x.gt, x.sector, avg(x.v - b.v) AS diff
+        FROM (SELECT gt, year, {SEGMENT_SECTOR} AS sector, {expr} AS v FROM run_years
+              WHERE ssp = 2 AND NOT is_base) x
+        JOIN (SELECT year, {expr} AS v FROM run_years WHERE ssp = 2 AND is_base) b ON x.year = b.year
+        WHERE x.year BETWEEN 1997 AND 2001 GROUP BY 3, 4"""
+
+
 PSL_DIFFS = f"""
     SELECT 'PSL' AS unit, 'PSL' AS sdg, x.gt, x.ssp, x.sector, x.v - b.v AS diff
     FROM (SELECT ssp, gt, {SEGMENT_SECTOR} AS sector, sum(total) / 1e6 AS v
@@ -493,6 +512,10 @@ ORACLES = {
         FROM (SELECT gt, year, {SEGMENT_SECTOR} AS sector, total / n / 1000 AS v FROM run_years WHERE ssp = 2 AND NOT is_base) x
         JOIN (SELECT year, total / n / 1000 AS v FROM run_years WHERE ssp = 2 AND is_base) b ON x.year = b.year
         WHERE x.year BETWEEN 1997 AND 2001 GROUP BY 1, 2, 3"""),
+    "legacy_report": _with("run_years", f"""
+        SELECT unit, sdg, CAST(gt AS VARCHAR) AS Gt_CO2_reduction,
+               {", ".join(r(f"max(CASE WHEN sector = '{s}' THEN diff END)", 8, s) for s in ("afolu", "bld", "ind", "sup", "trn", "a", "dac"))}
+        FROM ({" UNION ALL ".join(_legacy(*b) for b in _LEGACY)}) GROUP BY 1, 2, 3"""),
     "scalar_baseline": _with("run_years", f"""
         SELECT 'study_' || sector || gt || '_SSP' || ssp AS scenario, 'SSP3' AS family, unit, sdg,
                {r('diff', 6, 'diff')} FROM ({PSL_DIFFS}) WHERE ssp = 3"""),

@@ -639,6 +639,19 @@ def compare_legacy(v: Views) -> DataFrame:
     return C.compare_legacy(one, "GDPpc_thous", "study_base_", "Thous$/pers", "Economy", **WINDOW)
 
 
+@query(8)
+def legacy_report(v: Views) -> DataFrame:
+    def one(df: DataFrame) -> DataFrame:
+        name = F.regexp_replace("scenario", r"^study_([a-z]+)(\d*)_SSP2$", "study_$1_$2")
+        return df.filter(F.col("scenario").endswith("SSP2")).withColumn("scenario", name)
+
+    runs = {k: one(df) for k, df in v.run_tables().items() if k not in ("expenditure", "land")}
+    unmanaged = runs["food"].select(
+        "scenario", "year", (F.col("expenditure_percent_GDP") / 3).alias("percent_unmanaged")
+    )
+    return C.legacy_report("study_base_", land=unmanaged, **runs, **WINDOW)
+
+
 @query(6)
 def scalar_baseline(v: Views) -> DataFrame:
     return C.scalar_difference(v.run_tables()["land"], "value", "PSL", "PSL", "SSP3")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scenlens.plans import run as R
-from scenlens.sources.catalog import CATALOG
+from scenlens.sources.catalog import CATALOG, read_query
 from scenlens.sources.shared import literal_table
 
 YEARS = (2015, 2020, 2030)
@@ -105,7 +105,7 @@ def stored(spark, tmp_path_factory):
     for name, (ssp, scenarios) in PROJECTS.items():
         R.run_indicators(
             spark, f"{root}/{name}", base, f"{root}/out", name, ssp, lookups(spark, scenarios),
-            scenarios=scenarios,
+            scenarios=scenarios, details=True,
         )
     return f"{root}/out"
 
@@ -113,6 +113,9 @@ def stored(spark, tmp_path_factory):
 def test_every_project_is_stored(spark, stored):
     for name in R.STORED:
         assert R.stored(spark, stored, name).select("scenario").distinct().count() == 5
+    total = R.stored(spark, stored, "total_share")
+    assert total.filter("abs(food_expenditure_per + energy_expenditure_per - total_expenditure_per) > 1e-9").count() == 0
+    assert total.count() == 5 * len(REGIONS) * len(YEARS) * 2
     one = R.stored(spark, stored, "water", "^SSP2")
     assert {r.scenario for r in one.collect()} == {"x_trn10_SSP2"}
     assert R.project_label("database_basexdb_SSP1_x.dat") == "SSP1_x"
@@ -156,9 +159,13 @@ def test_raw_rows_are_filtered_by_title(spark, tmp_path):
         "scenario string, region string, Units string, year int, value double, account string",
     )
     R.create_project(str(tmp_path), {title: raw}, raw=True)
-    from scenlens.sources.catalog import read_query
-
     assert [r.value for r in read_query(spark, str(tmp_path), title).collect()] == [1.0]
+    title = "nonCO2 emissions by resource production"
+    raw = spark.createDataFrame(
+        [("s", "A", "coal", g, "u", 2020, 1.0) for g in ("CH4", "bldCO2", "CO2")], CATALOG[title].schema
+    )
+    R.create_project(str(tmp_path), {title: raw}, raw=True)
+    assert sorted(r.GHG for r in read_query(spark, str(tmp_path), title).collect()) == ["CH4", "CO2"]
 
 
 def test_default_food_groups(spark):
