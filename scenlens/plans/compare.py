@@ -45,12 +45,27 @@ def scenario_parts(
     return single_number(head), sector_of(scenario, tuple(order)), tail
 
 
-def mean_difference(
-    df: DataFrame,
-    measure: str,
-    unit: str,
-    sdg: str,
-    relative: bool = False,
+def measure_rows(
+    df: DataFrame, measure: str, unit: str, sdg: str, relative: bool = False
+) -> DataFrame:
+    """An indicator in comparable form: (scenario, year, unit, sdg, relative, value).
+
+    ``df`` holds (scenario, year, measure), or (scenario, measure) for a measure of the whole run, whose
+    year is null.
+    """
+    year = F.col("year") if "year" in df.columns else F.lit(None)
+    return df.select(
+        "scenario",
+        year.cast("int").alias("year"),
+        F.lit(unit).alias("unit"),
+        F.lit(sdg).alias("sdg"),
+        F.lit(relative).alias("relative"),
+        F.col(measure).cast("double").alias("value"),
+    )
+
+
+def mean_differences(
+    measures: DataFrame,
     base_pattern: str = "base",
     ssps: Sequence[str] = SSPS,
     y0: int = FIRST_REPORT_YEAR,
@@ -58,27 +73,34 @@ def mean_difference(
 ) -> DataFrame:
     """Mean yearly difference from the family's baseline: (scenario, family, unit, sdg, diff).
 
-    ``df`` holds (scenario, year, measure), or (scenario, measure) for a measure of the whole run. Every
-    row needs exactly one baseline row of its family and year. Baseline rows number at most families x
-    report years, which is why they may be broadcast.
+    ``measures`` are rows of :func:`measure_rows`, of any number of indicators: all are compared in one
+    pass. Every row needs exactly one baseline row of its family, indicator and year. Baseline rows number
+    at most families x indicators x report years, which is why they may be broadcast.
     """
-    yearly = "year" in df.columns
-    rows = (between_years(df, y0, y1) if yearly else df).withColumn(
-        "family", family_of("scenario", ssps)
-    )
-    rows = rows.filter(F.col("family").isNotNull())
+    family = family_of("scenario", ssps)
+    rows = measures.filter(
+        family.isNotNull() & (F.col("year").isNull() | F.col("year").between(y0, y1))
+    ).withColumns({"family": family, "at": F.coalesce("year", F.lit(0))})
     is_base = F.col("scenario").rlike(base_pattern)
-    on = ["family", "year"] if yearly else ["family"]
-    joined = attach_baseline(rows, is_base, on, [measure], bounded=True)
+    joined = attach_baseline(rows, is_base, ["family", "sdg", "at"], ["value"], bounded=True)
+    change = F.when(F.col("relative"), diff("value", "value_base", relative=True)).otherwise(
+        diff("value", "value_base")
+    )
     return (
         joined.filter(~is_base)
-        .withColumn("diff", diff(measure, f"{measure}_base", relative))
-        .groupBy("scenario", "family")
+        .withColumn("diff", change)
+        .groupBy("scenario", "family", "unit", "sdg")
         .agg(A.mean_strict("diff").alias("diff"))
-        .select("scenario", "family", F.lit(unit).alias("unit"), F.lit(sdg).alias("sdg"), "diff")
     )
 
 
+def mean_difference(
+    df: DataFrame, measure: str, unit: str, sdg: str, relative: bool = False, **window
+) -> DataFrame:
+    """:func:`mean_differences` of one indicator."""
+    return mean_differences(measure_rows(df, measure, unit, sdg, relative), **window)
+
+
 def scalar_difference(
     df: DataFrame, measure: str, unit: str, sdg: str, family: str, base_pattern: str = "base"
 ) -> DataFrame:
@@ -194,25 +216,25 @@ def legacy_report(
 
 
 def deliverable(
-    blocks: Sequence[DataFrame],
+    differences: DataFrame,
     ssps: Sequence[str] = SSPS,
     sectors: Sequence[str] = REPORT_SECTORS,
     ordered: bool = True,
 ) -> DataFrame:
     """All indicators in one wide table: a row per unit, indicator and reduction level.
 
-    ``blocks`` are results of ``mean_difference`` or ``scalar_difference``. A level appears only if every
-    family has it for that indicator. Columns are grouped by sector; scenarios without a known sector
+    ``differences`` are rows of ``mean_differences`` (or ``scalar_difference``), possibly a union of
+    several. A level appears only if every family has it for that indicator. Columns are grouped by sector; scenarios without a known sector
     count towards a level's presence but have no column.
     """
-    cells = tagged(union_by_name(*blocks))
+    cells = tagged(differences)
     members = report_members(ssps, sectors)
     wide = merge_all_groups(cells, IDS, "family", ssps, "sector_ssp", "diff", members)
     wide = order_report(wide, ["Gt_CO2_reduction", "unit", "sdg"], sectors)
     return sort_report(wide, "sdg", "Gt_CO2_reduction") if ordered else wide
 
 
-def report_blocks(
+def report_differences(
     gdp: DataFrame,
     pop: DataFrame,
     expenditure: DataFrame,
@@ -221,8 +243,8 @@ def report_blocks(
     water: DataFrame,
     land: DataFrame,
     **window,
-) -> list[DataFrame]:
-    """The six blocks of the report from the gathered indicator tables."""
+) -> DataFrame:
+    """Differences of the report's six indicators, from the gathered tables, in one comparison."""
     people = pop.select("scenario", "region", "year", "value").distinct()
     deaths = sum_by(health, ["scenario", "year"], "mort")
     runoff = water_scarcity_runoff(water)
@@ -235,7 +257,7 @@ def report_blocks(
         (runoff, "index_wd", "Index", "Water", False),
         (land.select("scenario", "value"), "value", "PSL", "PSL", False),
     ]
-    return [mean_difference(*block, **window) for block in plan]
+    return mean_differences(union_by_name(*[measure_rows(*block) for block in plan]), **window)
 
 
 def sorted_by_level(table: DataFrame) -> DataFrame:

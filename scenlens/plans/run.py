@@ -230,5 +230,5 @@ def build_report(
     names = {"gdp": "gdp", "pop": "population", "expenditure": "expenditure", "food": "food",
              "health": "health", "water": "water", "land": "land"}
     tables = {arg: stored(spark, out_root, name) for arg, name in names.items()}
-    blocks = compare.report_blocks(**tables, ssps=ssps, **window)
-    return compare.deliverable(blocks, ssps)
+    differences = compare.report_differences(**tables, ssps=ssps, **window)
+    return compare.deliverable(differences, ssps)

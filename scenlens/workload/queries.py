@@ -659,7 +659,9 @@ def scalar_baseline(v: Views) -> DataFrame:
 
 @query(8)
 def deliverable_wide(v: Views) -> DataFrame:
-    return C.deliverable(C.report_blocks(**v.run_tables(), **WINDOW), sectors=("afolu", "bld", "ind", "trn"))
+    return C.deliverable(
+        C.report_differences(**v.run_tables(), **WINDOW), sectors=("afolu", "bld", "ind", "trn")
+    )
 
 
 # Files -------------------------------------------------------------------------------------------

@@ -386,7 +386,7 @@ def test_scalar_difference(spark):
 
 def test_deliverable_keeps_levels_of_all_families(runs):
     blocks = [C.mean_difference(runs, "v", "u", name) for name in ("Water", "Health")]
-    report = C.deliverable(blocks, ("SSP1", "SSP2"))
+    report = C.deliverable(blocks[0].unionByName(blocks[1]), ("SSP1", "SSP2"))
     assert report.columns[:4] == ["Gt_CO2_reduction", "unit", "sdg", "afolu_ssp1"]
     assert len(report.columns) == 3 + 12 and "a_ssp2" not in report.columns
     got = report.collect()
