@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -46,7 +47,7 @@ def split_first(c: str | Column, sep: str = ",") -> Column:
 
 def split_padded(c: str | Column, sep: str, n: int) -> list[Column]:
     """Exactly ``n`` parts: absent ones are null, surplus ones are dropped."""
-    parts = F.split(_col(c), rf"\Q{sep}\E", -1)
+    parts = F.split(_col(c), re.escape(sep), -1)
     return [F.get(parts, F.lit(i)) for i in range(n)]
 
 

@@ -24,7 +24,9 @@ def land_projection(land: DataFrame, basins: DataFrame, years: Sequence[int]) ->
     Leaves read ``class_basin[_irrigation[_level]]``; the two managed forest kinds count as forest. Two
     different leaves that end up in the same row fail, as one value per cell is expected.
     """
-    leaf = F.regexp_replace("landleaf", "(Hardwood|Softwood)_Forest", "Forest")
+    leaf = F.col("landleaf")
+    for kind in ("Hardwood_Forest", "Softwood_Forest"):
+        leaf = F.replace(leaf, F.lit(kind), F.lit("Forest"))
     landclass, basin, irrigation, level = split_padded(leaf, "_", 4)
     rows = land.select(
         "scenario",

@@ -30,7 +30,7 @@ def connect(sf_dir: str):
     return con
 
 
-def _rows(columns, types, rows):
+def _rows(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted((tuple(r[i] for i in order) for r in rows), key=repr)
 
@@ -43,11 +43,11 @@ KINDS = {
 def difference(spark, con, name: str, sf_dir: str) -> str | None:
     """What differs between a query and its SQL, or None."""
     df = entry.queries()[name](spark, sf_dir)
-    got = _rows(df.columns, None, [tuple(r) for r in df.collect()])
+    got = _rows(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in cur.description]
     types = {d[0]: KINDS.get(str(d[1]), str(d[1])) for d in cur.description}
-    want = _rows(columns, None, cur.fetchall())
+    want = _rows(columns, cur.fetchall())
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
     if types != dict(df.dtypes):
