@@ -169,7 +169,8 @@ def write_indicator(df: DataFrame, root: str, indicator: str, mode: str = "overw
     Overwriting replaces the folders of the projects in ``df`` and leaves other projects alone.
     """
     path = f"{root}/{indicator}/indiv_results"
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    even = df.hint("rebalance", "project")
+    writer = even.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     writer.option("nullValue", "NA").partitionBy("project").csv(path, header=True)
     return path
 
