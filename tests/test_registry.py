@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from scenlens.workload.oracles import ORACLES
+from scenlens.workload.queries import QUERIES
 from tests.check_oracles import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -18,10 +20,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert difference(spark, con, name, SF) is None
 
