@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scenlens.llm import licenses, line_dedup, mixing, sharding
+from scenlens.llm import licenses, line_dedup, mixing, near_dup, sharding, token_ids
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +24,27 @@ def op5_mix_prefix_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_ids_perfect_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = token_ids.write_and_index(_table(spark, sf_dir, "documents"))
+    return written.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op8_fast_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.label(_table(spark, sf_dir, "documents"))
+
+
 def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bounded_ring, op3_site_lines, op5_mix_prefix_cut, op9_license_diagonals)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_bounded_ring,
+        op3_site_lines,
+        op5_mix_prefix_cut,
+        op7_ids_perfect_hash,
+        op8_fast_sketches,
+        op9_license_diagonals,
+    )
+}
