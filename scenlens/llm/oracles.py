@@ -58,4 +58,15 @@ SELECT doc_id, size, source_size, target,
 FROM cut
 """
 
-ORACLES = {"op3_site_lines": OP3, "op5_mix_prefix_cut": OP5}
+OP4 = """
+WITH rows AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+facts AS (SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest FROM rows),
+marked AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM facts)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM marked
+"""
+
+ORACLES = {"op3_site_lines": OP3, "op4_warc_revisits": OP4, "op5_mix_prefix_cut": OP5}
