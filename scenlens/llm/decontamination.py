@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scenlens.llm.common import ship
 from scenlens.llm.words import encoded, window_hashes, word_hashes
+from scenlens.operators.joins import inner_join
 from scenlens.sources.shared import staged
 
 MASKS = ("1110111", "11011011", "1101010011")
@@ -168,7 +169,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     diagonals = staged(diagonals.distinct(), "diagonals")
     verify = F.pandas_udf(_verify, "at long, n_words long, n_matched long")
     texts = parts.select("region", "doc_id", "start", "words").dropDuplicates(["region"])
-    joined = diagonals.join(texts, "region").join(items.select("item_id", "item_words"), "item_id")
+    joined = inner_join(diagonals.join(texts, "region"), items.select("item_id", "item_words"), "item_id", null_keys=True)
     found = joined.withColumn("found", verify("words", "item_words", "diagonal")).filter(F.col("found.at").isNotNull())
     rows = found.select("doc_id", "item_id", F.col("found.n_matched"), F.col("found.n_words"), (F.col("start") + F.col("found.at")).alias("first_word"))
     best = F.max(F.struct("n_matched", -F.col("n_words"), -F.col("first_word"))).alias("best")

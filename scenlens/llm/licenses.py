@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from scenlens.llm.common import bounded_table
+from scenlens.sources.shared import staged
 
 K = 3
 SLACK = 4
@@ -120,7 +121,8 @@ def scan(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, base places and labels, method labels and score of each document."""
     spark = documents.sparkSession
     rows = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), words(F.col("text")).alias("words"))
-    verified = spans(hits(rows, template_positions(spark)))
+    found = hits(rows, template_positions(spark)).select("doc_id", "key", "pos", "at", "template", "label", "grams")
+    verified = spans(staged(found, "license_hits"))
     per_document = verified.groupBy("doc_id", "key").agg(
         F.collect_set(F.when(F.col("coverage") >= COVERAGE, F.col("label"))).alias("method_labels"),
         F.max("coverage").alias("best"),
@@ -145,6 +147,7 @@ def scan(documents: DataFrame) -> DataFrame:
             "base",
         )
     )
+    base = staged(base, "license_words")
     found = per_document.withColumnRenamed("doc_id", "found_id").withColumnRenamed("key", "found_key")
     same = (base["key"] == found["found_key"]) & base["doc_id"].eqNullSafe(found["found_id"])
     joined = base.join(found, same, "left")

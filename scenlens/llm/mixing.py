@@ -57,13 +57,12 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def mix(documents: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken of each document."""
-    facts = staged(
-        documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), random_key("doc_id").alias("key")),
-        "mix_facts",
-    )
-    placed = numbered(facts, ["source", "key", "doc_id", "size"], {"before": "size"})
+def mix(documents: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target and taken of each document, and the column ``row`` if named."""
+    own = [row] if row else []
+    size, key = word_count(F.col("text")).alias("size"), random_key("doc_id").alias("key")
+    facts = staged(documents.select("doc_id", "source", size, key, *own), "mix_facts")
+    placed = numbered(facts, ["source", "key", "doc_id", "size", *own], {"before": "size"})
     sizes = facts.groupBy("source").agg(F.sum("size").alias("source_size"))
     starts = placed.groupBy("source").agg(F.min("before").alias("source_start"))
     per_source = left_join(staged(targets(sizes), "mix_targets"), starts, "source", null_keys=True)
@@ -74,4 +73,17 @@ def mix(documents: DataFrame) -> DataFrame:
     start = F.col("before") - F.col("source_start")
     once_more = F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
     taken = (epochs * F.col("size") + once_more).cast("long")
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *own)
+
+
+def mixed_documents(documents: DataFrame) -> DataFrame:
+    """The mix itself: every document as often as it is taken, all columns as they are.
+
+    Documents are whole: one that the cut divides is there if at least half of it is taken.
+    """
+    row = "__mix_row"
+    rows = staged(documents.withColumn(row, F.monotonically_increasing_id()), "mix_rows")
+    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("__times")
+    taken = mix(rows, row).filter(F.col("size") > 0).select(row, times).filter("__times > 0")
+    joined = rows.join(taken, row).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return joined.select(*[F.col(f"`{c}`") for c in documents.columns])
