@@ -9,6 +9,7 @@ from pyspark.sql.types import NumericType
 
 from scenlens.functions import aggregates as A
 from scenlens.operators.joins import left_join, strict_left_join
+from scenlens.sources.shared import staged
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], *cols: str) -> DataFrame:
@@ -32,10 +33,6 @@ def sum_numeric_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sum_by(df, keys, *numeric_columns(df, keys))
 
 
-def weighted_sum(df: DataFrame, keys, value: str, weight: str, out: str) -> DataFrame:
-    return df.groupBy(*keys).agg(A.weighted_sum_of(value, weight).alias(out))
-
-
 def weighted_ratio(df: DataFrame, keys, value: str, weights: dict[str, str]) -> DataFrame:
     """Weighted means of ``value`` under several weightings in one pass; ``weights``: output -> weight."""
     return df.groupBy(*keys).agg(
@@ -43,10 +40,6 @@ def weighted_ratio(df: DataFrame, keys, value: str, weights: dict[str, str]) ->
     )
 
 
-def ratio_of_sums(df: DataFrame, keys, num: str, den: str, out: str) -> DataFrame:
-    return df.groupBy(*keys).agg(A.ratio_of_sums_of(num, den).alias(out))
-
-
 def share_of_total(
     df: DataFrame, keys: Sequence[str], value: str, out: str, null_keys: bool = False
 ) -> DataFrame:
@@ -74,8 +67,10 @@ def calibrate(
 ) -> DataFrame:
     """Rescale ``value`` in all years so that its mean in ``ref_year`` meets the observed one.
 
-    Groups without rows in ``ref_year`` fail, as do groups without an observation.
+    Groups without rows in ``ref_year`` fail, as do groups without an observation. ``df`` is written once,
+    as it is read twice. A group's rows may be many, so they are joined to the factors spread.
     """
+    df = staged(df, "calibrated")
     modelled = (
         df.filter(F.col("year") == ref_year)
         .groupBy(*keys)
@@ -84,4 +79,4 @@ def calibrate(
     factors = strict_left_join(
         modelled, observed.select(*observed_on, observed_value), observed_on
     ).select(*keys, F.try_divide(F.col(observed_value), F.col("__modelled")).alias(factor))
-    return strict_left_join(df, factors, keys).withColumn(out, F.col(factor) * F.col(value))
+    return strict_left_join(df, factors, keys, spread=True).withColumn(out, F.col(factor) * F.col(value))

@@ -118,17 +118,20 @@ def unique_rows(df: DataFrame, on) -> DataFrame:
 
 
 def strict_left_join(
-    left: DataFrame, right: DataFrame, on, null_keys: bool = False, reject_null: bool = False
-) -> DataFrame:
+    left: DataFrame, right: DataFrame, on, null_keys: bool = False, reject_null: bool = False,
+    spread: bool = False,
+) -> DataFrame:
     """Left join in which every left row must match exactly one right row; the job fails otherwise.
 
     ``reject_null`` also fails when a matched row brings a null value. The plan stays lazy: the failure
-    is raised by the tasks that meet the offending row.
+    is raised by the tasks that meet the offending row. The check that right keys are unique shuffles the
+    right side by the key, and the join uses that same shuffle; set ``spread`` where the left side may have
+    hot keys, which shuffles the checked rows once more so that a hot key can be split.
     """
     on = _as_list(on)
     values = [c for c in right.columns if c not in on]
     checked = unique_rows(right, on).withColumn(_MATCH, F.lit(True))
-    joined = _join(left, checked, on, "left", null_keys, spread=True)
+    joined = _join(left, checked, on, "left", null_keys, spread)
     bad = F.col(_MATCH).isNull()
     if reject_null:
         for c in _quoted(values):

@@ -26,56 +26,94 @@ def unpivot_years(
     return long.select(*ids, year.alias("year"), value)
 
 
+_OTHER = "__other"
+
+
+def _listed(df: DataFrame, names: str) -> DataFrame:
+    """Fails on a group with a member that is not listed."""
+    message = F.concat(F.lit(f"{names} has a member that is not listed: "), F.col(_OTHER))
+    ok = F.when(F.col(_OTHER).isNotNull(), F.raise_error(message)).otherwise(F.lit(True))
+    return df.filter(ok).drop(_OTHER)
+
+
+def _unlisted(names: str, members: Sequence[str | int], other: str) -> list[Column]:
+    """The aggregate that :func:`_listed` reads; none if other members may go."""
+    if other == "drop":
+        return []
+    if other != "fail":
+        raise ValueError(f"unknown choice for other members: {other!r}")
+    name = F.col(names)
+    test = F.when(~F.coalesce(name.isin(*members), F.lit(False)), F.coalesce(name.cast("string"), F.lit("null")))
+    return [F.max(test).alias(_OTHER)]
+
+
 def pivot_members(
-    df: DataFrame, ids: Sequence[str], names: str, values: str, members: Sequence[str | int]
+    df: DataFrame, ids: Sequence[str], names: str, values: str, members: Sequence[str | int], other: str = "fail"
 ) -> DataFrame:
     """One column per listed member. Fails if a cell would hold two rows.
 
+    A row whose member is not listed fails the job too; ``other="drop"`` leaves such rows out.
+
     The member list is explicit, so the schema does not depend on the data and no extra job reads the
     distinct values. One group-by with conditional aggregates: one shuffle, combined map-side.
     """
-    return df.groupBy(*ids).agg(
-        *[A.single(values, F.col(names) == m, f"{names}={m}").alias(str(m)) for m in members]
+    unlisted = _unlisted(names, members, other)
+    wide = df.groupBy(*ids).agg(
+        *[A.single(values, F.col(names) == m, f"{names}={m}").alias(str(m)) for m in members], *unlisted
     )
+    return _listed(wide, names) if unlisted else wide
 
 
 def pivot_years(
-    df: DataFrame, ids: Sequence[str], years: Sequence[int], value: str = "value"
+    df: DataFrame, ids: Sequence[str], years: Sequence[int], value: str = "value", other: str = "fail"
 ) -> DataFrame:
-    return pivot_members(df, ids, "year", value, years)
+    return pivot_members(df, ids, "year", value, years, other)
+
+
+_WORD = 62  # members that one mask holds
+
+
+def member_masks(names: str, members: Sequence[str]) -> list[tuple[Column, int]]:
+    """For each 62 members: a column with one bit for the row's member, and the mask of all of them."""
+    out = []
+    for lo in range(0, len(members), _WORD):
+        some = members[lo : lo + _WORD]
+        bit = F.lit(None).cast("long")
+        for i, m in enumerate(some):
+            bit = F.when(F.col(names) == m, F.lit(1 << i).cast("long")).otherwise(bit)
+        out.append((bit, (1 << len(some)) - 1))
+    return out
 
 
-def _membership(names: str, members: Sequence[str]) -> tuple[Column, int]:
-    """One bit per member that has a value; and the mask of all of them."""
-    if len(members) > 62:
-        raise ValueError("at most 62 members")
-    bit = F.lit(None).cast("long")
-    for i, m in enumerate(members):
-        bit = F.when(F.col(names) == m, F.lit(1 << i).cast("long")).otherwise(bit)
-    return bit, (1 << len(members)) - 1
+def all_members(masks: list[tuple[Column, int]], prefix: str) -> Column:
+    """True for a group whose aggregated masks ``<prefix>0, <prefix>1, ...`` are full."""
+    return reduce(lambda a, b: a & b, [F.col(f"{prefix}{i}") == full for i, (_, full) in enumerate(masks)])
 
 
 def pivot_complete(
-    df: DataFrame, ids: Sequence[str], names: str, values: str, members: Sequence[str]
+    df: DataFrame, ids: Sequence[str], names: str, values: str, members: Sequence[str], other: str = "fail"
 ) -> DataFrame:
     """Pivot that keeps only the ids with a value for every member.
 
     This is what a chain of inner joins, one per member, would return, for one shuffle in place of one
     per member.
     """
-    wide = pivot_members(df, ids, names, values, members)
+    wide = pivot_members(df, ids, names, values, members, other)
     return wide.dropna("any", subset=[str(m) for m in members])
 
 
 def merge_all_groups(
     df: DataFrame, ids: Sequence[str], group: str, groups: Sequence[str], names: str, values: str,
-    members: Sequence[str],
+    members: Sequence[str], other: str = "fail",
 ) -> DataFrame:
     """Pivot (ids x member), keeping the ids that occur in every one of ``groups``."""
-    bit, full = _membership(group, groups)
+    masks = member_masks(group, groups)
+    found = [F.bit_or(bit).alias(f"__groups{i}") for i, (bit, _) in enumerate(masks)]
+    unlisted = _unlisted(names, members, other)
     cells = [A.single(values, F.col(names) == m, f"{names}={m}").alias(m) for m in members]
-    wide = df.groupBy(*ids).agg(F.bit_or(bit).alias("__groups"), *cells)
-    return wide.filter(F.col("__groups") == full).drop("__groups")
+    wide = df.groupBy(*ids).agg(*found, *cells, *unlisted)
+    wide = _listed(wide, names) if unlisted else wide
+    return wide.filter(all_members(masks, "__groups")).drop(*[f"__groups{i}" for i in range(len(masks))])
 
 
 def two_period(

@@ -27,6 +27,7 @@ from scenlens.operators.reshape import merge_all_groups, pivot_members, union_by
 from scenlens.operators.rows import between_years, order_report, sort_numeric, sort_report
 from scenlens.plans.economy import gdp_per_capita_world
 from scenlens.plans.water import water_scarcity_runoff
+from scenlens.sources.shared import staged
 
 IDS = ("unit", "sdg", "Gt_CO2_reduction")
 
@@ -124,9 +125,12 @@ def scalar_difference(
 
 
 def tagged(diffs: DataFrame, order: Sequence[str] = SECTOR_PRECEDENCE) -> DataFrame:
-    """One row per report cell: (unit, sdg, Gt_CO2_reduction, family, sector_ssp, diff)."""
-    gt, sector, ssp = scenario_parts("scenario", order)
-    cell = F.concat_ws("_", sector, F.lower(F.coalesce(ssp, F.lit("NA"))))
+    """One row per report cell: (unit, sdg, Gt_CO2_reduction, family, sector_ssp, diff).
+
+    A cell goes by its sector and family, wherever in the scenario's name these stand.
+    """
+    gt, sector, _ = scenario_parts("scenario", order)
+    cell = F.concat_ws("_", sector, F.lower("family"))
     return diffs.select(
         "unit", "sdg", gt.alias("Gt_CO2_reduction"), "family", cell.alias("sector_ssp"), "diff"
     )
@@ -228,7 +232,7 @@ def deliverable(
     count towards a level's presence but have no column.
     """
     cells = tagged(differences)
-    members = report_members(ssps, sectors)
+    members = report_members(ssps, (*sectors, "a"))
     wide = merge_all_groups(cells, IDS, "family", ssps, "sector_ssp", "diff", members)
     wide = order_report(wide, ["Gt_CO2_reduction", "unit", "sdg"], sectors)
     return sort_report(wide, "sdg", "Gt_CO2_reduction") if ordered else wide
@@ -239,25 +243,30 @@ def report_differences(
     pop: DataFrame,
     expenditure: DataFrame,
     food: DataFrame,
-    health: DataFrame,
+    health: DataFrame | None,
     water: DataFrame,
-    land: DataFrame,
+    land: DataFrame | None,
     **window,
 ) -> DataFrame:
-    """Differences of the report's six indicators, from the gathered tables, in one comparison."""
+    """Differences of the report's six indicators, from the gathered tables, in one comparison.
+
+    Health and land may be absent. The measures are a small table, written once, as rows and as baselines.
+    """
     people = pop.select("scenario", "region", "year", "value").distinct()
-    deaths = sum_by(health, ["scenario", "year"], "mort")
     runoff = water_scarcity_runoff(water)
     # Measure, unit, name in the report, and whether the difference is relative.
     plan = [
         (gdp_per_capita_world(gdp, people), "GDPpc_thous", "Thous$/pers", "Economy", True),
         (expenditure, "total_expenditure_per_world", "perc_income", "Poverty", False),
         (food, "expenditure_percent_GDP", "perc_GDP", "Hunger", False),
-        (deaths, "mort", "Mortalities", "Health", False),
         (runoff, "index_wd", "Index", "Water", False),
-        (land.select("scenario", "value"), "value", "PSL", "PSL", False),
     ]
-    return mean_differences(union_by_name(*[measure_rows(*block) for block in plan]), **window)
+    if health is not None:
+        plan.append((sum_by(health, ["scenario", "year"], "mort"), "mort", "Mortalities", "Health", False))
+    if land is not None:
+        plan.append((land.select("scenario", "value"), "value", "PSL", "PSL", False))
+    measures = staged(union_by_name(*[measure_rows(*block) for block in plan]), "measures")
+    return mean_differences(measures, **window)
 
 
 def sorted_by_level(table: DataFrame) -> DataFrame:

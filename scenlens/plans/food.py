@@ -11,7 +11,7 @@ from scenlens.functions.fixed_values import (
     PCAL_TO_KCAL,
     THOUSAND,
 )
-from scenlens.functions.scalars import deflate, pct, split_first
+from scenlens.functions.scalars import deflate, pct
 from scenlens.operators.joins import left_join
 
 
@@ -27,18 +27,12 @@ def food_basket_regional(
     ``groups`` maps a food item (``subsector``) to its demand sector (``supplysector``). An item without
     a group has no price, which leaves the whole region's bill unknown. ``consumer='all'`` adds up the
     prices of all income groups, as existing published results do; ``'median'`` takes their median, the
-    documented median consumer.
+    documented median consumer (exact, so an income group's prices of one sector, region and year meet in one
+    task: as many rows as there are income groups).
     """
     if consumer not in ("all", "median"):
         raise ValueError(f"unknown consumer: {consumer!r}")
-    items = consumption.groupBy(
-        "region",
-        "scenario",
-        split_first("subsector_1").alias("nest_1"),
-        split_first("subsector_2").alias("nest_2"),
-        "technology",
-        "year",
-    ).agg(A.sum_strict("value").alias("value"))
+    items = consumption.select("region", "scenario", "technology", "year", "value")
     grouped = left_join(items, groups.withColumnRenamed("subsector", "technology"), ["technology"])
     persons = pop.select("year", "scenario", "region", (F.col("value") * THOUSAND).alias("persons"))
     eaten = (

@@ -7,22 +7,24 @@ cell), with both years and all classes combined into one row per cell map-side.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scenlens.functions.fixed_values import KM2_TO_M2, LAND_YEARS, PSL_CLASSES
+from scenlens.functions.fixed_values import KM2_TO_M2, LAND_YEARS, NON_LAND_VARIABLES, PSL_CLASSES
 from scenlens.functions.scalars import land_class, row_sum, split_padded
 from scenlens.operators.aggregation import sum_by
 from scenlens.operators.joins import cross_scenarios, full_join, inner_join
-from scenlens.operators.reshape import _membership
+from scenlens.operators.reshape import all_members, member_masks
 from scenlens.operators.rows import map_numeric, zero_fill
 
 
 def land_projection(land: DataFrame, basins: DataFrame, years: Sequence[int]) -> DataFrame:
     """Land by class and basin, one column per year: (region, landclass, metric_id, scenario, <years>).
 
-    Leaves read ``class_basin[_irrigation[_level]]``; the two managed forest kinds count as forest. Two
-    different leaves that end up in the same row fail, as one value per cell is expected.
+    Leaves read ``class_basin[_irrigation[_level]]``; the two managed forest kinds count as forest. Basins
+    without an id are left out. Two different leaves that end up in one cell fail.
     """
     leaf = F.col("landleaf")
     for kind in ("Hardwood_Forest", "Softwood_Forest"):
@@ -37,21 +39,27 @@ def land_projection(land: DataFrame, basins: DataFrame, years: Sequence[int]) ->
         "value",
         F.xxhash64(leaf, "Units").alias("leaf"),
     )
+    ids = basins.select("GLU_name", F.col("basin_id").alias("metric_id"))
+    rows = inner_join(rows, ids, ["GLU_name"])
 
     def cell(y: int) -> Column:
         here = F.col("year") == y
         total = F.sum(F.when(here, F.col("value")))
         return F.when(F.count_if(here & F.col("value").isNull()) == 0, total).alias(str(y))
 
-    wide = rows.groupBy("region", "landclass", "GLU_name", "scenario").agg(
-        F.min("leaf").alias("__lo"), F.max("leaf").alias("__hi"), *[cell(y) for y in years]
+    def two_leaves(y: int) -> Column:
+        leaf = F.when(F.col("year") == y, F.col("leaf"))
+        return F.coalesce(F.min(leaf) != F.max(leaf), F.lit(False))
+
+    twice = reduce(or_, [two_leaves(y) for y in years])
+    wide = rows.groupBy("region", "landclass", "GLU_name", "metric_id", "scenario").agg(
+        twice.alias("__twice"), *[cell(y) for y in years]
     )
     message = F.concat(
         F.lit("two land leaves in one row: "), F.to_json(F.struct("region", "landclass", "GLU_name"))
     )
-    one = F.when(F.col("__lo") != F.col("__hi"), F.raise_error(message)).otherwise(F.lit(True))
-    ids = basins.select("GLU_name", F.col("basin_id").alias("metric_id"))
-    return inner_join(wide.filter(one).drop("__lo", "__hi"), ids, ["GLU_name"]).select(
+    one = F.when(F.col("__twice"), F.raise_error(message)).otherwise(F.lit(True))
+    return wide.filter(one).select(
         "region", "landclass", "metric_id", "scenario", *[F.col(f"`{y}`") for y in years]
     )
 
@@ -70,15 +78,19 @@ def _class_sums(cond: Column | None, suffix: str, keep: Sequence[str]) -> list[C
 
 
 def _members(grid: DataFrame, members: Sequence[str], mask: DataFrame | None) -> DataFrame:
-    rows = grid.filter(F.col("landclass").isin(*members) & F.col("value").isNotNull())
+    """The land classes' cells with a value, neither null nor NaN; variables that are no class may be left out."""
+    land = ~F.col("landclass").isin(*[v for v in NON_LAND_VARIABLES if v not in members])
+    rows = grid.filter(land & F.col("value").isNotNull() & ~F.isnan("value"))
     return rows if mask is None else rows.join(mask.select("lon", "lat"), ["lon", "lat"], "left_semi")
 
 
-def _whole(mask_col: str, n_col: str, full: int, n: int) -> Column:
-    """True for a cell with each member exactly once; fails on a repeated member."""
-    repeated = F.col(n_col) > F.bit_count(mask_col)
-    message = F.concat(F.lit("a land class occurs twice in cell "), F.to_json(F.struct("lon", "lat")))
-    return F.when(repeated, F.raise_error(message)).otherwise(F.col(mask_col) == full)
+def _whole(masks: list[tuple[Column, int]], prefix: str, n_col: str) -> Column:
+    """True for a cell with each member exactly once; fails on a repeated member and on one not listed."""
+    known = sum((F.coalesce(F.bit_count(f"{prefix}{i}"), F.lit(0)) for i in range(len(masks))), F.lit(0))
+    message = F.concat(
+        F.lit("a land class occurs twice or is not listed in cell "), F.to_json(F.struct("lon", "lat"))
+    )
+    return F.when(F.col(n_col) > known, F.raise_error(message)).otherwise(all_members(masks, prefix))
 
 
 def grid_classes(
@@ -88,16 +100,14 @@ def grid_classes(
     mask: DataFrame | None = None,
 ) -> DataFrame:
     """(scenario, year, lon, lat, <keep>, crop_irr, crop_rfd) of the cells that have every member."""
-    bit, full = _membership("landclass", members)
+    masks = member_masks("landclass", members)
+    found = [F.bit_or(bit).alias(f"__mask{i}") for i, (bit, _) in enumerate(masks)]
     cells = (
         _members(grid, members, mask)
         .groupBy("scenario", "year", "lon", "lat")
-        .agg(
-            F.bit_or(bit).alias("__mask"), F.count(F.lit(1)).alias("__n"),
-            *_class_sums(None, "", keep),
-        )
-    )
-    return cells.filter(_whole("__mask", "__n", full, len(members))).drop("__mask", "__n")
+        .agg(*found, F.count(F.lit(1)).alias("__n"), *_class_sums(None, "", keep))
+    )
+    return cells.filter(_whole(masks, "__mask", "__n")).drop("__n", *[f"__mask{i}" for i in range(len(masks))])
 
 
 def grid_periods(
@@ -111,20 +121,21 @@ def grid_periods(
 
     One group-by in place of two filtered ones and a join.
     """
-    bit, full = _membership("landclass", members)
-    aggs = []
+    masks = member_masks("landclass", members)
+    aggs, extra = [], []
     for i, y in enumerate(years):
         here = F.col("year") == y
         aggs += [
-            F.bit_or(F.when(here, bit)).alias(f"__mask{i}"),
+            *[F.bit_or(F.when(here, bit)).alias(f"__mask{i}_{j}") for j, (bit, _) in enumerate(masks)],
             F.count_if(here).alias(f"__n{i}"),
             *_class_sums(here, f"_{i}", keep),
         ]
+        extra += [f"__n{i}", *[f"__mask{i}_{j}" for j in range(len(masks))]]
     rows = _members(grid, members, mask).filter(F.col("year").isin(*years))
     cells = rows.groupBy("scenario", "lon", "lat").agg(*aggs)
     for i in range(2):
-        cells = cells.filter(_whole(f"__mask{i}", f"__n{i}", full, len(members)))
-    return cells.drop("__mask0", "__mask1", "__n0", "__n1")
+        cells = cells.filter(_whole(masks, f"__mask{i}_", f"__n{i}"))
+    return cells.drop(*extra)
 
 
 def ecoregion_areas(

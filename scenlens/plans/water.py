@@ -46,16 +46,16 @@ def water_scarcity(
 ) -> DataFrame:
     """(scenario, year, resource, index_sup, index_wd): scarcity weighted by base-year supply and withdrawal.
 
-    A basin takes part if it has both quantities in the base year. The base-year rows are those of the
-    same joined table, read once more with the year as a scan filter.
+    A basin takes part if it has both quantities in the base year, whatever their units; a year in which
+    the two sides don't meet in unit too has no index, and so leaves the mean missing.
     """
-    met = supply.join(withdrawal.withColumn("has_wd", F.lit(True)), _KEYS, "left")
-    weights = met.filter((F.col("year") == base_year) & F.col("has_wd")).select(
-        "basin",
-        "scenario",
-        "subresource",
-        F.col("value_sup").alias("w_sup"),
-        F.col("value_wd").alias("w_wd"),
+    met = supply.join(withdrawal, _KEYS, "left")
+    of = ["basin", "scenario", "subresource"]
+    base = F.col("year") == base_year
+    weights = inner_join(
+        supply.filter(base).select(*of, F.col("value_sup").alias("w_sup")),
+        withdrawal.filter(base).select(*of, F.col("value_wd").alias("w_wd")),
+        of,
     )
     indexed = met.withColumn("index", F.try_divide(F.col("value_wd"), F.col("value_sup")))
     weighted = inner_join(

@@ -270,4 +270,7 @@ def grid_long(df: DataFrame, lon: str = "lon", lat: str = "lat", value: str = "v
             F.get(lat, F.floor(F.col("__i") / F.col("__n")).cast("int")).alias(lat),
             F.col("__v").alias(value),
         )
-    return df.filter(F.col(value).isNotNull())
+    filled = F.col(value).isNotNull()
+    if dict(df.dtypes)[value] in ("float", "double"):
+        filled = filled & ~F.isnan(value)
+    return df.filter(filled)

@@ -30,11 +30,30 @@ def read_lookup(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def read_preamble_csv(spark: SparkSession, path: str, schema: str, numeric_col: str) -> DataFrame:
     """A CSV with free-text lines above its header.
 
-    Preamble and header are exactly the lines whose ``numeric_col`` does not read as a number, so no
-    line needs counting and the file may be split.
+    Preamble and header are the lines in which no typed column holds a number or ``NA``, so no line needs
+    counting and the file may be split. ``numeric_col`` is one of the typed columns, for a check of the
+    schema. ``NA`` and empty fields of data rows are null; any other text that does not read fails the job.
     """
-    rows = spark.read.csv(path, schema=schema, mode="PERMISSIVE", multiLine=False)
-    return rows.filter(F.col(numeric_col).isNotNull())
+    fields = StructType.fromDDL(schema).fields
+    typed = [f for f in fields if not isinstance(f.dataType, StringType)]
+    if numeric_col not in [f.name for f in typed]:
+        raise ValueError(f"{numeric_col} is not a typed column of {schema}")
+    texts = StructType([StructField(f.name, StringType()) for f in fields])
+    rows = spark.read.csv(path, schema=texts, mode="PERMISSIVE", multiLine=False, ignoreTrailingWhiteSpace=True)
+    data = F.lit(False)
+    for f in typed:
+        c = F.col(f"`{f.name}`")
+        data = data | F.coalesce((c == "NA") | c.try_cast("double").isNotNull(), F.lit(False))
+    cols = []
+    for f in fields:
+        c = F.col(f"`{f.name}`")
+        if f in typed:
+            value = F.when(~c.isin("NA", ""), c)
+            unread = value.isNotNull() & value.try_cast(f.dataType).isNull()
+            message = F.concat(F.lit(f"{f.name} does not read: "), value)
+            c = F.when(unread, F.raise_error(message).cast(f.dataType)).otherwise(value.try_cast(f.dataType))
+        cols.append(c.alias(f.name))
+    return rows.filter(data).select(*cols)
 
 
 def _files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
@@ -96,7 +115,7 @@ def read_csv_by_name(
 ) -> DataFrame:
     """CSV files bound to ``schema`` by column name.
 
-    Spark binds CSV columns by position, so files are read in groups of equal header, one scan per
+    A field that does not read as its type fails the job. Spark binds CSV columns by position, so files are read in groups of equal header, one scan per
     distinct header however many files there are. Columns a file lacks become null; columns outside the
     schema are not read.
     """
@@ -112,7 +131,7 @@ def read_csv_by_name(
                 for i, n in enumerate(names)
             ]
         )
-        rows = spark.read.csv(members, schema=file_schema, header=True, nullValue="NA")
+        rows = spark.read.csv(members, schema=file_schema, header=True, nullValue="NA", mode="FAILFAST")
         cols = [
             (F.col(f"`{n}`") if n in names else F.lit(None)).cast(t).alias(n)
             for n, t in types.items()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,13 +15,25 @@ _local_default: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset in local mode, a temporary folder."""
+    """``spark.checkpoint.dir`` of the session.
+
+    Where it is unset, a temporary folder serves a session that says it runs in one local process; any
+    other session fails.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_default.setdefault("dir", tempfile.mkdtemp(prefix="scenlens-"))
+    if "dir" not in _local_default:
+        _local_default["dir"] = tempfile.mkdtemp(prefix="scenlens-")
+    return _local_default["dir"]
+
+
+def delete_staged(spark: SparkSession) -> None:
+    """Delete all that this package staged in the shared folder; for the end of a job, as nothing can be read after."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/scenlens")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -172,7 +172,7 @@ INCOME = """
 ENERGY = f"""
     SELECT h.scenario, h.region, h.decile, h.year,
            100 * (1 + n.n_nationkey / 10.0)
-             * (CASE WHEN h.demand > 20 THEN h.demand ELSE 0 END * (h.cost / 1e9) * 2.0 * 1e9)
+             * (h.demand * (h.cost / 1e9) * 2.0 * 1e9)
              / (p.value * 100) / i.income AS energy_expenditure_per
     FROM household h JOIN pop p ON h.scenario = p.scenario AND h.region = p.region AND h.year = p.year
     JOIN nations n ON h.region = n.region
@@ -322,23 +322,21 @@ ORACLES = {
         SELECT scenario, region || '_water withdrawals' AS resource, 'runoff' AS subresource, year,
                {r('sum(demand)', 4, 'demand')} FROM service WHERE status = 'O' GROUP BY 1, 2, 4"""),
     "query_coverage": _with("obs", """
-        SELECT title || '/' || region || '/' || year AS title, count(DISTINCT scenario) AS n_scenarios,
-               count(DISTINCT scenario) = (SELECT count(DISTINCT scenario) FROM obs WHERE value > 480000)
-                   AS in_all_scenarios
-        FROM obs WHERE value > 480000 GROUP BY 1"""),
+        SELECT title || '/' || region || '/' || year || '/' || decile AS title,
+               count(DISTINCT scenario) AS n_scenarios,
+               count(DISTINCT scenario) = (SELECT count(DISTINCT scenario) FROM obs) AS in_all_scenarios
+        FROM obs GROUP BY 1"""),
     "missing_titles": _with("obs", """
-        SELECT title || '/' || region || '/' || year AS title FROM obs GROUP BY 1
-        HAVING count(DISTINCT CASE WHEN value > 480000 THEN scenario END)
-             < (SELECT count(DISTINCT scenario) FROM obs WHERE value > 480000)"""),
+        SELECT title || '/' || region || '/' || year || '/' || decile AS title FROM obs GROUP BY 1
+        HAVING count(DISTINCT scenario) < (SELECT count(DISTINCT scenario) FROM obs)"""),
     "list_scenarios": _with("runs", "SELECT DISTINCT run AS scenario FROM runs"),
     "check_scenarios": _with("obs", f"""
         SELECT scenario, {r('sum(value)', 4, 'value')} FROM obs
         WHERE scenario IN ('BUILDING', 'FURNITURE') GROUP BY 1"""),
     "merge_projects_keep_first": _with("obs", f"""
-        WITH a AS (SELECT title, scenario, sum(value) AS value, 'first' AS project FROM obs
-                   WHERE year <= 1997 AND title = '1-URGENT' GROUP BY 1, 2),
-        b AS (SELECT title, scenario, sum(value) AS value, 'second' AS project FROM obs
-              WHERE title IN ('1-URGENT', '2-HIGH') OR scenario = 'BUILDING' GROUP BY 1, 2)
+        WITH split AS (SELECT *, decile <= 5 AND NOT (title = '1-URGENT' AND scenario = 'BUILDING') AS f FROM obs),
+        a AS (SELECT title, scenario, sum(value) AS value, 'first' AS project FROM split WHERE f GROUP BY 1, 2),
+        b AS (SELECT title, scenario, sum(value) AS value, 'second' AS project FROM split WHERE NOT f GROUP BY 1, 2)
         SELECT title, scenario, {r('value', 4, 'value')}, project FROM (
             SELECT * FROM a UNION ALL
             SELECT * FROM b WHERE (title, scenario) NOT IN (SELECT title, scenario FROM a))"""),
@@ -384,10 +382,11 @@ ORACLES = {
                {r("sum(CASE WHEN year = 2001 THEN value END)", 4, "value_1")}
         FROM obs WHERE year IN (1995, 2001) GROUP BY 1, 2, 3 HAVING count(DISTINCT year) = 2"""),
     "zero_filled_full_join": _with("spine obs", f"""
-        SELECT s.region, CAST(s.year AS INT) AS year, {r('coalesce(sum(o.value), 0)', 4, 'value')}
-        FROM (SELECT DISTINCT region, year FROM spine) s
-        LEFT JOIN (SELECT * FROM obs WHERE value > 480000) o ON s.region = o.region AND s.year = o.year
-        GROUP BY 1, 2"""),
+        SELECT s.scenario, s.region, CAST(s.year AS INT) AS year, CAST(d.decile AS INT) AS decile,
+               {r('coalesce(sum(o.value), 0)', 4, 'value')}
+        FROM (SELECT DISTINCT scenario, region, year FROM spine) s CROSS JOIN (SELECT unnest(range(1, 11)) AS decile) d
+        LEFT JOIN obs o ON s.scenario = o.scenario AND s.region = o.region AND s.year = o.year AND d.decile = o.decile
+        GROUP BY 1, 2, 3, 4"""),
     "numeric_sums": _with("service", f"""
         SELECT technology, {r('sum(demand)', 4, 'demand')}, {r('sum(discount)', 4, 'discount')}
         FROM service WHERE technology LIKE 'S%' GROUP BY 1"""),

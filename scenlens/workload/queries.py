@@ -39,6 +39,7 @@ from scenlens.sources import catalog, files
 from scenlens.sources.shared import literal_table, new_folder, staged
 from scenlens.workload.views import (
     BASELINE,
+    DECILES,
     FOOD_TYPES,
     LAND_CLASSES,
     REPORT_FROM,
@@ -136,24 +137,20 @@ def catalog_predicate(v: Views) -> DataFrame:
     return sum_by(kept, ["scenario", "resource", "subresource", "year"], "demand")
 
 
-def _expensive(v: Views) -> DataFrame:
-    """(title, scenario) pairs of high-priced orders: not every title has one in every scenario."""
-    return (
-        v.obs()
-        .filter(F.col("value") > 480_000)
-        .select(F.concat_ws("/", "title", "region", "year").alias("title"), "scenario")
-    )
+def _fine_titles(v: Views) -> DataFrame:
+    """(title, scenario) pairs with titles so fine that many lack some scenario."""
+    return v.obs().select(F.concat_ws("/", "title", "region", "year", "decile").alias("title"), "scenario")
 
 
 @query(None)
 def query_coverage(v: Views) -> DataFrame:
-    return catalog.query_coverage(_expensive(v))
+    return catalog.query_coverage(_fine_titles(v))
 
 
 @query(None)
 def missing_titles(v: Views) -> DataFrame:
-    required = v.obs().select(F.concat_ws("/", "title", "region", "year").alias("title")).distinct()
-    return catalog.missing_titles(_expensive(v), required, in_all=True)
+    titles = _fine_titles(v)
+    return catalog.missing_titles(titles, titles.select("title").distinct(), in_all=True)
 
 
 @query(None)
@@ -169,13 +166,9 @@ def check_scenarios(v: Views) -> DataFrame:
 
 @query(4)
 def merge_projects_keep_first(v: Views) -> DataFrame:
-    obs = v.obs()
-    first = sum_by(obs.filter("year <= 1997 AND title = '1-URGENT'"), ["title", "scenario"], "value")
-    second = sum_by(
-        obs.filter("title IN ('1-URGENT', '2-HIGH') OR scenario = 'BUILDING'"),
-        ["title", "scenario"],
-        "value",
-    )
+    obs, in_first = v.obs(), "(decile <= 5 AND NOT (title = '1-URGENT' AND scenario = 'BUILDING'))"
+    first = sum_by(obs.filter(in_first), ["title", "scenario"], "value")
+    second = sum_by(obs.filter(f"NOT {in_first}"), ["title", "scenario"], "value")
     return catalog.merge_projects(
         first.withColumn("project", F.lit("first")), second.withColumn("project", F.lit("second"))
     )
@@ -266,11 +259,12 @@ def two_periods(v: Views) -> DataFrame:
 
 @query(4)
 def zero_filled_full_join(v: Views) -> DataFrame:
-    """Sums of high-priced orders per nation, with nations and years that have none at zero."""
-    obs = v.obs().filter(F.col("value") > 480_000)
-    sums = sum_by(obs.select("region", "year", "value"), ["region", "year"], "value")
-    every = v.spine().select("region", "year").distinct()
-    return zero_fill(sums.join(every, ["region", "year"], "full"), ["year"])
+    """Sums per scenario, nation, year and decile, with those that have no order at zero."""
+    keys = ["scenario", "region", "year", "decile"]
+    sums = sum_by(v.obs().select(*keys, "value"), keys, "value")
+    deciles = F.explode(F.array(*[F.lit(d) for d in DECILES])).alias("decile")
+    every = v.spine().select("scenario", "region", "year", deciles)
+    return zero_fill(sums.join(every, keys, "full"), ["year", "decile"])
 
 
 @query(4)
@@ -325,10 +319,7 @@ def _multipliers(v: Views) -> DataFrame:
 def _energy(v: Views, household: DataFrame, pop: DataFrame, income: DataFrame) -> DataFrame:
     sector = F.col("consumer").alias("sector")
     price = household.select("scenario", "region", sector, "year", (F.col("cost") / 1e9).alias("value"))
-    # Cells with little demand have no output row at all.
-    output = household.filter("demand > 20").select(
-        "scenario", "region", sector, "year", F.col("demand").alias("value")
-    )
+    output = household.select("scenario", "region", sector, "year", F.col("demand").alias("value"))
     return economy.energy_share(price, output, pop, _multipliers(v), income, 2.0, YEARS)
 
 

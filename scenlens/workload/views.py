@@ -40,6 +40,12 @@ def _literals(values) -> Column:
     return F.explode(F.array(*[F.lit(v) for v in values]))
 
 
+def _known(c: Column, values, what: str) -> Column:
+    """``c``, but the job fails on a value outside the list that the views are built on."""
+    message = F.concat(F.lit(f"unknown {what}: "), c.cast("string"))
+    return F.when(c.isNull() | c.isin(*values), c).otherwise(F.raise_error(message))
+
+
 def _exact_mean(c: str) -> Column:
     """Mean of a money column from an exact sum: the same double whatever the order of the rows."""
     total = F.sum(F.col(c).cast("decimal(18,2)"))
@@ -92,7 +98,7 @@ class Views:
 
     @_once
     def obs(self) -> DataFrame:
-        year = F.year("o_orderdate").cast("int")
+        year = _known(F.year("o_orderdate").cast("int"), YEARS, "order year")
         return (
             self.table("orders")
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -100,7 +106,7 @@ class Views:
             .select(
                 "o_orderkey",
                 "o_custkey",
-                F.col("c_mktsegment").alias("scenario"),
+                _known(F.col("c_mktsegment"), SCENARIOS, "market segment").alias("scenario"),
                 "region",
                 "super_region",
                 "super_key",

@@ -124,8 +124,6 @@ def test_grouped_sums(spark):
     df = spark.createDataFrame([("a", 1, 2.0), ("a", 3, 4.0)], "k string, i int, d double")
     assert rows(G.sum_numeric_by(df, ["k"])) == [("a", 4, 6.0)]
     assert rows(G.mean_by(df, ["k"], "d")) == [("a", 3.0)]
-    assert rows(G.weighted_sum(df, ["k"], "d", "i", "o")) == [("a", 14.0)]
-    assert rows(G.ratio_of_sums(df, ["k"], "d", "i", "o")) == [("a", 1.5)]
     assert rows(G.weighted_ratio(df, ["k"], "d", {"o": "i", "p": "d"})) == [("a", 3.5, 20 / 6)]
 
 
@@ -184,8 +182,24 @@ def test_merge_all_groups_needs_every_group(spark):
         [(5, "g1", "x_1", 1.0), (5, "g2", "x_2", 2.0), (10, "g1", "x_1", 3.0), (20, "g1", "x_1", 1.0), (20, "g2", "other", 9.0)],
         "id int, g string, n string, v double",
     )
-    got = R.merge_all_groups(df, ["id"], "g", ["g1", "g2"], "n", "v", ["x_1", "x_2"])
+    got = R.merge_all_groups(df, ["id"], "g", ["g1", "g2"], "n", "v", ["x_1", "x_2"], other="drop")
     assert rows(got) == [(20, 1.0, None), (5, 1.0, 2.0)]
+    with pytest.raises(Exception, match="not listed: other"):
+        R.merge_all_groups(df, ["id"], "g", ["g1", "g2"], "n", "v", ["x_1", "x_2"]).collect()
+
+
+def test_more_members_than_one_mask_holds(spark):
+    names = [f"m{i}" for i in range(150)]
+    df = spark.createDataFrame([(i, n, float(i)) for i in (1, 2) for n in names[i - 1 :]], "id int, n string, v double")
+    got = R.merge_all_groups(df, ["id"], "n", names, "n", "v", names).collect()
+    assert [r.id for r in got] == [1] and got[0].m149 == 1.0
+
+
+def test_unlisted_member_fails(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, None, 2.0)], "id int, n string, v double")
+    assert rows(R.pivot_members(df, ["id"], "n", "v", ["a"], other="drop")) == [(1, 1.0)]
+    with pytest.raises(Exception, match="not listed: null"):
+        R.pivot_members(df, ["id"], "n", "v", ["a"]).collect()
 
 
 def test_two_period_needs_both_years(spark):

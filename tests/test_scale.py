@@ -75,7 +75,7 @@ def test_strict_join_on_a_hot_key_is_split(spark, conf):
     )
     df = hot(spark)
     right = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    joined = J.strict_left_join(df, right, "k")
+    joined = J.strict_left_join(df, right, "k", spread=True)
     assert "skew=true" in executed(joined)
     assert joined.count() == 60_000
 
@@ -156,3 +156,10 @@ def test_baseline_broadcast_is_bounded_by_the_window(spark):
     )
     joined = J.attach_baseline(df, F.col("scenario") == "base", "year", ["v"], bounded=True)
     assert "BroadcastHashJoin" in plan(joined) and joined.count() == 10_000
+
+
+def test_strict_join_shuffles_each_side_once(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    df = hot(spark)
+    joined = J.strict_left_join(df, df.groupBy("k", "id").agg(F.max("v").alias("w")), ["k", "id"])
+    assert executed(joined).split("Initial Plan")[0].count("Exchange hashpartitioning") == 2
