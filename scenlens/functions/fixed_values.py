@@ -23,7 +23,6 @@ FINAL_REPORT_YEAR = 2050
 CALIBRATION_YEAR = 2020
 WATER_BASE_YEAR = 2015
 RUNOFF_YEAR_LIMIT = 2055  # exclusive
-LAND_DROPPED_YEAR = 1975
 
 # Scenario families and the sectors found in scenario names, most specific test first.
 SSPS = ("SSP1", "SSP2", "SSP3", "SSP4", "SSP5")

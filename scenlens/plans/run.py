@@ -16,9 +16,11 @@ from scenlens.functions.fixed_values import (
     FINAL_REPORT_YEAR,
     FOOD_ITEMS,
     PROJECT_SUFFIX,
+    REPORT_SECTORS,
     SSPS,
 )
 from scenlens.functions.scalars import deflator
+from scenlens.operators.spatial import point_in_polygon
 from scenlens.plans import compare, economy, food, health, land, water
 from scenlens.sources.catalog import CATALOG, read_query, register_title, rewrite_labels, where_catalog
 from scenlens.sources.files import read_indicator, write_indicator
@@ -31,7 +33,8 @@ class Lookups:
 
     ``price_index``: year -> price index. ``multiplier``: region, energy_mult. ``observed_food``: region,
     av_food_exp. ``food_groups``: supplysector, subsector; the fixed list if None. Health and land inputs
-    may be absent, then these indicators are not run.
+    may be absent, then these indicators are not run. Without ``cell_map`` the grid's cells are placed in the
+    polygons of ``polygon_edges`` (poly_id, x1, y1, x2, y2), in search cells of ``polygon_cell`` degrees.
     """
 
     price_index: Mapping[int, float]
@@ -47,6 +50,8 @@ class Lookups:
     grid: DataFrame | None = None
     grid_members: Sequence[str] = ()
     cell_map: DataFrame | None = None
+    polygon_edges: DataFrame | None = None
+    polygon_cell: float = 0.5
     ecoregions: DataFrame | None = None
     ecoregion_names: DataFrame | None = None
     factors: DataFrame | None = None
@@ -83,9 +88,14 @@ def indicators(
     final_year: int = FINAL_REPORT_YEAR,
     scenarios: Sequence[str] | None = None,
     details: bool = False,
+    consumer: str = "all",
+    faithful: bool = False,
+    m2_per_factor_unit: float = 1.0,
 ) -> dict[str, DataFrame]:
     """Every indicator of a project. ``ssp='base'`` evaluates the baseline project itself.
 
+    ``consumer``, ``faithful`` and ``m2_per_factor_unit`` are the choices of the food and land indicators.
+
     ``details`` adds the regional and household tables behind the world values. These are then staged, as
     several results read them.
     """
@@ -122,8 +132,9 @@ def indicators(
         food_groups(spark) if lookups.food_groups is None else lookups.food_groups,
         pop,
         prices,
+        consumer,
     )
-    share = food.food_basket_pct_gdp(bill, gdp, deflator(index, 2005, 1990))
+    share = food.food_basket_pct_gdp(bill, gdp, deflator(index, 2005, 1990), faithful)
     if details:
         share = staged(share, "food_regional")
     supply = water.water_supply(
@@ -150,6 +161,8 @@ def indicators(
             "food_regional": share,
             "water_runoff": water.water_scarcity_runoff(scarcity),
         }
+    if (lookups.pm25 is None) != (lookups.o3 is None):
+        raise ValueError("health needs both pollutants, pm25 and o3")
     if lookups.pm25 is not None:
         deaths = staged(health.deaths_by_cause(lookups.pm25, lookups.o3), "deaths")
         shares = health.country_shares(lookups.wide_pop, lookups.macro_regions)
@@ -159,16 +172,28 @@ def indicators(
     if lookups.grid is not None:
         areas = land.ecoregion_areas(
             land.grid_periods(lookups.grid, lookups.grid_members),
-            lookups.cell_map,
+            _cell_map(lookups),
             lookups.ecoregions,
             lookups.ecoregion_names,
             scenarios,
         )
-        loss = land.species_loss(areas, lookups.factors)
+        loss = staged(land.species_loss(areas, lookups.factors, m2_per_factor_unit, faithful), "species_loss")
         out["land"] = loss.select("scenario", F.col("final_PSL").alias("value"))
+        out["species_loss"] = loss
     return out
 
 
+def _cell_map(lookups: Lookups) -> DataFrame:
+    """The polygon of each grid cell: given, or from the polygons' edges, written once."""
+    if lookups.cell_map is not None:
+        return lookups.cell_map
+    if lookups.polygon_edges is None:
+        raise ValueError("land needs cell_map or polygon_edges")
+    cells = lookups.grid.select("lon", "lat").distinct()
+    placed = point_in_polygon(cells, lookups.polygon_edges, lookups.polygon_cell, ("lon", "lat"), "lon", "lat")
+    return staged(placed.withColumnRenamed("poly_id", "OBJECTID"), "cell_map")
+
+
 _HOUSEHOLD = "scenario string, region string, decile double, year int"
 
 # Columns of the stored indicators; those after ``land`` are details.
@@ -180,6 +205,10 @@ STORED: dict[str, str] = {
     "health": "scenario string, model_region string, year int, mort double",
     "water": "scenario string, year int, resource string, index_sup double, index_wd double",
     "land": "scenario string, value double",
+    "species_loss": (
+        "scenario string, forest_PSL double, pasture_PSL double, crop_irr_PSL double, crop_rfd_PSL double, "
+        "final_PSL double"
+    ),
     "population_weights": "scenario string, region string, year int, wpop double",
     "energy_share": f"{_HOUSEHOLD}, energy_expenditure_per double",
     "food_share": f"{_HOUSEHOLD}, food_expenditure_per double",
@@ -212,7 +241,8 @@ def run_indicators(
     """Compute and store every indicator of a project."""
     results = indicators(spark, project_root, base_root, ssp, lookups, **options)
     for name, df in results.items():
-        columns = StructType.fromDDL(STORED[name]).names
+        fields = StructType.fromDDL(STORED[name]).fields
+        columns = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
         labelled = df.select(*columns, F.lit(project_label(project)).alias("project"))
         write_indicator(labelled, out_root, name)
 
@@ -223,12 +253,37 @@ def stored(spark: SparkSession, out_root: str, name: str, project: str | None =
     return read_indicator(spark, out_root, name, schema, project).drop("project")
 
 
+def is_stored(spark: SparkSession, out_root: str, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out_root}/{name}/indiv_results")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def gather_family(spark: SparkSession, out_root: str, name: str, ssp: str, base_pattern: str = "base") -> DataFrame:
+    """A stored indicator of one family's projects, without baseline projects; equal rows once."""
+    schema = StructType.fromDDL(STORED[name])
+    rows = read_indicator(spark, out_root, name, schema, ssp)
+    return rows.filter(~F.col("project").rlike(base_pattern)).drop("project").distinct()
+
+
+def gather_reference(spark: SparkSession, out_root: str, name: str, base_pattern: str = "base") -> DataFrame:
+    """A stored indicator of the baseline projects."""
+    return stored(spark, out_root, name, base_pattern)
+
+
 def build_report(
-    spark: SparkSession, out_root: str, ssps: Sequence[str] = SSPS, **window
+    spark: SparkSession,
+    out_root: str,
+    ssps: Sequence[str] = SSPS,
+    sectors: Sequence[str] = REPORT_SECTORS,
+    **window,
 ) -> DataFrame:
-    """The wide report over all stored projects, baselines included."""
+    """The wide report over all stored projects, baselines included.
+
+    Health and land may not be stored; ``window`` (y0, y1, base_pattern) sets the report's years and baseline.
+    """
     names = {"gdp": "gdp", "pop": "population", "expenditure": "expenditure", "food": "food",
              "health": "health", "water": "water", "land": "land"}
-    tables = {arg: stored(spark, out_root, name) for arg, name in names.items()}
+    optional = [n for n in ("health", "land") if not is_stored(spark, out_root, n)]
+    tables = {arg: None if name in optional else stored(spark, out_root, name) for arg, name in names.items()}
     differences = compare.report_differences(**tables, ssps=ssps, **window)
-    return compare.deliverable(differences, ssps)
+    return compare.deliverable(differences, ssps, sectors)

@@ -535,3 +535,102 @@ ORACLES = {
         SELECT scenario, region, 'thous$' AS Units, CAST(year AS INT) AS year, CAST(value AS DOUBLE) AS value
         FROM gdp WHERE scenario IN ('BUILDING', 'MACHINERY')"""),
 }
+
+
+def _pick(*members: str) -> str:
+    return "[" + ", ".join(f"'{m}'" for m in members) + f"][CAST(decile AS INT) % {len(members)} + 1]"
+
+
+# Each title's row filter.
+_FILTERS = {
+    "sector IN ('FoodDemand_Staples', 'FoodDemand_NonStaples')": ["food consumption by type (specific)"],
+    "consumer = 'FoodDemand'": ["food demand prices"],
+    "regexp_matches(consumer, '^FoodDemand_Group([1-9]|10)$')": [
+        "food demand prices by income group", "food demand by income group",
+    ],
+    "account = 'gdp-per-capita-ppp'": ["GDP per capita PPP by region"],
+    "account = 'GDP'": ["GDP MER by region"],
+    "sector_type = 'AgSupplySector'": [
+        "ag production by crop type", "ag production by subsector (land use region)", "ag commodity prices",
+    ],
+    "subsector = 'International Aviation'": ["International Aviation emissions"],
+    "subsector = 'International Ship'": ["International Shipping emissions"],
+    "GHG NOT IN ('CO2', 'CO2_FUG')": ["nonCO2 emissions by resource production"],
+    "GHG IN ('CH4', 'N2O')": ["nonCO2 emissions by sector (excluding resource production)"],
+    "resource LIKE '%water withdrawals%' AND subresource LIKE '%runoff%'": [
+        "Basin level available runoff", "Water Withdrawals by Basin (Runoff)",
+    ],
+    "resource LIKE '%water withdrawals%' AND subresource LIKE '%groundwater%'": [
+        "Water Withdrawals by Basin (Groundwater)",
+    ],
+    "sector = 'building' OR final_energy = 'building'": [
+        "building service costs", "building service output by service",
+    ],
+    "true": [
+        "population by region", "prices of all markets", "resource supply curves", "detailed land allocation",
+        "subregional population", "subregional income",
+    ],
+}
+_PREDICATES = f"""
+    SELECT scenario, {_pick('FoodDemand_Staples', 'FoodDemand_NonStaples', 'building', 'beef')} AS sector,
+      {_pick('FoodDemand', 'FoodDemand_Group1', 'FoodDemand_Group5', 'x')} AS consumer,
+      {_pick('gdp-per-capita-ppp', 'GDP', 'labor')} AS account, {_pick('AgSupplySector', 'energy')} AS sector_type,
+      {_pick('International Aviation', 'International Ship', 'rail')} AS subsector,
+      {_pick('CO2', 'CO2_FUG', 'CH4', 'N2O', 'none')} AS GHG, {_pick('a_water withdrawals', 'land')} AS resource,
+      {_pick('runoff', 'groundwater', 'runoff groundwater')} AS subresource,
+      {_pick('building', 'industry', 'transport')} AS final_energy
+    FROM obs"""
+_SEGMENTS = "['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']"
+
+ORACLES |= {
+    "first_file_not_empty": ORACLES["scan_text_files"],
+    "preamble_lookup": _with("nations", """
+        SELECT region, CASE WHEN n_nationkey % 5 <> 0 THEN 1 + n_nationkey / 10.0 END::DOUBLE AS energy_mult,
+               CAST(CASE WHEN n_nationkey % 7 <> 0 THEN 2005 END AS INT) AS year FROM nations"""),
+    "lookup_csv": _with("nations", "SELECT super_region AS supplysector, region AS subsector FROM nations"),
+    "scenario_folders": _with("gdp", f"""
+        SELECT scenario, region, CAST(year AS INT) AS year, CAST(value AS DOUBLE) AS value FROM gdp"""),
+    "prefixes_stripped": _with("obs", f"""
+        SELECT scenario, CAST(year AS INT) AS year, {r('sum(value)', 4, 'value')} FROM obs GROUP BY 1, 2"""),
+    "columns_by_predicate": _with("obs", "SELECT DISTINCT scenario, region, super_region FROM obs"),
+    "income_of_all_scenarios": _with("income", f"""
+        SELECT scenario, region, CAST(decile AS DOUBLE) AS decile, CAST(year AS INT) AS year,
+               CAST(value * 1000 AS DOUBLE) AS income FROM income WHERE year <= 2001"""),
+    "grid_to_rows": _with("gdp", f"""
+        SELECT region, CAST(year AS INT) AS lon, CAST(list_position({_SEGMENTS}, scenario) AS INT) AS lat,
+               CAST(value AS DOUBLE) AS value FROM gdp WHERE year NOT IN (1999, 2000)"""),
+    "split_nests": _with("service", "SELECT DISTINCT technology, flag, technology AS nest FROM service"),
+    "project_names": _with("nations", """
+        SELECT region, 'database_basexdb_' || CASE WHEN n_nationkey % 2 = 0 THEN region || '_base'
+               ELSE 'SSP2_' || region END AS project FROM nations"""),
+    "catalog_predicates": _with("obs", f"""
+        WITH p AS ({_PREDICATES}) """ + " UNION ALL ".join(
+            f"SELECT scenario, count(*) AS n_rows, '{t}' AS title FROM p WHERE {test} GROUP BY 1"
+            for test, titles in _FILTERS.items() for t in titles)),
+    "gather_family": _with("run_years", f"""
+        SELECT run AS scenario, CAST(year AS INT) AS year, 'percentage' AS units,
+               {r('100 * half / total', 6, 'expenditure_percent_GDP')}
+        FROM run_years WHERE ssp = 3 AND NOT is_base"""),
+    "gather_reference": _with("run_years", f"""
+        SELECT run AS scenario, CAST(year AS INT) AS year, 'percentage' AS units,
+               {r('100 * half / total', 6, 'expenditure_percent_GDP')} FROM run_years WHERE is_base"""),
+    "gather_psl": f"""
+        SELECT scenario, CAST(2 AS BIGINT) AS copies, {r('final_PSL', 4, 'final_PSL')}
+        FROM ({ORACLES['species_loss']})""",
+    "report_end_to_end": ORACLES["deliverable_wide"],
+    "report_without_health_and_land": f"""
+        SELECT * FROM ({ORACLES['deliverable_wide']}) WHERE sdg NOT IN ('Health', 'PSL')""",
+    "report_order": f"""
+        SELECT sdg, Gt_CO2_reduction, row_number() OVER (ORDER BY sdg, Gt_CO2_reduction) - 1 AS place
+        FROM ({ORACLES['deliverable_wide']})""",
+    "level_order": _with("obs", """
+        SELECT o_orderkey || '.50' AS Gt_CO2_reduction, row_number() OVER (ORDER BY o_orderkey) - 1 AS place
+        FROM obs"""),
+    "water_units_differ": _with("obs", f"""
+        WITH c AS (SELECT scenario, region, year, sum(value) AS v FROM obs GROUP BY 1, 2, 3),
+        w AS (SELECT scenario, region, v AS ws, v / 2 + 1 AS ww FROM c WHERE year = 1995)
+        SELECT scenario, CAST(year AS INT) AS year, 'runoff' AS resource,
+          CASE WHEN year <> 1995 AND year % 2 = 1 THEN {r('sum((v / 2 + 1) / v * ws) / sum(ws)', 6, 'x').rsplit(' AS ', 1)[0]} END AS index_sup,
+          CASE WHEN year <> 1995 AND year % 2 = 1 THEN {r('sum((v / 2 + 1) / v * ww) / sum(ww)', 6, 'x').rsplit(' AS ', 1)[0]} END AS index_wd
+        FROM c JOIN w USING (scenario, region) GROUP BY scenario, year"""),
+}

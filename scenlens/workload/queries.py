@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from scenlens.functions.scalars import project_name, split_last
+from scenlens.functions.scalars import project_db_name, project_name, split_first, split_last
 from scenlens.operators.aggregation import (
     calibrate,
     mean_by,
@@ -31,10 +31,10 @@ from scenlens.operators.reshape import (
     union_by_name,
     unpivot_years,
 )
-from scenlens.operators.rows import complete_cases, match_rows, zero_fill
+from scenlens.operators.rows import cols_matching, complete_cases, match_rows, strip_prefix, zero_fill
 from scenlens.operators.spatial import point_in_polygon
 from scenlens.plans import compare as C
-from scenlens.plans import economy, food, health, land, water
+from scenlens.plans import economy, food, gather, health, land, run, water
 from scenlens.sources import catalog, files
 from scenlens.sources.shared import literal_table, new_folder, staged
 from scenlens.workload.views import (
@@ -709,3 +709,198 @@ def registered_title(v: Views) -> DataFrame:
     title = "GDP per capita PPP by region"
     catalog.register_title(root, title, table)
     return catalog.read_query(v.spark, root, title, ["BUILDING", "MACHINERY"])
+
+
+@query(4)
+def first_file_not_empty(v: Views) -> DataFrame:
+    """The first matching file of a folder in which an empty one comes before and after."""
+    root = new_folder(v.spark, "first")
+    cells = v.obs().groupBy("scenario", "year").agg(F.sum("value").alias("value"))
+    nothing = v.spark.range(0).select(F.col("id").cast("string"))
+    for _ in range(3):
+        nothing.coalesce(1).write.mode("append").text(root)
+    cells.coalesce(1).write.mode("append").csv(root, header=True)
+    return files.scan_first(v.spark, root, r"^part-.*\.(csv|txt)$", StructType(cells.schema.fields))
+
+
+@query(4)
+def preamble_lookup(v: Views) -> DataFrame:
+    """A lookup with free text above its header and NA in some rows; these rows stay."""
+    path = f"{new_folder(v.spark, 'preamble')}/lookup"
+    mult = F.when(F.col("n_nationkey") % 5 == 0, "NA").otherwise((1 + F.col("n_nationkey") / 10).cast("string"))
+    year = F.when(F.col("n_nationkey") % 7 == 0, "NA").otherwise("2005")
+    lines = v.nations().select(F.concat_ws(",", "region", mult, year).alias("value"))
+    head = [("Multipliers",), ("source: survey, 2005 edition",), ("region,energy_mult,year",)]
+    literal_table(v.spark, head, "value string").unionByName(lines).write.text(path)
+    return files.read_preamble_csv(v.spark, path, files.ENERGY_MULTIPLIER_SCHEMA, "energy_mult")
+
+
+@query(None)
+def lookup_csv(v: Views) -> DataFrame:
+    path = f"{new_folder(v.spark, 'lookup')}/groups"
+    v.nations().select("super_region", "region").write.csv(path, header=True, lineSep="\n")
+    return files.read_lookup(v.spark, path, files.FOOD_GROUPS_SCHEMA)
+
+
+@query(None)
+def scenario_folders(v: Views) -> DataFrame:
+    """A table written with one folder per scenario and read back."""
+    path = f"{new_folder(v.spark, 'scenarios')}/gdp"
+    table = v.gdp()
+    files.write_by_scenario(table, path)
+    return v.spark.read.csv(path, schema=table.schema, header=True, nullValue="NA")
+
+
+@query(4)
+def prefixes_stripped(v: Views) -> DataFrame:
+    return strip_prefix(sum_by(v.obs(), ["scenario", "year"], "value").toDF("obs.scenario", "obs.t.year", "sum.value"))
+
+
+@query(None)
+def columns_by_predicate(v: Views) -> DataFrame:
+    obs = v.obs()
+    return obs.select(*cols_matching(obs, lambda c: c.endswith("region") or c == "scenario")).distinct()
+
+
+@query(None)
+def income_of_all_scenarios(v: Views) -> DataFrame:
+    return economy.income_by_decile(v.income(), "", 2001, keep_scenario=True, corrections={})
+
+
+@query(None)
+def grid_to_rows(v: Views) -> DataFrame:
+    """Arrays over years and scenarios become rows; null and NaN cells are dropped."""
+    place = F.when(F.col("year") == 1999, F.lit(float("nan"))).when(F.col("year") != 2000, F.col("value"))
+    cell = F.struct(F.array_position(F.array(*[F.lit(s) for s in SCENARIOS]), F.col("scenario")).alias("at"), "year", place.alias("v"))
+    grids = v.gdp().groupBy("region").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    lon = F.array(*[F.lit(y) for y in YEARS]).alias("lon")
+    lat = F.array(*[F.lit(i) for i in range(1, len(SCENARIOS) + 1)]).alias("lat")
+    return catalog.grid_long(grids.select("region", lon, lat, F.transform("cells", lambda c: c["v"]).alias("value")))
+
+
+@query(None)
+def split_nests(v: Views) -> DataFrame:
+    """The first part of a comma-separated path, per order line's part."""
+    path = F.concat_ws(",", "technology", "flag", "status")
+    return v.service().select("technology", "flag", split_first(path).alias("nest")).distinct()
+
+
+@query(None)
+def project_names(v: Views) -> DataFrame:
+    names = v.nations().select("region", F.when(F.col("n_nationkey") % 2 == 0, "base").otherwise("ssp2").alias("ssp"))
+    return names.select("region", project_db_name("region", "ssp").alias("project"))
+
+
+def _predicate_rows(v: Views) -> DataFrame:
+    """Rows that the filters of the catalog keep or not, one column for each that they read."""
+
+    def pick(*members: str) -> Column:
+        choices = F.array(*[F.lit(m) for m in members])
+        return F.element_at(choices, (F.col("decile") % len(members) + 1).cast("int"))
+
+    return v.obs().select(
+        "scenario",
+        "decile",
+        F.col("year"),
+        pick("FoodDemand_Staples", "FoodDemand_NonStaples", "building", "beef").alias("sector"),
+        pick("FoodDemand", "FoodDemand_Group1", "FoodDemand_Group5", "x").alias("consumer"),
+        pick("gdp-per-capita-ppp", "GDP", "labor").alias("account"),
+        pick("AgSupplySector", "energy").alias("sector_type"),
+        pick("International Aviation", "International Ship", "rail").alias("subsector"),
+        pick("CO2", "CO2_FUG", "CH4", "N2O", "none").alias("GHG"),
+        pick("a_water withdrawals", "land").alias("resource"),
+        pick("runoff", "groundwater", "runoff groundwater").alias("subresource"),
+        pick("building", "industry", "transport").alias("final_energy"),
+    )
+
+
+@query(None)
+def catalog_predicates(v: Views) -> DataFrame:
+    """Rows per scenario that each title's filter keeps, for all titles."""
+    rows = staged(_predicate_rows(v), "predicates")
+    kept = [
+        catalog.where_catalog(rows, t).groupBy("scenario").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("title", F.lit(t))
+        for t in catalog.CATALOG
+    ]
+    return union_by_name(*kept)
+
+
+def _store_runs(v: Views, absent: tuple[str, ...] = ()) -> str:
+    """All indicator tables of the runs, stored as a project's outputs, one project per run."""
+    root = new_folder(v.spark, "runs")
+    names = {"pop": "population"}
+    for name, df in v.run_tables().items():
+        if name in absent:
+            continue
+        target = names.get(name, name)
+        fields = StructType.fromDDL(run.STORED[target]).fields
+        cols = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+        files.write_indicator(df.select(*cols, F.col("scenario").alias("project")), root, target)
+    return root
+
+
+@query(6)
+def gather_family(v: Views) -> DataFrame:
+    return run.gather_family(v.spark, _store_runs(v, ("gdp", "pop", "expenditure", "health", "water", "land")), "food", "SSP3")
+
+
+@query(6)
+def gather_reference(v: Views) -> DataFrame:
+    return run.gather_reference(v.spark, _store_runs(v, ("gdp", "pop", "expenditure", "health", "water", "land")), "food")
+
+
+@query(6)
+def gather_psl(v: Views) -> DataFrame:
+    """Species loss per class, written as CSV and as Parquet, and gathered from both."""
+    root, table = new_folder(v.spark, "psl"), _loss(v)
+    shaped = table.select(*StructType.fromDDL(gather.PSL_COLUMNS).names)
+    stored_rows = staged(shaped, "psl_rows")
+    stored_rows.coalesce(1).write.mode("append").csv(root, header=True)
+    stored_rows.coalesce(1).write.mode("append").parquet(root)
+    paths = files.list_matching(v.spark, root, r"\.(csv|parquet)$")
+    rows = files.extract_data(v.spark, paths, stored_rows.schema)
+    return rows.groupBy("scenario").agg(F.count(F.lit(1)).alias("copies"), F.max("final_PSL").alias("final_PSL"))
+
+
+@query(8)
+def report_end_to_end(v: Views) -> DataFrame:
+    """Indicator tables stored per project, read back and built into the report."""
+    return run.build_report(v.spark, _store_runs(v), sectors=("afolu", "bld", "ind", "trn"), **WINDOW)
+
+
+@query(8)
+def report_without_health_and_land(v: Views) -> DataFrame:
+    root = _store_runs(v, ("health", "land"))
+    return run.build_report(v.spark, root, sectors=("afolu", "bld", "ind", "trn"), **WINDOW)
+
+
+@query(None)
+def report_order(v: Views) -> DataFrame:
+    """The place of each row in the report, which is sorted by indicator and numeric level."""
+    report = C.deliverable(C.report_differences(**v.run_tables(), **WINDOW), sectors=("afolu", "bld", "ind", "trn"))
+    return report.coalesce(1).select("sdg", "Gt_CO2_reduction", F.monotonically_increasing_id().alias("place"))
+
+
+@query(None)
+def level_order(v: Views) -> DataFrame:
+    """The place of each order's key, as text, in numeric order."""
+    keys = v.obs().select(F.concat(F.col("o_orderkey"), F.lit(".50")).alias("Gt_CO2_reduction"))
+    return C.sorted_by_level(keys).coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+@query(6)
+def water_units_differ(v: Views) -> DataFrame:
+    """Supply and withdrawal that spell the unit differently in some years: those years have no index."""
+    return water.water_scarcity(*_units_differ(v), 1995)
+
+
+def _units_differ(v: Views) -> tuple[DataFrame, DataFrame]:
+    cells = staged(v.obs().groupBy("scenario", "region", "year").agg(F.sum("value").alias("value")), "water_cells")
+    def side(units: Column, value: Column, name: str) -> DataFrame:
+        return cells.select(
+            "scenario", F.col("region").alias("basin"), F.lit("runoff").alias("subresource"), "year",
+            units.alias("Units"), value.alias(name),
+        )
+
+    other = F.when((F.col("year") == 1995) | (F.col("year") % 2 == 0), "km^3").otherwise("km3")
+    return side(F.lit("km3"), F.col("value"), "value_sup"), side(other, F.col("value") / 2 + 1, "value_wd")
