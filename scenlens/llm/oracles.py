@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scenlens.llm import line_dedup, mixing
+from scenlens.llm import licenses, line_dedup, mixing
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -69,4 +69,76 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM marked
 """
 
-ORACLES = {"op3_site_lines": OP3, "op4_warc_revisits": OP4, "op5_mix_prefix_cut": OP5}
+UPPER, LOWER = licenses.UPPER, licenses.LOWER
+
+OP8 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SPACE}') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM members a JOIN members b
+    ON a.g = b.g AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least_one AS (SELECT a AS doc_id, min(b) AS other FROM reached GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id,
+  doc_id = least(doc_id, coalesce(other, doc_id)) AS kept
+FROM sets LEFT JOIN least_one USING (doc_id)
+"""
+
+
+def _template_rows() -> str:
+    rows = []
+    for number, (label, text) in enumerate(licenses.TEMPLATES):
+        w = text.split()
+        n = len(w) - licenses.K + 1
+        rows += [f"({number}, '{label}', {n}, {i}, '{' '.join(w[i : i + licenses.K])}')" for i in range(n)]
+    return ", ".join(rows)
+
+
+def _places(phrase: str) -> str:
+    test = " AND ".join(f"coalesce(w[i + {j + 1}] = '{word}', false)" for j, word in enumerate(phrase.split()))
+    return f"list_filter(range(0, len(w)), lambda i: {test})"
+
+
+OP9 = rf"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{licenses.WORD}') AS w FROM documents),
+places AS (SELECT r, doc_id, len(w)::BIGINT AS n_words, {", ".join(f"{_places(p)} AS p{i}" for i, p in enumerate(licenses.PHRASES))} FROM words),
+base AS (
+  SELECT r, doc_id, n_words, {" || ".join(f"p{i}" for i in range(len(licenses.PHRASES)))} AS p,
+    list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, label in enumerate(licenses.PHRASES.values()))}],
+      lambda x: x IS NOT NULL) AS labels FROM places),
+templates(template, label, grams, place, gram) AS (VALUES {_template_rows()}),
+rolled AS (
+  SELECT r, unnest(range(0, len(w) - {licenses.K - 1})) AS pos,
+    unnest(list_transform(range(0, len(w) - {licenses.K - 1}), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) AS gram
+  FROM words WHERE len(w) >= {licenses.K}),
+hits AS (SELECT r, template, label, grams, place, pos - place AS diagonal FROM rolled JOIN templates USING (gram)),
+starts AS (
+  SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licenses.SLACK}, true)::INT AS fresh
+  FROM hits),
+grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM starts),
+spans AS (
+  SELECT r, label, count(DISTINCT place) / any_value(grams)::DOUBLE AS coverage FROM grouped GROUP BY r, template, label, span),
+found AS (
+  SELECT r, list(DISTINCT label) FILTER (coverage >= {licenses.COVERAGE}) AS labels, max(coverage) AS best FROM spans GROUP BY r)
+SELECT doc_id, n_words, len(p)::BIGINT AS n_base, list_min(p)::BIGINT AS first_word, list_max(p)::BIGINT AS last_word,
+  array_to_string(list_sort(b.labels), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(b.labels || coalesce(f.labels, []))), ',') AS labels,
+  coalesce(best, 0)::DOUBLE AS score
+FROM base b LEFT JOIN found f USING (r)
+"""
+
+ORACLES = {
+    "op3_site_lines": OP3,
+    "op4_warc_revisits": OP4,
+    "op5_mix_prefix_cut": OP5,
+    "op8_fast_sketches": OP8,
+    "op9_license_diagonals": OP9,
+}
