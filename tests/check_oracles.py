@@ -81,7 +81,7 @@ if __name__ == "__main__":
     session.sparkContext.setLogLevel("OFF")
     db = connect(sf)
     failed = 0
-    for key in args[1:] or entry.queries():
+    for key in args[1:] or entry.oracle_sql():
         start = time.time()
         try:
             what = difference(session, db, key, sf)

@@ -392,3 +392,42 @@ def test_deliverable_keeps_levels_of_all_families(runs):
     got = report.collect()
     assert [(r.sdg, r.Gt_CO2_reduction) for r in got] == [("Health", 10.0), ("Water", 10.0)]
     assert got[0].trn_ssp1 == 1.5 and got[0].trn_ssp2 == 1.0
+
+
+def test_two_leaves_of_a_basin_without_an_id_are_no_clash(spark):
+    schema = "scenario string, region string, landleaf string, Units string, year int, value double"
+    land = spark.createDataFrame(
+        [("s", "A", "Corn_Elsewhere_IRR_hi", "km2", 2020, 1.0), ("s", "A", "Corn_Elsewhere_IRR_hi_x", "km2", 2020, 2.0),
+         ("s", "A", "Corn_Nile", "km2", 2020, 3.0)], schema,
+    )
+    basins = spark.createDataFrame([(7, "Nile")], "basin_id int, GLU_name string")
+    assert rows(L.land_projection(land, basins, [2020])) == [("A", "Corn", 7, "s", 3.0)]
+
+
+def test_grid_of_many_classes_nan_and_unlisted_ones(spark):
+    names = [f"class{i}" for i in range(100)]
+    cells = [("s", y, float(x), 1.0, n, 1.0) for x in (1, 2) for y in (2020, 2050) for n in (*names, "basin_id")]
+    cells[0] = (*cells[0][:5], float("nan"))
+    df = spark.createDataFrame(cells, GRID)
+    whole = L.grid_classes(df, names, keep=("class1",))
+    assert rows(whole.select("year", "lon", "class1")) == [(2020, 2.0, 1.0), (2050, 1.0, 1.0), (2050, 2.0, 1.0)]
+    assert L.grid_periods(df, names, keep=("class1",)).count() == 1
+    with pytest.raises(PySparkException, match="not listed"):
+        L.grid_classes(df, names[:99], keep=("class1",)).collect()
+
+
+def test_units_that_differ_lose_no_basin(spark):
+    keys = "scenario string, basin string, subresource string, year int, Units string"
+    supply = spark.createDataFrame([("s", "N", "runoff", 2015, "km3", 10.0), ("s", "N", "runoff", 2020, "km3", 8.0)], f"{keys}, value_sup double")
+    withdrawal = spark.createDataFrame([("s", "N", "runoff", 2015, "km^3", 5.0), ("s", "N", "runoff", 2020, "km3", 4.0)], f"{keys}, value_wd double")
+    got = {r.year: (r.index_sup, r.index_wd) for r in W.water_scarcity(supply, withdrawal).collect()}
+    assert got == {2015: (None, None), 2020: (0.5, 0.5)}
+
+
+def test_report_cells_go_by_family(spark):
+    """A family inside a longer name, and one before the sector, have their cells all the same."""
+    names = ["study_base_SSP2", "study_trn10_SSP2x", "study_SSP2_bld10"]
+    df = spark.createDataFrame([(n, y, float(i + 1)) for i, n in enumerate(names) for y in (2030, 2050)], "scenario string, year int, v double")
+    got = C.compare(df, "v", "u", "x", ssps=("SSP2",)).collect()
+    cells = {(r["trn_ssp2"], r["bld_ssp2"]) for r in got}
+    assert {a for a, _ in cells} | {b for _, b in cells} >= {1.0, 2.0}

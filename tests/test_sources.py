@@ -38,6 +38,22 @@ def test_preamble_csv(spark, tmp_path):
     assert rows(df) == [("A", 1.5, 2020), ("B b", 2.0, 2020)]
 
 
+def test_preamble_csv_keeps_rows_with_missing_numbers(spark, tmp_path):
+    put(tmp_path, "m.csv", "Title,,\nregion,energy_mult,year\nA,NA,2020\nB,2,NA\nC,NA,NA\nD,,2021\n")
+    df = S.read_preamble_csv(spark, str(tmp_path / "m.csv"), S.ENERGY_MULTIPLIER_SCHEMA, "energy_mult")
+    assert {tuple(r) for r in df.collect()} == {("A", None, 2020), ("B", 2.0, None), ("C", None, None), ("D", None, 2021)}
+    put(tmp_path, "bad.csv", "region,energy_mult,year\nA,abc,2020\n")
+    with pytest.raises(Exception, match="energy_mult does not read: abc"):
+        S.read_preamble_csv(spark, str(tmp_path / "bad.csv"), S.ENERGY_MULTIPLIER_SCHEMA, "energy_mult").collect()
+
+
+def test_unreadable_number_fails(spark, tmp_path):
+    put(tmp_path, "x.csv", "scenario,v\ns,abc\n")
+    schema = StructType([StructField("scenario", StringType()), StructField("v", DoubleType())])
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        S.read_csv_by_name(spark, [str(tmp_path / "x.csv")], schema).collect()
+
+
 def test_lookup_with_dos_line_ends(spark, tmp_path):
     put(tmp_path, "basins.csv", "id,a,b,c,d,e,f\r\n1,Nile_Basin,GLU001,NileR,EGY,818,Egypt\r\n")
     df = S.read_lookup(spark, str(tmp_path / "basins.csv"), S.BASINS_SCHEMA)
