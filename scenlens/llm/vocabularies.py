@@ -39,6 +39,15 @@ def piece_processor(path: str):
     return SentencePieceProcessor(model_file=path)
 
 
+@cache
+def space_starts(path: str) -> np.ndarray:
+    """For each id of a byte-level vocabulary: does its token start with a space?"""
+    vocabulary = byte_tokenizer(path).get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+    return out
+
+
 class TextEncoder:
     """Token ids of whole texts, equal to the tokenizer's own, at the price of their distinct words.
 
@@ -51,6 +60,7 @@ class TextEncoder:
         self.tokenizer = byte_tokenizer(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        self.starts = space_starts(path)
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -70,10 +80,19 @@ class TextEncoder:
         except KeyError:
             if len(known) > CACHED_WORDS:
                 known.clear()
-            new = [p for p in set(parts) if p not in known]
-            known.update(zip(new, self._encoded(new), strict=True))
+            self._learn([p for p in set(parts) if p not in known])
             return b"".join([known[p] for p in parts])
 
+    def _learn(self, new: list[str]) -> None:
+        """Encode parts joined, which is cheaper; a token that starts with a space starts a part."""
+        spaced = [p for p in new if p[:1] == " "]
+        data = self._encoded(["".join(spaced)])[0] if spaced else b""
+        cuts = (np.flatnonzero(self.starts[np.frombuffer(data, self.dtype)]) * self.dtype.itemsize).tolist()
+        if len(cuts) == len(spaced):
+            self.known.update((p, data[a:b]) for p, a, b in zip(spaced, cuts, [*cuts, len(data)][1:], strict=True))
+            new = [p for p in new if p[:1] != " "]
+        self.known.update(zip(new, self._encoded(new), strict=True))
+
 
 @cache
 def text_encoder(path: str) -> TextEncoder:

@@ -23,6 +23,12 @@ def test_encoder_equals_tokenizer(text):
     assert np.frombuffer(TextEncoder(PATH).ids(text), "<u2").tolist() == ids_of(text)[:-1]
 
 
+def test_encoder_equals_tokenizer_on_documents(spark):
+    encoder = TextEncoder(PATH)
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect():
+        assert np.frombuffer(encoder.ids(r.text), "<u2").tolist() == ids_of(r.text)[:-1]
+
+
 def test_documents_read_back(spark):
     df = odd_documents(spark)
     rows = sorted(df.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
