@@ -9,10 +9,11 @@ coordinate with probability close to the sets' similarity, with the bounds of in
 
 ``BANDS`` bands of ``ROWS`` coordinates each make buckets. Two sets of similarity 0.8 share no bucket with
 probability (1 - 0.8^6)^48 < 5e-7. Within a bucket each member is compared on the full sets with the
-smallest one; the links found join classes to components. Members of a bucket that are still in different
-components are then compared in pairs, unless their sizes alone forbid a link. So a bucket of thousands of
-copies costs a comparison each, no candidate is left out, and the components are those of all links between
-candidates.
+smallest one, its lead; the links found join classes to components. Members with one lead that are still in
+different components are then compared too, unless a link is impossible by their sizes or by bitmaps of
+``BITS`` slots: slots that only one set fills are elements that the other lacks. So a bucket of thousands of
+copies costs a comparison each, pairs that cannot link cost no row, no candidate is left out, and the
+components are those of all links between candidates.
 
 Defined results: a text without words, or null, has an empty set, links with nothing and stays. A row
 without doc_id links with nothing, has a null component and stays. Rows with the same text are one class;
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scenlens.llm.common import ship
 from scenlens.llm.words import encoded, mix, window_hashes, word_hashes
-from scenlens.operators.joins import left_join
+from scenlens.operators.joins import anti_join, left_join
 from scenlens.sources.shared import staged
 
 BANDS, ROWS = 48, 6
@@ -39,6 +40,7 @@ T = BANDS * ROWS
 SHINGLE = 2
 PERCENT = 80
 BROADCAST_IDS = 2_000_000  # 16 MB of ids
+BITS = 4096  # of the bitmap that bounds two sets' overlap
 
 _SEEDS = mix(np.arange(2 * T, dtype=np.uint64) + np.uint64(0xFA57))
 _BAND_SEEDS = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(0xBA2D))
@@ -83,23 +85,32 @@ def band_keys(coordinates: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def bitmap(elements: np.ndarray) -> np.ndarray:
+    """Which of BITS slots a set's elements fall into, in longs."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[(elements >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
 def _sketches(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, signatures, bands = [], [], []
+            sizes, signatures, bands, bitmaps = [], [], [], []
             for text in batch.column("text"):
                 s = shingle_set(text.as_py(), shingle)
                 sizes.append(len(s))
                 signatures.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 bands.append(band_keys(sketch(s)) if len(s) else None)
+                bitmaps.append(bitmap(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(signatures, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(bitmaps, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "signature", "bands"],
+                ["doc_id", "n_shingles", "signature", "bands", "bitmap"],
             )
 
     return run
@@ -119,16 +130,21 @@ def _sets(shingle: int):
 def sketched(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, signature of the set and band keys, written once."""
     ship(documents.sparkSession)
-    schema = "doc_id long, n_shingles long, signature binary, bands array<long>"
+    schema = "doc_id long, n_shingles long, signature binary, bands array<long>, bitmap array<long>"
     return staged(documents.select("doc_id", "text").mapInArrow(_sketches(shingle), schema), "sketches")
 
 
-def bucket_members(sketches: DataFrame) -> DataFrame:
-    """(key, id, n) of the classes in each bucket that has more than one; a class goes by its least doc_id."""
+def representatives(sketches: DataFrame) -> DataFrame:
+    """(id, n, bands, bitmap) of each class; it goes by its least doc_id."""
     known = sketches.filter(F.col("bands").isNotNull() & F.col("doc_id").isNotNull())
     least = known.groupBy("signature").agg(F.min("doc_id").alias("id"))
     one = left_join(known, least, "signature", spread=True).filter(F.col("doc_id") == F.col("id"))
-    rows = one.select(F.explode("bands").alias("key"), "id", F.col("n_shingles").alias("n"))
+    return one.select("id", F.col("n_shingles").alias("n"), "bands", "bitmap")
+
+
+def bucket_members(classes: DataFrame) -> DataFrame:
+    """(key, id, n) of the classes in each bucket that has more than one."""
+    rows = classes.select(F.explode("bands").alias("key"), "id", "n")
     shared = rows.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
     shared = shared.filter(F.col("lead") < F.col("last")).select("key", F.hash("key").alias("spread"))
     rows = rows.withColumn("spread", F.hash("key"))
@@ -140,31 +156,72 @@ def _alike(n, m):
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
 
-def lead_pairs(members: DataFrame) -> DataFrame:
+def _pair(a, b):
+    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
+
+
+def may_overlap(bits_a, bits_b, n_a, n_b):
+    """An exact test that excludes pairs: a slot that only one set fills holds an element that the other lacks."""
+
+    def only(x, y):
+        counts = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+        return F.aggregate(counts, F.lit(0), lambda acc, c: acc + c)
+
+    both = F.least(n_a - only(bits_a, bits_b), n_b - only(bits_b, bits_a))
+    return both * 100 >= (n_a + n_b - both) * PERCENT
+
+
+def lead_pairs(followers: DataFrame) -> DataFrame:
     """Each member with the least of its bucket, once."""
-    leads = members.groupBy("key").agg(F.min_by(F.struct("id", "n"), F.struct("id", "n")).alias("lead"))
-    joined = left_join(members, leads, "key", spread=True)
-    pairs = joined.filter((F.col("lead.id") < F.col("id")) & _alike(F.col("lead.n"), F.col("n")))
-    return pairs.select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct()
-
-
-def cross_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members in different components, once."""
-    rows = left_join(members, labels.withColumnRenamed("node", "id"), "id", spread=True)
-    rows = rows.withColumn("component", F.coalesce("component", "id"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    rows = rows.join(mixed.filter(F.col("c0") < F.col("c1")).select("key"), "key")
-    rows = staged(rows.select("key", "id", "n", "component"), "mixed_buckets")
-    left, right = (rows.toDF("key", f"id{s}", f"n{s}", f"component{s}") for s in "ab")
-    pairs = left.join(right, "key").filter(
-        (F.col("componenta") < F.col("componentb")) & _alike(F.col("na"), F.col("nb"))
-    )
-    return pairs.select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b")).distinct()
+    pairs = followers.filter(_alike(F.col("lead_n"), F.col("n")))
+    return pairs.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def mixed_groups(followers: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """(lead, id, n, component, bitmap) of the followers of leads that have some in different components."""
+    rows = left_join(followers.select("lead", "id", "n").distinct(), labels, "id", spread=True)
+    mixed = rows.groupBy("lead").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+    mixed = mixed.filter(F.col("c0") < F.col("c1")).select("lead", F.hash("lead").alias("spread"))
+    rows = rows.withColumn("spread", F.hash("lead")).join(mixed, ["lead", "spread"], "left_semi").drop("spread")
+    bits = classes.select("id", "bitmap").dropDuplicates(["id"])
+    return staged(left_join(rows, bits, "id", spread=True).select("lead", "id", "n", "component", "bitmap"), "mixed_groups")
+
+
+def cross_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs of followers of one lead in different components that may be similar, once."""
+    names = ("id", "n", "component", "bitmap")
+    left, right = (rows.select("lead", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
+    apart = F.col("component_a") < F.col("component_b")
+    may = may_overlap(F.col("bitmap_a"), F.col("bitmap_b"), F.col("n_a"), F.col("n_b"))
+    joined = left.join(right, (left["lead"] == right["lead"]) & apart & _alike(F.col("n_a"), F.col("n_b")) & may)
+    return joined.select(*_pair(F.col("id_a"), F.col("id_b"))).distinct()
+
+
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) after new links between ids."""
+    left, right = (labels.toDF(s, f"component_{s}") for s in "ab")
+    edges = links.join(left, "a").join(right, "b").select(F.col("component_a").alias("a"), F.col("component_b").alias("b"))
+    joined = components(edges).toDF("component", "least")
+    out = left_join(labels, joined, "component", spread=True)
+    return staged(out.select("id", F.coalesce("least", "component").alias("component")), "labels")
+
+
+def linked(classes: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
+    """(id, component) of all members of buckets, by all links between candidates."""
+    members = bucket_members(classes)
+    leads = members.groupBy("key").agg(F.min_by(F.struct("id", "n"), F.struct("id", "n")).alias("least"))
+    rows = left_join(members, leads, "key", spread=True).filter(F.col("id") != F.col("least.id"))
+    followers = staged(rows.select("id", "n", F.col("least.id").alias("lead"), F.col("least.n").alias("lead_n")).distinct(), "followers")
+    tested = staged(lead_pairs(followers), "pairs")
+    ids = staged(members.select("id", F.col("id").alias("component")).distinct(), "members")
+    labels = relabelled(ids, verified(tested, documents, shingle))
+    crossed = cross_pairs(mixed_groups(followers, labels, classes))
+    more = verified(staged(anti_join(crossed, tested, ["a", "b"]), "pairs"), documents, shingle)
+    return labels if more.isEmpty() else relabelled(labels, more)
 
 
 def verified(pairs: DataFrame, documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs whose full sets are similar enough, as edges."""
-    pairs = staged(pairs, "pairs")
+    """The pairs (a written table) whose full sets are similar enough, as edges."""
     ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair_ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
@@ -210,16 +267,11 @@ def _star(rows: DataFrame, larger: bool) -> DataFrame:
 def label(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document."""
     sketches = sketched(documents, shingle)
-    members = bucket_members(sketches)
-    links = verified(lead_pairs(members), documents, shingle)
-    labels = staged(components(links), "labels")
-    more = verified(cross_pairs(members, labels), documents, shingle)
-    if not more.isEmpty():
-        labels = staged(components(links.unionByName(more)), "labels")
+    labels = linked(representatives(sketches), documents, shingle).withColumnRenamed("id", "node")
     known = sketches.filter(F.col("signature").isNotNull() & F.col("doc_id").isNotNull())
     classes = known.groupBy("signature").agg(F.min("doc_id").alias("node"))
     classes = left_join(classes, labels, "node").select("signature", F.coalesce("component", "node").alias("component"))
-    joined = left_join(sketches.drop("bands"), classes, "signature", spread=True)
+    joined = left_join(sketches.drop("bands", "bitmap"), classes, "signature", spread=True)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))

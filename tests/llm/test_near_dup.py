@@ -96,6 +96,24 @@ def test_sketch_estimates_similarity(n):
     assert (near_dup.sketch(np.unique(a)) == x).all()
 
 
+def test_bitmaps_exclude_no_similar_pair(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in (3, 40, 400, 4000):
+        base = rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2)
+        for share in (0.0, 0.05, 0.1, 0.2, 0.5):
+            other = base.copy()
+            other[: int(n * share)] = rng.integers(0, 2**63, int(n * share)).astype(np.uint64)
+            a, b = np.unique(base), np.unique(other)
+            both = len(np.intersect1d(a, b))
+            rows.append((n, share, near_dup.bitmap(a).tolist(), near_dup.bitmap(b).tolist(), len(a), len(b), both / (len(a) + len(b) - both)))
+    df = spark.createDataFrame(rows, "n int, share double, x array<long>, y array<long>, m long, k long, j double")
+    from pyspark.sql import functions as F
+
+    got = df.withColumn("may", near_dup.may_overlap(*[F.col(c) for c in "xymk"])).collect()
+    assert all(r.may for r in got if r.j >= 0.8) and not any(r.may for r in got if r.j < 0.5 and r.n < 1000)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 102), (101, 102)], "a long, b long")
     got = {r.node: r.component for r in near_dup.components(edges).collect()}
