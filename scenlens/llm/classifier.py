@@ -3,7 +3,7 @@
 Texts become hashed counts of byte trigrams of the whole text, and of a few statistics of its words in
 steps; weighted by TF-IDF they are projected to ``RANK`` dimensions by a truncated SVD. The fit sees a
 bounded sample of labelled rows: of each label the ``PER_LABEL`` rows with the least hash of their id, out
-of those whose crc32(doc_id) mod 3 is not 1. Their vectors, at most 2 x PER_LABEL x RANK floats (2 MB), go
+of those whose crc32(doc_id) mod 3 is not 1. Their vectors, at most 2 x PER_LABEL x RANK floats (1 MB), go
 to every task, which computes the cosine of every document with every one of them, in blocks; the
 ``NEIGHBOURS`` nearest vote with their similarity, and votes count inversely to their label's share in the
 sample, so the two labels start even.
@@ -33,7 +33,7 @@ from scenlens.sources.shared import staged
 DIMENSIONS = 4096
 STATISTICS = 256
 RANK = 64
-PER_LABEL = 4096
+PER_LABEL = 2048
 NEIGHBOURS = 25
 BLOCK = 512
 SEED = 11
@@ -137,23 +137,25 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, per_label: int = PE
 def fit(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
     ship(documents.sparkSession)
     sample = labelled_sample(documents, labels, per_label).orderBy("doc_id").select("quality", "text")
-    rows = sample.mapInArrow(_featured, "quality int, index array<int>, weight array<float>").collect()
-    prior = sum(r["quality"] for r in rows) / len(rows) if rows else 0.5
-    rows = [r for r in rows if r["index"]]
+    rows = sample.mapInArrow(_featured, "quality int, index array<int>, weight array<float>").toArrow()
+    quality = rows["quality"].to_numpy().astype(np.float64)
+    prior = float(quality.mean()) if len(quality) else 0.5
     width = DIMENSIONS + STATISTICS
-    x = np.zeros((len(rows), width), np.float32)
-    for i, r in enumerate(rows):
-        x[i, r["index"]] = r["weight"]
-    idf = (np.log((1 + len(rows)) / (1 + (x > 0).sum(axis=0))) + 1).astype(np.float32)
-    x = _unit(x * idf)
+    x = np.zeros((len(quality), width), np.float32)
+    for i, (index, weight) in enumerate(zip(rows["index"], rows["weight"], strict=True)):
+        x[i, index.values.to_numpy()] = weight.values.to_numpy()
+    full = (x != 0).any(axis=1)
+    x, quality = x[full], quality[full]
+    idf = (np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))) + 1).astype(np.float32)
+    x *= idf
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
     rng = np.random.default_rng(SEED)
-    rank = min(RANK, max(1, len(rows)))
+    rank = min(RANK, max(1, len(x)))
     basis = rng.standard_normal((width, rank + 16), dtype=np.float32)
     for _ in range(4):  # power iterations towards the leading right singular vectors
-        basis = np.linalg.qr(x.T @ (x @ basis))[0] if len(rows) else basis
+        basis = np.linalg.qr(x.T @ (x @ basis))[0] if len(x) else basis
     _, _, right = np.linalg.svd(x @ basis, full_matrices=False)
     projection = np.ascontiguousarray((basis @ right.T)[:, :rank], np.float32)
-    quality = np.array([r["quality"] for r in rows], np.float64)
     good = quality / max(1.0, quality.sum())
     bad = (1 - quality) / max(1.0, (1 - quality).sum())
     return Model(idf, projection, _unit(x @ projection), good, bad, prior)
