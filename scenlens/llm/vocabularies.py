@@ -110,6 +110,8 @@ class Fertility:
         self.hashes = word_hashes
         self.known: dict[bytes, tuple[bytes, int, int]] = {}
         size = self.pieces.get_piece_size()
+        self.starts = space_starts(byte_path)
+        self.piece_starts = np.fromiter((self.pieces.id_to_piece(i).startswith("▁") for i in range(size)), bool, size)
         self.is_byte = np.fromiter((self.pieces.is_byte(i) for i in range(size)), bool, size)
 
     def of(self, words: list[bytes]) -> list[tuple[bytes, int, int]]:
@@ -119,14 +121,26 @@ class Fertility:
         except KeyError:
             if len(known) > CACHED_WORDS:
                 known.clear()
-            new = [w for w in set(words) if w not in known]
-            texts = [w.decode("utf-8", "replace") for w in new]
-            pieces = self.pieces.encode(texts, num_threads=1)
-            tokens = self.bytes.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
-            for w, p, t, h in zip(new, pieces, tokens, self.hashes(new).tolist(), strict=True):
-                known[w] = (np.array(p, "<u4").tobytes(), len(t.ids), h)
+            self._learn([w for w in set(words) if w not in known])
             return [known[w] for w in words]
 
+    def _learn(self, new: list[bytes]) -> None:
+        """Encode words joined by spaces, which is cheaper; where these don't part the words again, one by one."""
+        texts = [w.decode("utf-8", "replace") for w in new]
+        joined = " ".join(texts)
+        pieces = np.array(self.pieces.encode(joined), "<u4")
+        cuts = np.flatnonzero(self.piece_starts[pieces])
+        tokens = self.bytes.encode_batch_fast([f" {joined}"], add_special_tokens=False)[0].ids
+        starts = np.flatnonzero(self.starts[np.array(tokens, np.int64)])
+        if len(cuts) == len(starts) == len(new):
+            ids = [p.tobytes() for p in np.split(pieces, cuts[1:])]
+            counts = np.diff(np.append(starts, len(tokens))).tolist()
+        else:
+            ids = [np.array(p, "<u4").tobytes() for p in self.pieces.encode(texts, num_threads=1)]
+            counts = [len(t.ids) for t in self.bytes.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+        for w, p, n, h in zip(new, ids, counts, self.hashes(new).tolist(), strict=True):
+            self.known[w] = (p, n, h)
+
 
 @cache
 def fertility(piece_path: str, byte_path: str) -> Fertility:

@@ -147,6 +147,21 @@ def test_measures_of_a_text():
     assert quality_rules.script_of("привет мир ok") == "cyrillic" and quality_rules.script_of("12 34") == "none"
 
 
+def test_words_measured_together_equal_one_by_one(spark):
+    from scenlens.llm.vocabularies import Fertility, public_path
+
+    pieces, tokens = public_path(quality_rules.PIECES), public_path(quality_rules.BYTES_VOCABULARY)
+    known = Fertility(pieces, tokens)
+    odd = ["a\u00a0b", "\u2581x", "\u3000", "\ufb01x", "don't", "x\u2003", "''", "<s>", "<|endoftext|>"]
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text in [*texts, " ".join(odd), *odd, "a " + odd[0]]:
+        words = text.encode().split()
+        got = known.of(words)
+        for w, (ids, n, _) in zip(words, got, strict=True):
+            assert list(map(int, __import__("numpy").frombuffer(ids, "<u4"))) == known.pieces.encode(w.decode())
+            assert n == len(known.bytes.encode(" " + w.decode(), add_special_tokens=False).ids)
+
+
 def test_bands_reject_junk_and_keep_clean(spark):
     documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
