@@ -7,9 +7,9 @@ of all windows of all documents are compared with those of the benchmark: first
 what passes, by a join on the hash. A hit gives a document, an item and a diagonal (document position -
 item position).
 
-On each diagonal document and item are compared word by word around the hit. The best run of positions,
-matches counting 1 and substitutions -``PENALTY``, is an overlap if ``IDENTITY`` of its words match and it
-has ``MIN_WORDS`` words, or ``IDENTITY`` of the item where that is shorter.
+On each diagonal document and item are compared word by word, as far as the item reaches. Any run of
+positions that starts and ends with a match is an overlap if ``IDENTITY`` of its words match and it has
+``MIN_WORDS`` words, or ``IDENTITY`` of the item where that is shorter. The longest one is reported.
 
 A document is not carried through the join: a task cuts out the region around its hits, as far as the
 longest item reaches, as word hashes.
@@ -40,11 +40,11 @@ MASKS = ("1110111", "11011011", "1101010011")
 BITMAP_BITS = 24
 MIN_WORDS = 13
 IDENTITY = 0.8
-PENALTY = 2
 BROADCAST_IDS = 2_000_000
 
 _BREAKS = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 _OFFSETS = [[i for i, c in enumerate(m) if c == "1"] for m in MASKS]
+_PERCENT = round(100 * IDENTITY)
 _SPAN = max(len(m) for m in MASKS)
 
 
@@ -111,11 +111,16 @@ def _hits(bitmap, reach: int):
 
 
 def best_run(same: np.ndarray) -> tuple[int, int, int]:
-    """(start, end, matches) of the run with the highest score; the first of equals."""
-    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -PENALTY))])
-    least = np.minimum.accumulate(total)
-    end = int(np.argmax(total - least))
-    start = int(np.argmax(total[: end + 1] == least[end]))
+    """(start, end, matches) of the longest run with IDENTITY matches that starts and ends with one; the first of equals."""
+    starts = np.flatnonzero(same)
+    if not len(starts):
+        return 0, 0, 0
+    total = np.concatenate([[0], np.cumsum(np.where(same, 100 - _PERCENT, -_PERCENT))])
+    ends = starts + 1
+    most = np.maximum.accumulate(total[ends][::-1])[::-1]  # of this end and all later ones
+    last = ends[np.searchsorted(-most, -total[starts], side="right") - 1]
+    i = int(np.argmax(last - starts))
+    start, end = int(starts[i]), int(last[i])
     return start, end, int(same[start:end].sum())
 
 
@@ -126,8 +131,7 @@ def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int,
         return None
     start, end, matches = best_run(doc[lo:hi] == item[lo - diagonal : hi - diagonal])
     n = end - start
-    enough = n >= MIN_WORDS or n >= IDENTITY * len(item)
-    return (lo + start, n, matches) if enough and matches >= IDENTITY * n else None
+    return (lo + start, n, matches) if n >= MIN_WORDS or n * 100 >= _PERCENT * len(item) else None
 
 
 def _verify(words: pd.Series, item: pd.Series, diagonal: pd.Series) -> pd.DataFrame:

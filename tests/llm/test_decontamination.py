@@ -96,3 +96,54 @@ def test_passages_of_the_benchmark(spark):
                 if w[k : k + n] == words[j]:
                     whole.add((r.doc_id, j))
     assert whole and whole <= got <= near
+
+
+def any_run(doc, item, diagonal):
+    """The longest run with four of five words equal, and its matches, by trying all; the rule in its own words."""
+    same = [doc[k + diagonal] == w if 0 <= k + diagonal < len(doc) else None for k, w in enumerate(item)]
+    best = (0, 0)
+    for a in range(len(same)):
+        n = 0
+        for b in range(a, len(same)):
+            if same[b] is None:
+                break
+            n += same[b]
+            if same[a] and same[b] and 5 * n >= 4 * (b + 1 - a) > 4 * best[0]:
+                best = b + 1 - a, n
+    return best if best[0] >= 13 or 5 * best[0] >= 4 * len(item) else None
+
+
+def loose(rng, words, share):
+    return [w if rng.random() < share else "swapped" for w in words]
+
+
+def test_runs_beside_loose_matches(spark):
+    """A verbatim passage counts however the words beside it match."""
+    rng = random.Random(8)
+    long, mid = (clean_text(rng, n, 9000).split() for n in (200, 120))
+    docs = [
+        (0, [*long[:40], *(w if i % 7 not in (0, 3) else "swapped" for i, w in enumerate(long[40:]))]),
+        (1, [*mid[:20], *(w if i % 4 else "swapped" for i, w in enumerate(mid[20:]))]),
+        (2, [w if i % 3 else "swapped" for i, w in enumerate(mid)]),
+    ]
+    for i in range(3, 40):
+        words = loose(rng, mid, 0.7)
+        at = rng.randrange(100)
+        words[at : at + 14] = mid[at : at + 14]
+        docs.append((i, words))
+    items = spark.createDataFrame([(0, " ".join(long)), (1, " ".join(mid))], "item_id long, text string")
+    got = d.overlaps(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, int(i > 0)) for i, _ in docs if i != 2}
+    words = dict(docs)
+    for r in got:
+        assert (r.n_words, r.n_matched) == any_run(words[r.doc_id], mid if r.item_id else long, 0)
+
+
+def test_longest_run_equals_all_runs():
+    rng = random.Random(2)
+    for _ in range(400):
+        item = np.arange(rng.randrange(1, 60))
+        share = rng.choice([0.3, 0.6, 0.75, 0.85])
+        doc = np.array([w if rng.random() < share else -1 for w in item][: rng.randrange(1, 61)])
+        got = d.overlap(doc, item, 0)
+        assert (got and got[1:]) == any_run(list(doc), list(item), 0)
