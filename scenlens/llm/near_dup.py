@@ -17,8 +17,8 @@ components are those of all links between candidates.
 
 Defined results: a text without words, or null, has an empty set, links with nothing and stays. A row
 without doc_id links with nothing, has a null component and stays. Rows with the same text are one class;
-rows that share a doc_id are judged each by its own text. An empty table gives no rows. Other columns are
-ignored.
+rows that share a doc_id are judged each by its own text: classes go by their set's signature, and a
+component is named by its least doc_id. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scenlens.llm.common import ship
 from scenlens.llm.words import encoded, mix, window_hashes, word_hashes
-from scenlens.operators.joins import anti_join, left_join
+from scenlens.operators.joins import anti_join, inner_join, left_join
 from scenlens.sources.shared import staged
 
 BANDS, ROWS = 48, 6
@@ -40,6 +40,7 @@ T = BANDS * ROWS
 SHINGLE = 2
 PERCENT = 80
 BROADCAST_IDS = 2_000_000  # 16 MB of ids
+ROW = "__row"
 BITS = 4096  # of the bitmap that bounds two sets' overlap
 
 _SEEDS = mix(np.arange(2 * T, dtype=np.uint64) + np.uint64(0xFA57))
@@ -92,6 +93,10 @@ def bitmap(elements: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view("<i8")
 
 
+def signature(elements: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(elements.tobytes()) if len(elements) else None
+
+
 def _sketches(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,18 +104,19 @@ def _sketches(shingle: int):
             for text in batch.column("text"):
                 s = shingle_set(text.as_py(), shingle)
                 sizes.append(len(s))
-                signatures.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                signatures.append(signature(s))
                 bands.append(band_keys(sketch(s)) if len(s) else None)
                 bitmaps.append(bitmap(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column(ROW),
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(signatures, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(bitmaps, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "signature", "bands", "bitmap"],
+                [ROW, "doc_id", "n_shingles", "signature", "bands", "bitmap"],
             )
 
     return run
@@ -119,26 +125,33 @@ def _sketches(shingle: int):
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py(), shingle).view(np.int64) for t in batch.column("text")]
+            sets = [shingle_set(t.as_py(), shingle) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"]
+                [pa.array(map(signature, sets), pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
+                ["signature", "shingles"],
             )
 
     return run
 
 
 def sketched(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, signature of the set and band keys, written once."""
+    """ROW, doc_id, n_shingles, signature of the set and band keys, written once."""
     ship(documents.sparkSession)
-    schema = "doc_id long, n_shingles long, signature binary, bands array<long>, bitmap array<long>"
-    return staged(documents.select("doc_id", "text").mapInArrow(_sketches(shingle), schema), "sketches")
+    schema = f"{ROW} long, doc_id long, n_shingles long, signature binary, bands array<long>, bitmap array<long>"
+    return staged(documents.select(ROW, "doc_id", "text").mapInArrow(_sketches(shingle), schema), "sketches")
+
+
+def named_classes(sketches: DataFrame) -> DataFrame:
+    """(signature, doc_id, id) of each class: its least doc_id, and a number of its own, as classes can share a doc_id."""
+    known = sketches.filter(F.col("signature").isNotNull() & F.col("doc_id").isNotNull())
+    least = known.groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
+    return staged(least.withColumn("id", F.monotonically_increasing_id()), "classes")
 
 
-def representatives(sketches: DataFrame) -> DataFrame:
-    """(id, n, bands, bitmap) of each class; it goes by its least doc_id."""
+def representatives(sketches: DataFrame, names: DataFrame) -> DataFrame:
+    """(id, n, bands, bitmap) of each class, from the rows with its least doc_id."""
     known = sketches.filter(F.col("bands").isNotNull() & F.col("doc_id").isNotNull())
-    least = known.groupBy("signature").agg(F.min("doc_id").alias("id"))
-    one = left_join(known, least, "signature", spread=True).filter(F.col("doc_id") == F.col("id"))
+    one = left_join(known, names.withColumnRenamed("doc_id", "least"), "signature", spread=True).filter(F.col("doc_id") == F.col("least"))
     return one.select("id", F.col("n_shingles").alias("n"), "bands", "bitmap")
 
 
@@ -206,7 +219,7 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return staged(out.select("id", F.coalesce("least", "component").alias("component")), "labels")
 
 
-def linked(classes: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
+def linked(classes: DataFrame, names: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
     """(id, component) of all members of buckets, by all links between candidates."""
     members = bucket_members(classes)
     leads = members.groupBy("key").agg(F.min_by(F.struct("id", "n"), F.struct("id", "n")).alias("least"))
@@ -214,18 +227,21 @@ def linked(classes: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
     followers = staged(rows.select("id", "n", F.col("least.id").alias("lead"), F.col("least.n").alias("lead_n")).distinct(), "followers")
     tested = staged(lead_pairs(followers), "pairs")
     ids = staged(members.select("id", F.col("id").alias("component")).distinct(), "members")
-    labels = relabelled(ids, verified(tested, documents, shingle))
+    labels = relabelled(ids, verified(tested, names, documents, shingle))
     crossed = cross_pairs(mixed_groups(followers, labels, classes))
-    more = verified(staged(anti_join(crossed, tested, ["a", "b"]), "pairs"), documents, shingle)
+    more = verified(staged(anti_join(crossed, tested, ["a", "b"]), "pairs"), names, documents, shingle)
     return labels if more.isEmpty() else relabelled(labels, more)
 
 
-def verified(pairs: DataFrame, documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def verified(pairs: DataFrame, names: DataFrame, documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The pairs (a written table) whose full sets are similar enough, as edges."""
-    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair_ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    ids = inner_join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), names, "id")
+    ids = staged(ids.select("id", "doc_id", "signature"), "pair_ids")
+    wanted = F.broadcast(ids.select("doc_id")) if ids.count() <= BROADCAST_IDS else ids
     texts = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    sets = staged(texts.mapInArrow(_sets(shingle), "id long, shingles array<long>"), "sets")
+    found = texts.mapInArrow(_sets(shingle), "signature binary, shingles array<long>")
+    once = found.groupBy("signature").agg(F.first("shingles").alias("shingles"))
+    sets = staged(inner_join(ids.select("id", "signature"), once, "signature").select("id", "shingles"), "sets")
     left, right = (sets.toDF(s, f"set_{s}") for s in "ab")
     both = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - both
@@ -264,26 +280,45 @@ def _star(rows: DataFrame, larger: bool) -> DataFrame:
     return out.filter("a < b").distinct()
 
 
-def label(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each document."""
+def labelled(documents: DataFrame, shingle: int) -> DataFrame:
+    """ROW, doc_id, n_shingles, class_id (the least class of the component) and component_id of documents with a ROW."""
     sketches = sketched(documents, shingle)
-    labels = linked(representatives(sketches), documents, shingle).withColumnRenamed("id", "node")
-    known = sketches.filter(F.col("signature").isNotNull() & F.col("doc_id").isNotNull())
-    classes = known.groupBy("signature").agg(F.min("doc_id").alias("node"))
-    classes = left_join(classes, labels, "node").select("signature", F.coalesce("component", "node").alias("component"))
+    names = named_classes(sketches)
+    labels = linked(representatives(sketches, names), names, documents, shingle)
+    classes = left_join(names, labels, "id").select("signature", "doc_id", F.coalesce("component", "id").alias("class_id"))
+    least = classes.groupBy("class_id").agg(F.min("doc_id").alias("least"))
+    classes = left_join(classes.drop("doc_id"), least, "class_id", spread=True)
     joined = left_join(sketches.drop("bands", "bitmap"), classes, "signature", spread=True)
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    known = F.col("doc_id").isNotNull()
+    return joined.select(
+        ROW,
+        "doc_id",
+        "n_shingles",
+        F.when(known, F.col("class_id")).alias("class_id"),
+        F.when(known, F.coalesce("least", "doc_id")).alias("component_id"),
+    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def label(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each document; rows that share the least doc_id are all marked kept."""
+    rows = documents.select("doc_id", "text").withColumn(ROW, F.monotonically_increasing_id())
+    return labelled(rows, shingle).drop(ROW, "class_id")
 
 
 def deduplicate(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The documents without those that another one of their component stands for; all columns stay.
 
-    Of repeated rows with one doc_id, equal in all columns or not, the one with the least text stays.
+    One row of each component stays: the one with the least doc_id, of these the one with the least text,
+    and of equal ones the first.
     """
-    gone = label(documents, shingle).filter(~F.col("kept")).select("doc_id").distinct()
-    ids = staged(gone, "duplicates")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return documents.join(wanted, "doc_id", "left_anti")
+    rows = staged(documents.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = staged(labelled(rows, shingle).select(ROW, "class_id", "kept"), "labelled")
+    first = found.filter("kept and class_id is not null").drop("kept")
+    shared = first.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("class_id", F.hash("class_id").alias("spread"))
+    rivals = first.withColumn("spread", F.hash("class_id")).join(shared, ["class_id", "spread"], "left_semi").drop("spread")
+    rivals = staged(rivals, "rivals")
+    least = inner_join(rivals, rows.select(ROW, "text"), ROW).groupBy("class_id").agg(F.min(F.struct("text", ROW)).alias("least"))
+    gone = anti_join(rivals.select(ROW), least.select(F.col(f"least.{ROW}").alias(ROW)), ROW)
+    gone = staged(found.filter(~F.col("kept")).select(ROW).unionByName(gone), "duplicates")
+    wanted = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return rows.join(wanted, ROW, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -125,3 +125,32 @@ def test_sets_of_the_corpus(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.label(df).collect()}
     assert got == brute([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
+
+
+def one_of_each(rows):
+    """The rows (doc_id, text, ...) that stay: the least of each component, and all without doc_id or words."""
+    known = sorted((r for r in rows if r[0] is not None and shingles(r[1])), key=lambda r: r[:2])
+    roots = brute([(i, r[1]) for i, r in enumerate(known)])
+    first = [known[i] for i in sorted({c for _, c in roots.values()})]
+    return first + [r for r in rows if r[0] is None or not shingles(r[1])]
+
+
+def test_repeated_rows_leave_one(spark):
+    df = odd_documents(spark)
+    kept = [(r.doc_id, r.text) for r in near_dup.deduplicate(df).collect()]
+    want = one_of_each([(r.doc_id, r.text) for r in df.collect()])
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(kept, key=key) == sorted(want, key=key)
+
+
+def test_two_texts_of_one_doc_id(spark):
+    """20 is like the first text of 12 and 10 like the second: these are two groups, and each keeps a row."""
+    rng = random.Random(6)
+    one, two = clean_text(rng, 60), clean_text(rng, 60)
+    rows = [(20, one + " end"), (12, one), (12, two), (10, two + " end"), (10, two + " end"), (12, one.upper()), (30, clean_text(rng, 50))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dup.label(df).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(10, 10), (10, 10), (12, 10), (12, 12), (12, 12), (20, 12), (30, 30)]
+    kept = sorted((r.doc_id, r.text) for r in near_dup.deduplicate(df).collect())
+    assert kept == sorted([(10, two + " end"), (12, one.upper()), rows[-1]])
+    assert near_dup.deduplicate(df).columns == df.columns
