@@ -6,8 +6,11 @@ the language is unknown) and a size class (powers of two of the number of pieces
 all documents: in the middle the median, with a spread from the median to the upper quartile, which junk on
 the low side moves little. Below the median a text may fall by ``LOWER`` spreads; above it by ``UPPER``
 times the median, since well-known words make long tokens. A text is rejected for one measure outside its
-band, or for more byte pieces than ``BYTES`` and the language's upper quartile allow. Groups of fewer than
-``MIN_DOCUMENTS`` have no band and reject nothing.
+band, or for more byte pieces than ``BYTES`` and the language's upper quartile allow.
+
+A group of fewer than ``MIN_DOCUMENTS`` takes its band from the neighbouring size classes of the language too,
+as many on each side as it needs; where the whole language has too few, from all documents of the script in
+the same way. A script with too few has the fixed bands ``FIXED``; other scripts would say nothing about it.
 
 Base rules: fewer than ``MIN_WORDS`` words, or more than ``MAX_REPEATED`` percent of the words in repeated
 five-word windows.
@@ -20,8 +23,6 @@ judged on its own text and language. An empty table gives no rows. Other columns
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -51,26 +52,35 @@ _SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 _SYMBOLS = tuple(bytes([c]) for c in b"#*$%&|<>")
 _CONTINUED = bytes(range(0x80, 0xC0))
 
+# Bands where a script has too few documents: what a text of any language keeps to.
+FIXED = {"chars_per_token": (0.25, 12.0), "chars_per_piece": (0.25, 12.0), "entropy": (1.5, 16.0)}
+FIXED_LATIN = {"chars_per_token": (1.2, 12.0), "chars_per_piece": (0.8, 12.0), "entropy": (1.5, 16.0)}
+
 # Unicode blocks that tell scripts apart.
 _SCRIPTS = [
-    ("latin", re.compile(r"[A-Za-zÀ-ɏ]")),
-    ("greek", re.compile(r"[Ͱ-Ͽ]")),
-    ("cyrillic", re.compile(r"[Ѐ-ӿ]")),
-    ("hebrew", re.compile(r"[֐-׿]")),
-    ("arabic", re.compile(r"[؀-ۿ]")),
-    ("indic", re.compile(r"[ऀ-෿]")),
-    ("thai", re.compile(r"[฀-๿]")),
-    ("kana", re.compile(r"[぀-ヿ]")),
-    ("hangul", re.compile(r"[가-힣]")),
-    ("han", re.compile(r"[一-鿿]")),
+    ("latin", "AZ", "az", "Àɏ"),
+    ("greek", "Ͱ\u03ff"),
+    ("cyrillic", "Ѐӿ"),
+    ("hebrew", "\u0590\u05ff"),
+    ("arabic", "\u0600\u06ff"),
+    ("indic", "\u0900\u0dff"),
+    ("thai", "\u0e00\u0e7f"),
+    ("kana", "\u3040\u30ff"),
+    ("hangul", "\uac00\ud7a3"),
+    ("han", "\u4e00\u9fff"),
 ]
+_SCRIPT_AT = np.zeros(0x10001, np.uint8)  # the last slot is for all that lies above
+for _i, (_, *_blocks) in enumerate(_SCRIPTS):
+    for _lo, _hi in _blocks:
+        _SCRIPT_AT[ord(_lo) : ord(_hi) + 1] = _i + 1
 
 
 def script_of(text: str) -> str:
     """The script with the most letters; ``none`` without letters."""
-    counts = [(len(pattern.findall(text)), name) for name, pattern in _SCRIPTS]
-    most = max(counts, key=lambda x: x[0])
-    return most[1] if most[0] else "none"
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    counts = np.bincount(_SCRIPT_AT[np.minimum(points, 0x10000)], minlength=len(_SCRIPTS) + 1)[1:]
+    most = int(np.argmax(counts))
+    return _SCRIPTS[most][0] if counts[most] else "none"
 
 
 def repeated_words(hashes: np.ndarray) -> int:
@@ -108,7 +118,7 @@ def measure(text: str | None, lang: str | None, piece_path: str, byte_path: str)
     hashes = np.fromiter((f[2] for f in found), np.uint64, len(found))
     base = len(words), word_chars, symbols, repeated_lines(data), repeated_words(hashes)
     pieces = np.frombuffer(b"".join([f[0] for f in found]), "<u4")
-    script = None if lang else script_of(text or "")
+    script = script_of(text or "")
     if not len(pieces):
         return *base, 0, None, None, None, None, script
     _, counts = np.unique(pieces, return_counts=True)
@@ -149,37 +159,72 @@ def measured(documents: DataFrame, name: str = "__quality", piece_path: str | No
 def _group(lang: Column, m: str) -> list[Column]:
     size = F.floor(F.log2(F.greatest(F.col(f"{m}.n_pieces"), F.lit(1))))
     size = F.least(F.greatest(size, F.lit(CLASSES[0])), F.lit(CLASSES[1]))
-    kind = F.when(F.coalesce(lang, F.lit("")) != "", lang).otherwise(F.concat(F.lit("script "), F.col(f"{m}.script")))
-    return [kind.alias("kind"), size.cast("int").alias("size_class")]
+    script = F.concat(F.lit("script "), F.col(f"{m}.script"))
+    kind = F.when(F.coalesce(lang, F.lit("")) != "", F.concat(F.lit("language "), lang)).otherwise(F.concat(F.lit("no language, "), script))
+    return [kind.alias("kind"), script.alias("script"), size.cast("int").alias("size_class")]
+
+
+def _reach(cells: DataFrame, name: str) -> DataFrame:
+    """(name, size_class, reach): how many size classes on each side make up MIN_DOCUMENTS; null where all are too few."""
+    sizes = cells.groupBy(name, "size_class").agg(F.sum("documents").alias("n"))
+    sizes = sizes.groupBy(name).agg(F.collect_list(F.struct("size_class", "n")).alias("sizes"))
+    reaches = range(CLASSES[1] - CLASSES[0] + 1)
+
+    def within(r: int) -> Column:
+        near = F.filter("sizes", lambda x: F.abs(x["size_class"] - F.col("size_class")) <= r)
+        return F.aggregate(near, F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+
+    least = F.coalesce(*[F.when(within(r) >= MIN_DOCUMENTS, F.lit(r)) for r in reaches])
+    rows = cells.select(name, "size_class").distinct().join(sizes, name)
+    return rows.select(name, "size_class", least.alias(f"{name}_reach"))
+
+
+def _fixed(values: dict) -> Column:
+    return F.struct(*[F.struct(F.lit(values[c][0]).alias("lo"), F.lit(values[c][1]).alias("hi")).alias(c) for c in MEASURES])
 
 
 def bands(rows: DataFrame, m: str = "__quality") -> DataFrame:
-    """For each language or script and size class: the band of every measure, from all rows that pass the base rules."""
-    passed = rows.filter(~base_failed(m)).select(*_group(F.col("lang"), m), F.col(f"{m}.*"))
+    """(kind, script, size_class, band, byte_share) for all cells of rows that pass the base rules."""
+    passed = rows.filter(~base_failed(m)).select(*_group(F.col("lang"), m), *[F.col(f"{m}.{c}") for c in (*MEASURES, "byte_share")])
+    cells = staged(passed.groupBy("kind", "script", "size_class").agg(F.count(F.lit(1)).alias("documents")), "cells")
+    chosen = cells.join(_reach(cells, "kind"), ["kind", "size_class"]).join(_reach(cells, "script"), ["script", "size_class"])
+    group = F.when(F.col("kind_reach").isNotNull(), F.col("kind")).when(F.col("script_reach").isNotNull(), F.col("script"))
+    chosen = staged(chosen.select("kind", "script", "size_class", group.alias("group"), F.coalesce("kind_reach", "script_reach").alias("reach")), "chosen")
+    wanted = chosen.filter("group is not null").select("group", F.col("size_class").alias("middle"), "reach").distinct()
+    wanted = staged(wanted, "wanted_bands")
+    both = passed.select(F.explode(F.array("kind", "script")).alias("group"), "size_class", *MEASURES, "byte_share")
+    near = both.join(wanted, "group").filter(F.abs(F.col("size_class") - F.col("middle")) <= F.col("reach"))
     middle = [F.percentile_approx(c, [0.5, 0.75], 2000).alias(c) for c in (*MEASURES, "byte_share")]
-    found = passed.groupBy("kind", "size_class").agg(F.count(F.lit(1)).alias("documents"), *middle)
+    found = near.groupBy("group", F.col("middle").alias("size_class")).agg(*middle)
     out = []
     for c in MEASURES:
         mid, high = F.get(c, 0), F.get(c, 1)
         spread = F.greatest((high - mid) / 0.6745, mid * MIN_SPREAD)
         out.append(F.struct((mid - spread * LOWER).alias("lo"), (mid * UPPER).alias("hi")).alias(c))
-    most = F.greatest(F.lit(BYTES), F.get("byte_share", 1) * 3).alias("byte_share")
-    return found.filter(F.col("documents") >= MIN_DOCUMENTS).select("kind", "size_class", F.struct(*out, most).alias("band"))
+    most = F.greatest(F.lit(BYTES), F.get("byte_share", 1) * 3).alias("most")
+    found = found.select("group", "size_class", F.struct(*out).alias("found"), most)
+    latin = F.col("script") == "script latin"
+    return chosen.join(found, ["group", "size_class"], "left").select(
+        "kind",
+        "script",
+        "size_class",
+        F.coalesce("found", F.when(latin, _fixed(FIXED_LATIN)).otherwise(_fixed(FIXED))).alias("band"),
+        F.coalesce("most", F.when(latin, F.lit(BYTES)).otherwise(F.lit(1.0))).alias("byte_share"),
+    )
 
 
 def judged(rows: DataFrame, m: str = "__quality") -> DataFrame:
     """Add ``__failed`` (base rules) and ``__kept`` to measured rows, which should be a written table."""
-    table = staged(bands(rows, m), "bands")
-    keyed = rows.withColumns(dict(zip(("__kind", "__class"), _group(F.col("lang"), m), strict=True)))
-    table = table.select(F.col("kind").alias("__kind"), F.col("size_class").alias("__class"), F.col("band").alias("__band"))
-    joined = keyed.join(table, ["__kind", "__class"], "left")
-    inside = F.col(f"{m}.byte_share") <= F.col("__band.byte_share")
+    keys = ("__kind", "__script", "__class")
+    table = staged(bands(rows, m), "bands").toDF(*keys, "__band", "__bytes")
+    joined = rows.withColumns(dict(zip(keys, _group(F.col("lang"), m), strict=True))).join(table, list(keys), "left")
+    inside = F.col(f"{m}.byte_share") <= F.col("__bytes")
     for c in MEASURES:
         value = F.col(f"{m}.{c}")
         inside = inside & (value >= F.col(f"__band.{c}.lo")) & (value <= F.col(f"__band.{c}.hi"))
-    kept = ~F.col("__failed") & F.coalesce(inside, F.lit(True))
+    kept = ~F.col("__failed") & F.coalesce(inside, F.lit(False))
     out = joined.withColumn("__failed", F.coalesce(base_failed(m), F.lit(True)))
-    return out.withColumn("__kept", kept).drop("__kind", "__class", "__band")
+    return out.withColumn("__kept", kept).drop(*keys, "__band", "__bytes")
 
 
 def verdicts(documents: DataFrame) -> DataFrame:

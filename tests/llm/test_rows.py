@@ -171,6 +171,23 @@ def test_bands_reject_junk_and_keep_clean(spark):
     assert n[0, False] / (n[0, True] + n[0, False]) > 0.75
 
 
+def test_thin_groups_are_judged(spark):
+    """Gibberish falls, and prose stays, where a size class or a whole language has few documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
+    texts = [r.text for r in docs.filter("lang = 'en' and quality = 1 and n_chars between 600 and 1000").orderBy("doc_id").limit(90).collect()]
+    rng = random.Random(9)
+
+    def gibberish(n):
+        return " ".join("".join(rng.choice("qxzjkvwbpQXZJ0123456789") for _ in range(rng.randrange(3, 9))) for _ in range(n))
+
+    rows = [(i, t, "en") for i, t in enumerate(texts[:85])]
+    rows += [(100, gibberish(100), "en"), (101, gibberish(2000), "en"), (102, gibberish(100), "xx"), (103, gibberish(60), None)]
+    rows += [(200 + i, t, "xx") for i, t in enumerate(texts[85:])]
+    got = {r.doc_id: r for r in quality_rules.verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert len(got) == len(rows) and not any(got[i].base_failed for i in range(100, 104))
+    assert {i for i, r in got.items() if not r.kept and not r.base_failed} == {100, 101, 102, 103}
+
+
 # Licenses
 
 
