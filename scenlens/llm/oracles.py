@@ -135,10 +135,85 @@ SELECT doc_id, n_words, len(p)::BIGINT AS n_base, list_min(p)::BIGINT AS first_w
 FROM base b LEFT JOIN found f USING (r)
 """
 
+#: The table of the CRC-32 of bytes, by its rule.
+CRC_TABLE = """
+crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i)))"""
+
+
+def crc32(byte_list: str) -> str:
+    """The unsigned CRC-32 of a list of bytes, where ``crc_table`` is joined in."""
+    return (
+        f"xor(list_reduce([4294967295] || {byte_list}, lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)"
+    )
+
+
+_KEY = "list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: unicode(x)::BIGINT)"
+
+OP11 = rf"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32(_KEY)} % 20 AS kind
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0),
+numbered AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+  FROM damaged),
+counted AS (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) AS seen FROM numbered),
+faults AS (
+  SELECT *, left(role, 1) AS r, CASE WHEN last = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+  left(lag(role) OVER (PARTITION BY c ORDER BY i), 1) AS before
+  FROM counted),
+summary AS (
+  SELECT c, any_value(conv_id) AS conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY c),
+inserts(p, k, q, lines) AS (VALUES
+  ('', 0, '', []::VARCHAR[]), ('s', 0, 's', []), ('u', 0, 'u', []), ('a', 0, 'a', []),
+  ('', 1, 'u', ['user:']), ('s', 1, 'u', ['user:']), ('a', 1, 'u', ['user:']), ('u', 1, 'a', ['assistant:']),
+  ('', 2, 'a', ['user:', 'assistant:']), ('s', 2, 'a', ['user:', 'assistant:']), ('a', 2, 'a', ['user:', 'assistant:']),
+  ('u', 2, 'u', ['assistant:', 'user:'])),
+states AS (
+  SELECT c, 0::BIGINT AS i, '' AS p, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS best FROM summary
+  UNION ALL
+  SELECT c, i, p, min(best) FROM (
+    SELECT s.c, s.i + 1 AS i,
+      CASE e WHEN 'D' THEN q WHEN 'K' THEN r ELSE CASE q WHEN 'u' THEN 'a' ELSE 'u' END END AS p,
+      {{'cost': s.best.cost + 5 * k + CASE e WHEN 'D' THEN 2 WHEN 'K' THEN 0 ELSE 1 END
+          + CASE WHEN e <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END,
+        'audit': s.best.audit || repeat('I', k) || e,
+        'lines': s.best.lines || n.lines || CASE e WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text]
+          ELSE [CASE q WHEN 'u' THEN 'assistant:' ELSE 'user:' END || text] END}} AS best
+    FROM states s JOIN faults f ON f.c = s.c AND f.i = s.i + 1 JOIN inserts n USING (p), (VALUES ('D'), ('K'), ('R')) edits(e)
+    WHERE e = 'D' OR (fault IN ('', 'truncated') AND (e = 'R' OR (r = 's' AND q = '') OR (r = 'u' AND q <> 'u') OR (r = 'a' AND q = 'u'))))
+  GROUP BY c, i, p),
+ends AS (
+  SELECT c, min({{'cost': s.best.cost + 5 * k, 'audit': s.best.audit || repeat('I', k), 'lines': s.best.lines || n.lines}}) AS best
+  FROM states s JOIN summary USING (c) JOIN inserts n USING (p) WHERE i = summary.n AND (q = 'a' OR q = '') GROUP BY c),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit,
+  sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM every e LEFT JOIN summary m ON m.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN ends USING (c)
+"""
+
 ORACLES = {
     "op3_site_lines": OP3,
     "op4_warc_revisits": OP4,
     "op5_mix_prefix_cut": OP5,
     "op8_fast_sketches": OP8,
     "op9_license_diagonals": OP9,
+    "op11_branch_and_bound": OP11,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scenlens.llm import (
     classifier,
+    conversations,
     decontamination,
     licenses,
     line_dedup,
@@ -65,6 +66,10 @@ def op10_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,6 +89,7 @@ QUERIES = {
         op8_fast_sketches,
         op9_license_diagonals,
         op10_neighbour_votes,
+        op11_branch_and_bound,
         pipeline,
     )
 }
