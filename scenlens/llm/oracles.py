@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scenlens.llm import licenses, line_dedup, mixing
+from scenlens.llm import licenses, line_dedup, mixing, personal_data
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -209,6 +209,100 @@ SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM every e LEFT JOIN summary m ON m.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN ends USING (c)
 """
 
+_BYTES = "flatten(list_transform(string_split({0}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END))"
+
+OP13 = rf"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), '{UPPER}', '{LOWER}') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run HAVING length(run) >= 6),
+hashed AS (
+  SELECT run, n, {crc32(_BYTES.format("coalesce(doc_id::VARCHAR, 'null') || ':' || run"))} AS h FROM counted, crc_table),
+results AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run) + 2)::BIGINT) ELSE run END AS word, n
+  FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM results WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) r(i)),
+pairs AS (
+  SELECT a.word, b.word AS near FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM cuts a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT p.word, count(*) AS n_near, min({{'minus': -w.n, 'word': near}}) AS least
+  FROM pairs p JOIN words w ON w.word = p.near GROUP BY p.word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN -least.minus >= 5 * w.n THEN least.word END AS form, CASE WHEN -least.minus >= 5 * w.n THEN -least.minus END::BIGINT AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chains AS (
+  SELECT word, word AS last, 0 AS steps FROM forms
+  UNION ALL SELECT c.word, f.form, steps + 1 FROM chains c JOIN forms f ON f.word = c.last WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(last, steps) AS root FROM chains GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}",
+    "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+    "secret": r"\b[0-9a-f]{32,64}\b",
+}
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1),
+  lambda i: CASE WHEN i % 2 = 1 THEN ({_DIGITS}[-i])::INT ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][({_DIGITS}[-i])::INT + 1] END)) % 10 = 0"""
+_MOD97 = """list_reduce([0] || list_transform(string_split(substr(replace(m, ' ', ''), 5) || left(replace(m, ' ', ''), 4), ''),
+  lambda x: (CASE WHEN x BETWEEN '0' AND '9' THEN ascii(x) - 48 ELSE ascii(x) - 55 END)),
+  lambda a, d: (a * CASE WHEN d > 9 THEN 100 ELSE 10 END + d) % 97) = 1"""
+_CHECKS = {
+    "email": "true",
+    "ip": "list_bool_and(list_transform(string_split(m, '.'), lambda x: length(ltrim(x, '0')) <= 3 AND coalesce(try_cast(x AS HUGEINT), 999) <= 255))",
+    "card": f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}",
+    "phone": f"length({_DIGITS}) BETWEEN 9 AND 15",
+    "iban": f"{_MOD97} AND NOT regexp_matches(substr(text, first + length(m) + 1, 1), '[A-Za-z0-9]')",
+    "ssn": "left(m, 3) NOT IN ('000', '666') AND left(m, 3) < '900' AND substr(m, 5, 2) <> '00' AND right(m, 4) <> '0000'",
+    "secret": "true",
+}
+_LENGTHS = ", ".join(f"'{k}': {v}" for k, v in personal_data.IBAN_LENGTHS.items())
+
+
+def _kind(rank: int, kind: str) -> str:
+    pattern = _PATTERNS[kind]
+    lengths = f"MAP {{{_LENGTHS}}}"
+    cut = f"left(m, list_filter(range(1, length(m) + 1), lambda e: length(replace(left(m, e), ' ', '')) = {lengths}[left(m, 2)])[1])"
+    words = ", ".join(f"'{w}'" for w in personal_data.WORDS[kind].split())
+    against = ", ".join(f"'{w}'" for w in personal_data.AGAINST.split())
+    near = personal_data.NEAR
+    base = kind in personal_data.BASE_KINDS
+    return f"""
+  SELECT r, {rank} AS rank, '{kind}' AS kind, first, first + length(m) AS past FROM (
+    SELECT r, text, first, m, regexp_extract_all(translate(substr(text, greatest(first - {near}, 0) + 1, least(first, {near}))
+      || ' ' || substr(text, first + length(m) + 1, {near}), '{UPPER}', '{LOWER}'), '[a-z]+') AS near
+    FROM (SELECT r, text, first, {cut if kind == "iban" else "m"} AS m FROM (
+      SELECT r, text, unnest(found) AS m,
+        unnest(list_transform(range(1, len(found) + 1), lambda i: coalesce(list_sum(list_transform(parts[1:i], lambda x: length(x))), 0)
+          + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0)))::BIGINT AS first
+      FROM (SELECT r, text, regexp_extract_all(text, '{pattern}') AS found, string_split_regex(text, '{pattern}') AS parts FROM docs))))
+  WHERE m IS NOT NULL AND {_CHECKS[kind]} AND ({base} OR {personal_data.SCORES[kind]}
+    + CASE WHEN list_has_any(near, [{words}]) THEN {personal_data.BOOST} ELSE 0 END
+    - CASE WHEN list_has_any(near, [{against}]) THEN {personal_data.PENALTY} ELSE 0 END >= {personal_data.THRESHOLD})"""
+
+
+OP12 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({" UNION ALL ".join(_kind(i, k) for i, k in enumerate(personal_data.KINDS))}),
+listed AS (
+  SELECT r, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in personal_data.BASE_KINDS)},
+    string_agg(kind || ':' || first || ':' || past, ',' ORDER BY rank, first) AS spans,
+    string_agg(kind || ':' || first || ':' || past, ',' ORDER BY rank, first) FILTER (rank < {len(personal_data.BASE_KINDS)}) AS base
+  FROM spans GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in personal_data.BASE_KINDS)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (r)
+"""
+
 ORACLES = {
     "op3_site_lines": OP3,
     "op4_warc_revisits": OP4,
@@ -216,4 +310,6 @@ ORACLES = {
     "op8_fast_sketches": OP8,
     "op9_license_diagonals": OP9,
     "op11_branch_and_bound": OP11,
+    "op12_checked_patterns": OP12,
+    "op13_prefix_suffix_tiles": OP13,
 }

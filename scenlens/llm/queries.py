@@ -12,8 +12,10 @@ from scenlens.llm import (
     line_dedup,
     mixing,
     near_dup,
+    personal_data,
     quality_rules,
     sharding,
+    spelling,
     token_ids,
     warc,
 )
@@ -70,6 +72,14 @@ def op11_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_damaged(_table(spark, sf_dir, "conversations"))
 
 
+def op12_checked_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_suffix_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,6 +100,8 @@ QUERIES = {
         op9_license_diagonals,
         op10_neighbour_votes,
         op11_branch_and_bound,
+        op12_checked_patterns,
+        op13_prefix_suffix_tiles,
         pipeline,
     )
 }
