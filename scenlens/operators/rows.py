@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scenlens.operators.aggregation import numeric_columns
+from scenlens.operators.ranking import numeric_order
 
 
 def scale(df: DataFrame, col: str, factor: float) -> DataFrame:
@@ -63,11 +64,16 @@ def order_report(df: DataFrame, ids: Sequence[str], prefixes: Sequence[str]) ->
 
 def sort_numeric(df: DataFrame, *cols: str) -> DataFrame:
     """Sort by the numeric reading of text columns, unreadable values last. For final outputs only."""
-    return df.orderBy(*[F.col(c).try_cast("double").asc_nulls_last() for c in cols])
+    return df.orderBy(*numeric_order(*cols))
 
 
 def sort_report(df: DataFrame, group: str, number: str) -> DataFrame:
-    return df.orderBy(F.col(group).asc_nulls_last(), F.col(number).try_cast("double").asc_nulls_last())
+    return df.orderBy(*report_order(group, number))
+
+
+def report_order(group: str, number: str) -> list[Column]:
+    """The order of a report: by group, then by the numeric reading of a level."""
+    return [F.col(group).asc_nulls_last(), *numeric_order(number)]
 
 
 def strip_prefix(df: DataFrame) -> DataFrame:

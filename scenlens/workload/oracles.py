@@ -626,6 +626,13 @@ ORACLES |= {
     "level_order": _with("obs", """
         SELECT o_orderkey || '.50' AS Gt_CO2_reduction, row_number() OVER (ORDER BY o_orderkey) - 1 AS place
         FROM obs"""),
+    "customer_ranks": _with("obs", """
+        WITH c AS (SELECT o_custkey, count(*) AS n_orders FROM obs GROUP BY 1)
+        SELECT o_custkey, n_orders, rank() OVER (ORDER BY n_orders DESC) AS rank,
+               dense_rank() OVER (ORDER BY n_orders DESC) AS dense_rank,
+               row_number() OVER (ORDER BY n_orders DESC, o_custkey) - 1 AS place,
+               CAST(coalesce(sum(n_orders) OVER (ORDER BY n_orders DESC, o_custkey
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS orders_before FROM c"""),
     "water_units_differ": _with("obs", f"""
         WITH c AS (SELECT scenario, region, year, sum(value) AS v FROM obs GROUP BY 1, 2, 3),
         w AS (SELECT scenario, region, v AS ws, v / 2 + 1 AS ww FROM c WHERE year = 1995)

@@ -31,7 +31,8 @@ from scenlens.operators.reshape import (
     union_by_name,
     unpivot_years,
 )
-from scenlens.operators.rows import cols_matching, complete_cases, match_rows, strip_prefix, zero_fill
+from scenlens.operators.ranking import numeric_order, placed, ranked
+from scenlens.operators.rows import cols_matching, complete_cases, match_rows, report_order as report_rows_order, strip_prefix, zero_fill
 from scenlens.operators.spatial import point_in_polygon
 from scenlens.plans import compare as C
 from scenlens.plans import economy, food, gather, health, land, run, water
@@ -878,14 +879,24 @@ def report_without_health_and_land(v: Views) -> DataFrame:
 def report_order(v: Views) -> DataFrame:
     """The place of each row in the report, which is sorted by indicator and numeric level."""
     report = C.deliverable(C.report_differences(**v.run_tables(), **WINDOW), sectors=("afolu", "bld", "ind", "trn"))
-    return report.coalesce(1).select("sdg", "Gt_CO2_reduction", F.monotonically_increasing_id().alias("place"))
+    return placed(report.select("sdg", "Gt_CO2_reduction"), report_rows_order("sdg", "Gt_CO2_reduction"))
 
 
 @query(None)
 def level_order(v: Views) -> DataFrame:
     """The place of each order's key, as text, in numeric order."""
     keys = v.obs().select(F.concat(F.col("o_orderkey"), F.lit(".50")).alias("Gt_CO2_reduction"))
-    return C.sorted_by_level(keys).coalesce(1).withColumn("place", F.monotonically_increasing_id())
+    return placed(keys, numeric_order("Gt_CO2_reduction"))
+
+
+@query(None)
+def customer_ranks(v: Views) -> DataFrame:
+    """Customers by their orders, most first: competition and dense ranks, and how many orders stand before."""
+    counts = v.obs().groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
+    order = [F.col("n_orders").desc()]
+    rows = ranked(counts, order, ["n_orders"], "rank")
+    rows = ranked(rows, order, ["n_orders"], "dense_rank", dense=True)
+    return placed(rows, [*order, "o_custkey"], "place", {"orders_before": "n_orders"})
 
 
 @query(6)
