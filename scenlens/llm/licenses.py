@@ -1,9 +1,15 @@
 """License scan by diagonal voting.
 
-All rolling word ``K``-grams of a text are joined, by hash and then by their words, to the positions of the
-templates' ``K``-grams. A hit votes for the diagonal text position - template position. The votes are
-aggregated per diagonal; diagonals at most ``SLACK`` apart are merged, so a few words put in or left out
-don't break a span. A span is a find if it holds ``COVERAGE`` of the template's ``K``-grams.
+All rolling two-word grams of a text are joined, by hash and then by their words, to the positions of the
+templates' grams; a template of ``LONG`` words or more also asks for the third word. A hit votes for the
+diagonal text position - template position. The votes are aggregated per diagonal, and each diagonal is
+merged with the ones up to ``SLACK`` above it, so a few words put in or left out don't break a span.
+
+Hits only propose spans. To verify one, it is extended to both ends of the template, and each word of the
+template is compared with the text's word on the span's diagonals. The share of the template's words that
+stand there is the span's score; from ``COVERAGE`` on it is a find. One changed word leaves every template a
+gram and a share above that. Only the words by which a notice names its license must stand, else the span is
+of another license and has no score: "released under the X license" is a find with mit for X alone.
 
 Beside that stand the base phrases, found wherever their words follow each other.
 
@@ -16,12 +22,16 @@ are scanned on their own. An empty table gives no rows. Other columns are ignore
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from scenlens.llm.common import bounded_table
+from scenlens.llm.license_texts import NOTICES, TEXTS
+from scenlens.operators.joins import left_join
 from scenlens.sources.shared import staged
 
-K = 3
+LONG = 6  # words of a template whose grams have three words
 SLACK = 4
 COVERAGE = 0.75
 
@@ -32,22 +42,6 @@ PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Notices of public licenses, with their labels.
-TEMPLATES = [
-    ("apache-2.0", "licensed under the apache license version 2 0"),
-    ("apache-2.0", "you may not use this file except in compliance with the license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("gpl", "licensed under the gnu general public license version 3"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("mit", "released under the mit license"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("reserved", "all rights reserved"),
-]
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -57,42 +51,64 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
 
 
+def template_words(text: str) -> list[str]:
+    lower = text.translate(str.maketrans(UPPER, LOWER))
+    return re.findall(WORD, lower)
+
+
+#: (label, words, naming words) of all templates.
+TEMPLATES = [(label, template_words(text), naming.split()) for label, text, naming in [*NOTICES, *((*t, "") for t in TEXTS)]]
+
+
 def template_positions(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
-    """One row for each K-gram of each template."""
+    """One row for each gram of each template; ``third`` is null where two words are enough."""
     rows = []
-    for number, (label, text) in enumerate(templates):
-        w = text.split()
-        n = len(w) - K + 1
-        rows += [{"template": number, "label": label, "grams": n, "at": i, "tgram": " ".join(w[i : i + K])} for i in range(n)]
-    table = bounded_table(spark, rows, "template int, label string, grams int, at int, tgram string")
-    return table.withColumn("hash", F.xxhash64("tgram"))
+    for number, (_, w, _) in enumerate(templates):
+        k = 3 if len(w) >= LONG else 2
+        rows += [{"template": number, "at": i, "tgram": f"{w[i]} {w[i + 1]}", "third": w[i + 2] if k == 3 else None} for i in range(len(w) - k + 1)]
+    return bounded_table(spark, rows, "template int, at int, tgram string, third string").withColumn("hash", F.xxhash64("tgram"))
 
 
 def hits(rows: DataFrame, templates: DataFrame) -> DataFrame:
-    """(doc_id, key, words) to each place where a K-gram of a template stands."""
+    """(doc_id, key, words) to each place where a gram of a template stands."""
     w = F.col("words")
-    starts = F.when(F.size(w) >= K, F.sequence(F.lit(0), F.size(w) - K)).otherwise(F.array().cast("array<int>"))
-    grams = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(w, i + j) for j in range(K)]))
-    rolled = rows.select("doc_id", "key", F.posexplode(grams).alias("pos", "gram")).withColumn("hash", F.xxhash64("gram"))
-    return rolled.join(F.broadcast(templates), "hash").filter(F.col("gram") == F.col("tgram"))  # the templates are fixed
-
-
-def spans(found: DataFrame) -> DataFrame:
-    """Hits to merged diagonals: doc_id, key, template, label, first and last word, coverage."""
-    diagonals = (
-        found.withColumn("diagonal", F.col("pos") - F.col("at"))
-        .groupBy("doc_id", "key", "template", "label", "grams", "diagonal")
-        .agg(F.collect_set("at").alias("ats"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
-    )
-    by = Window.partitionBy("doc_id", "key", "template").orderBy("diagonal")
-    fresh = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > SLACK, F.lit(True))
-    merged = diagonals.withColumn("fresh", fresh.cast("int")).withColumn("span", F.sum("fresh").over(by))
-    held = F.size(F.array_distinct(F.flatten(F.collect_list("ats"))))
-    return (
-        merged.groupBy("doc_id", "key", "template", "label", "grams", "span")
-        .agg(held.alias("held"), F.min("lo").alias("first"), (F.max("hi") + K - 1).alias("last"))
-        .withColumn("coverage", F.col("held") / F.col("grams"))
-        .drop("grams", "span")
+    starts = F.when(F.size(w) > 1, F.sequence(F.lit(0), F.size(w) - 2)).otherwise(F.array().cast("array<int>"))
+    grams = F.transform(starts, lambda i: F.struct(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1)).alias("gram"), F.get(w, i + 2).alias("next")))
+    rolled = rows.select("doc_id", "key", F.posexplode(grams).alias("pos", "found")).select("doc_id", "key", "pos", "found.gram", "found.next")
+    joined = rolled.withColumn("hash", F.xxhash64("gram")).join(F.broadcast(templates), "hash")  # the templates are fixed
+    return joined.filter((F.col("gram") == F.col("tgram")) & (F.col("third").isNull() | (F.col("third") == F.col("next"))))
+
+
+def proposals(found: DataFrame) -> DataFrame:
+    """Hits to (doc_id, key, spans): for each diagonal of a template, the diagonals merged with it."""
+    diagonals = found.select("doc_id", "key", "template", (F.col("pos") - F.col("at")).alias("diagonal")).distinct()
+    by = Window.partitionBy("doc_id", "key", "template").orderBy("diagonal").rangeBetween(0, SLACK)
+    merged = diagonals.select("doc_id", "key", F.struct("template", F.collect_list("diagonal").over(by).alias("diagonals")).alias("span"))
+    return merged.groupBy("doc_id", "key").agg(F.collect_list("span").alias("spans"))
+
+
+def coverage(span: Column, words: Column, templates=TEMPLATES) -> Column:
+    """The share of the template's words that stand on one of the span's diagonals; 0 if a naming word doesn't."""
+    texts = F.array(*[F.split(F.lit(" ".join(w)), " ") for _, w, _ in templates])
+    naming = F.array(*[F.array(*[F.lit(x) for x in names]).cast("array<string>") for _, _, names in templates])
+    template = F.get(texts, span["template"])
+    places = F.sequence(F.lit(0), F.size(template) - 1)
+    held = F.filter(places, lambda t: F.exists(span["diagonals"], lambda d: F.coalesce(F.get(words, t + d) == F.get(template, t), F.lit(False))))
+    standing = F.transform(held, lambda t: F.get(template, t))
+    named = F.forall(F.get(naming, span["template"]), lambda x: F.array_contains(standing, x))
+    return F.when(named, F.size(held) / F.size(template)).otherwise(F.lit(0.0))
+
+
+def verified(proposed: DataFrame, rows: DataFrame) -> DataFrame:
+    """(doc_id, key, method_labels, best) of the documents with proposed spans; their texts are compared word by word."""
+    texts = rows.select("doc_id", "key", "text").join(proposed.select("key").distinct(), "key", "left_semi")
+    once = texts.groupBy("doc_id", "key").agg(F.first("text").alias("text"))
+    known = left_join(proposed, once, ["doc_id", "key"], null_keys=True).withColumn("words", words(F.col("text")))
+    labels = F.array(*[F.lit(label) for label, *_ in TEMPLATES])
+    scored = F.transform("spans", lambda s: F.struct(F.get(labels, s["template"]).alias("label"), coverage(s, F.col("words")).alias("score")))
+    good = F.transform(F.filter("scored", lambda s: s["score"] >= COVERAGE), lambda s: s["label"])
+    return known.withColumn("scored", scored).select(
+        "doc_id", "key", F.array_distinct(good).alias("method_labels"), F.array_max(F.col("scored.score")).alias("best")
     )
 
 
@@ -120,13 +136,10 @@ def _stands(w: Column, phrase: list[str]):
 def scan(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, base places and labels, method labels and score of each document."""
     spark = documents.sparkSession
-    rows = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), words(F.col("text")).alias("words"))
-    found = hits(rows, template_positions(spark)).select("doc_id", "key", "pos", "at", "template", "label", "grams")
-    verified = spans(staged(found, "license_hits"))
-    per_document = verified.groupBy("doc_id", "key").agg(
-        F.collect_set(F.when(F.col("coverage") >= COVERAGE, F.col("label"))).alias("method_labels"),
-        F.max("coverage").alias("best"),
-    )
+    keyed = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+    rows = keyed.withColumn("words", words(F.col("text"))).drop("text")
+    found = staged(hits(rows, template_positions(spark)).select("doc_id", "key", "pos", "at", "template"), "license_hits")
+    per_document = verified(staged(proposals(found), "license_spans"), keyed)
     places = phrase_places(F.col("words"))
     base = (
         rows.withColumns({f"p_{k}": v for k, v in places.items()})

@@ -92,12 +92,7 @@ FROM sets LEFT JOIN least_one USING (doc_id)
 
 
 def _template_rows() -> str:
-    rows = []
-    for number, (label, text) in enumerate(licenses.TEMPLATES):
-        w = text.split()
-        n = len(w) - licenses.K + 1
-        rows += [f"({number}, '{label}', {n}, {i}, '{' '.join(w[i : i + licenses.K])}')" for i in range(n)]
-    return ", ".join(rows)
+    return ", ".join(f"({i}, '{label}', {w}, {names}::VARCHAR[])" for i, (label, w, names) in enumerate(licenses.TEMPLATES))
 
 
 def _places(phrase: str) -> str:
@@ -114,20 +109,24 @@ base AS (
   SELECT r, doc_id, n_words, {" || ".join(f"p{i}" for i in range(len(licenses.PHRASES)))} AS p,
     list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, label in enumerate(licenses.PHRASES.values()))}],
       lambda x: x IS NOT NULL) AS labels FROM places),
-templates(template, label, grams, place, gram) AS (VALUES {_template_rows()}),
-rolled AS (
-  SELECT r, unnest(range(0, len(w) - {licenses.K - 1})) AS pos,
-    unnest(list_transform(range(0, len(w) - {licenses.K - 1}), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) AS gram
-  FROM words WHERE len(w) >= {licenses.K}),
-hits AS (SELECT r, template, label, grams, place, pos - place AS diagonal FROM rolled JOIN templates USING (gram)),
-starts AS (
-  SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licenses.SLACK}, true)::INT AS fresh
-  FROM hits),
-grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM starts),
-spans AS (
-  SELECT r, label, count(DISTINCT place) / any_value(grams)::DOUBLE AS coverage FROM grouped GROUP BY r, template, label, span),
-found AS (
-  SELECT r, list(DISTINCT label) FILTER (coverage >= {licenses.COVERAGE}) AS labels, max(coverage) AS best FROM spans GROUP BY r)
+templates(template, label, words, names) AS (VALUES {_template_rows()}),
+grams AS (
+  SELECT template, place, words[place + 1] AS one, words[place + 2] AS two, CASE WHEN len(words) >= 6 THEN words[place + 3] END AS three
+  FROM templates, unnest(range(0, len(words) - CASE WHEN len(words) >= 6 THEN 2 ELSE 1 END)) p(place)),
+rolled AS (SELECT r, pos, w[pos + 1] AS one, w[pos + 2] AS two, w[pos + 3] AS three FROM words, unnest(range(0, len(w) - 1)) p(pos)),
+diagonals AS (
+  SELECT DISTINCT r, template, pos - place AS diagonal
+  FROM rolled t JOIN grams g ON t.one = g.one AND t.two = g.two AND (g.three IS NULL OR g.three = t.three)),
+merged AS (SELECT a.r, a.template, a.diagonal, b.diagonal AS near FROM diagonals a
+  JOIN diagonals b ON a.r = b.r AND a.template = b.template AND b.diagonal BETWEEN a.diagonal AND a.diagonal + 4),
+compared AS (
+  SELECT r, template, diagonal, place FROM merged JOIN words USING (r) JOIN templates t USING (template), unnest(range(0, len(t.words))) p(place)
+  WHERE place + near >= 0 AND w[place + near + 1] = t.words[place + 1]),
+scored AS (
+  SELECT r, label, CASE WHEN list_has_all(list(words[place + 1]), any_value(names))
+    THEN count(DISTINCT place) / len(any_value(words))::DOUBLE ELSE 0 END AS share
+  FROM compared JOIN templates USING (template) GROUP BY r, template, label, diagonal),
+found AS (SELECT r, list(DISTINCT label) FILTER (share >= 0.75) AS labels, max(share) AS best FROM scored GROUP BY r)
 SELECT doc_id, n_words, len(p)::BIGINT AS n_base, list_min(p)::BIGINT AS first_word, list_max(p)::BIGINT AS last_word,
   array_to_string(list_sort(b.labels), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(b.labels || coalesce(f.labels, []))), ',') AS labels,
