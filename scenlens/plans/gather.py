@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from scenlens.sources.files import extract_data, list_matching, read_csv_by_name, scan_first
+from scenlens.sources.files import extract_matching, scan_first, scan_matching
 
 
 @dataclass(frozen=True)
@@ -86,9 +86,11 @@ def _shape(rows: DataFrame, out: Output) -> DataFrame:
 def gather(spark: SparkSession, root: str, indicator: str, ssp: str) -> DataFrame:
     """All rows of one family's outputs of an indicator, read in one scan."""
     out = OUTPUTS[indicator]
-    paths = list_matching(spark, f"{root}/{out.folder}", out.pattern.format(ssp=ssp), out.exclude)
     schema = StructType.fromDDL(out.columns)
-    return _shape(read_csv_by_name(spark, paths, schema, with_file=out.distinct), out)
+    rows = scan_matching(
+        spark, f"{root}/{out.folder}", out.pattern.format(ssp=ssp), schema, out.exclude, with_file=out.distinct
+    )
+    return _shape(rows, out)
 
 
 def gather_reference(spark: SparkSession, root: str, indicator: str) -> DataFrame:
@@ -96,7 +98,7 @@ def gather_reference(spark: SparkSession, root: str, indicator: str) -> DataFram
     out = OUTPUTS[indicator]
     folder, schema = f"{root}/{out.folder}", StructType.fromDDL(out.columns)
     if out.all_reference_files:
-        rows = read_csv_by_name(spark, list_matching(spark, folder, out.reference_pattern), schema)
+        rows = scan_matching(spark, folder, out.reference_pattern, schema)
     else:
         rows = scan_first(spark, folder, out.reference_pattern, schema)
     return _shape(rows, out)
@@ -110,4 +112,4 @@ PSL_COLUMNS = (
 
 def gather_psl(spark: SparkSession, folder: str, columns: str = PSL_COLUMNS) -> DataFrame:
     """Every species-loss result in a folder, CSV or Parquet."""
-    return extract_data(spark, list_matching(spark, folder), StructType.fromDDL(columns))
+    return extract_matching(spark, folder, StructType.fromDDL(columns))

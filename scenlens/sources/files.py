@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import re
 import warnings
 from collections.abc import Sequence
@@ -11,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from scenlens.operators.reshape import union_by_name
+from scenlens.sources.shared import staged
+from scenlens.sources.text_scan import empty_files, empty_table, escaped, file_table, first_name, read_by_name, selected
 
 # Columns of the lookup files.
 FOOD_GROUPS_SCHEMA = "supplysector string, subsector string"
@@ -87,59 +88,20 @@ def list_matching(
     return found
 
 
-def _empty(spark: SparkSession, schema: StructType, with_file: bool) -> DataFrame:
-    extra = [StructField("file", StringType())] if with_file else []
-    return spark.createDataFrame([], StructType(schema.fields + extra))
-
-
-def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """Header line -> files that start with it. One small row per file reaches the driver, as in a listing."""
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("n"),
-        "value",
-    )
-    first = (
-        lines.filter(F.col("start") == 0)
-        .groupBy("path")
-        .agg(F.min_by("value", "n").alias("header"))
-        .groupBy("header")
-        .agg(F.collect_list("path").alias("paths"))
-    )
-    return {r.header: sorted(r.paths) for r in first.collect()}
+def _warn_empty(spark: SparkSession, folder: str, include: str, exclude: str | None) -> None:
+    empty = empty_files(spark, folder, include, exclude).agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")).first()
+    if empty.n:
+        more = f" and {empty.n - 1} more" if empty.n > 1 else ""
+        warnings.warn(f"skipping empty file: {empty.path}{more}", stacklevel=3)
 
 
 def read_csv_by_name(
     spark: SparkSession, paths: Sequence[str], schema: StructType, with_file: bool = False
 ) -> DataFrame:
-    """CSV files bound to ``schema`` by column name.
-
-    A field that does not read as its type fails the job. Spark binds CSV columns by position, so files are read in groups of equal header, one scan per
-    distinct header however many files there are. Columns a file lacks become null; columns outside the
-    schema are not read.
-    """
+    """A few named CSV files bound to ``schema`` by column name; see ``text_scan.read_by_name``."""
     if not paths:
-        return _empty(spark, schema, with_file)
-    types = {f.name: f.dataType for f in schema.fields}
-    parts = []
-    for header, members in sorted(_headers(spark, paths).items()):
-        names = next(csv.reader([header.rstrip("\r")]))
-        file_schema = StructType(
-            [
-                StructField(n if n in types else f"__skip{i}", types.get(n, StringType()))
-                for i, n in enumerate(names)
-            ]
-        )
-        rows = spark.read.csv(members, schema=file_schema, header=True, nullValue="NA", mode="FAILFAST")
-        cols = [
-            (F.col(f"`{n}`") if n in names else F.lit(None)).cast(t).alias(n)
-            for n, t in types.items()
-        ]
-        if with_file:
-            cols.append(F.col("_metadata.file_path").alias("file"))
-        parts.append(rows.select(*cols))
-    return union_by_name(*parts)
+        return empty_table(spark, schema, with_file)
+    return read_by_name(spark, list(paths), schema, with_file=with_file)
 
 
 def scan_matching(
@@ -151,21 +113,44 @@ def scan_matching(
     warn_empty: bool = True,
     with_file: bool = False,
 ) -> DataFrame:
-    """All rows of the CSV files selected by name."""
-    paths = list_matching(spark, folder, include, exclude, warn_empty)
-    return read_csv_by_name(spark, paths, schema, with_file)
+    """All rows of the CSV files selected by name, in one scan."""
+    found = staged(file_table(spark, folder, include, exclude), "files")
+    if warn_empty:
+        _warn_empty(spark, folder, include, exclude)
+    return read_by_name(spark, folder, schema, include, exclude, with_file, found)
 
 
 def scan_first(spark: SparkSession, folder: str, include: str, schema: StructType) -> DataFrame:
     """The rows of the first matching file by name."""
-    paths = list_matching(spark, folder, include)
-    if not paths:
+    path = first_name(file_table(spark, folder, include))
+    if path is None:
         raise FileNotFoundError(f"no file matching {include!r} in {folder}")
-    return read_csv_by_name(spark, paths[:1], schema)
+    return read_by_name(spark, [escaped(path)], schema)
+
+
+def extract_matching(spark: SparkSession, folder: str, schema: StructType, include: str = "", exclude: str | None = None) -> DataFrame:
+    """Rows of the CSV and Parquet files of a folder; other kinds are skipped with a warning."""
+    found = staged(file_table(spark, folder, include, exclude), "files")
+    _warn_empty(spark, folder, include, exclude)
+    other = found.filter(~F.col("name").rlike(r"\.(csv|parquet)$")).agg(F.min("path").alias("path")).first()
+    if other.path:
+        warnings.warn(f"skipping unsupported file type: {other.path}", stacklevel=2)
+    texts = found.filter(F.col("name").endswith(".csv"))
+    rows = read_by_name(spark, folder, schema, _both(include, r"\.csv$"), exclude, files=texts)
+    if found.filter(F.col("name").endswith(".parquet")).isEmpty():
+        return rows
+    tables = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(folder)
+    kept = tables.filter(selected(F.col("_metadata.file_name"), include, exclude))
+    return union_by_name(rows, kept)
+
+
+def _both(include: str, ending: str) -> str:
+    """A regex for what both regexes find."""
+    return f"^(?=.*(?:{include}))(?=.*(?:{ending}))" if include else ending
 
 
 def extract_data(spark: SparkSession, paths: Sequence[str], schema: StructType) -> DataFrame:
-    """Rows of CSV and Parquet files; other kinds are skipped with a warning."""
+    """Rows of a few named CSV and Parquet files; other kinds are skipped with a warning."""
     texts, tables = [], []
     for p in paths:
         if p.endswith(".csv"):

@@ -6,12 +6,15 @@ import re
 import tempfile
 import uuid
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 _local_default: dict[str, str] = {}
+_scopes: dict[str, list[str]] = {}  # folders that were made while a scope was open
+_open: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,7 +40,50 @@ def delete_staged(spark: SparkSession) -> None:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/scenlens/{uuid.uuid4().hex}/{label}"
+    folder = f"{shared_dir(spark)}/scenlens/{uuid.uuid4().hex}"
+    for name in _open:
+        _scopes[name].append(folder)
+    return f"{folder}/{label}"
+
+
+@contextmanager
+def scope(name: str) -> Iterator[None]:
+    """Folders made inside belong to the scope ``name``, until ``delete_scope`` empties it."""
+    _scopes.setdefault(name, [])
+    _open.append(name)
+    try:
+        yield
+    finally:
+        _open.remove(name)
+
+
+def delete_scope(spark: SparkSession, name: str, but_for: Sequence[DataFrame] = ()) -> int:
+    """Delete the folders of a scope, but for those that the plans of ``but_for`` read; returns how many went.
+
+    Any other DataFrame that reads from them can't be computed after this.
+    """
+    read = [root for df in but_for for root in roots_of(df)]
+    kept, n = [], 0
+    for folder in _scopes.get(name, []):
+        if any(folder.rsplit("/", 1)[-1] in root for root in read):
+            kept.append(folder)
+            continue
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    _scopes[name] = kept
+    return n
+
+
+def roots_of(df: DataFrame) -> list[str]:
+    """The folders and files that the plan of ``df`` names as its file sources."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    out = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            roots = leaf.relation().location().rootPaths()
+            out += [roots.apply(j).toString() for j in range(roots.size())]
+    return out
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

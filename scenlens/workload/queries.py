@@ -673,19 +673,13 @@ def gather_union(v: Views) -> DataFrame:
 
 @query(4)
 def scan_text_files(v: Views) -> DataFrame:
-    """CSV parts selected by name and bound by column name, joined with a second, reordered table."""
+    """CSV parts of two tables in one folder, with other columns in another order, selected by name and bound by column name."""
     root = new_folder(v.spark, "scan")
     cells = v.obs().groupBy("scenario", "year").agg(F.sum("value").alias("value"))
     schema = StructType(cells.schema.fields)
-    cells.filter("year < 1998").write.csv(f"{root}/a", header=True)
-    cells.filter("year >= 1998").select("value", "year", "scenario").write.csv(f"{root}/b", header=True)
-    parts = [
-        files.read_csv_by_name(
-            v.spark, files.list_matching(v.spark, f"{root}/{d}", r"\.csv$", "^_"), schema
-        )
-        for d in ("a", "b")
-    ]
-    return union_by_name(*parts)
+    cells.filter("year < 1998").write.mode("append").csv(root, header=True)
+    cells.filter("year >= 1998").select("value", "year", F.lit("-").alias("note"), "scenario").write.mode("append").csv(root, header=True)
+    return files.scan_matching(v.spark, root, r"\.csv$", schema, "^_")
 
 
 @query(4)
@@ -693,9 +687,8 @@ def gathered_tables(v: Views) -> DataFrame:
     """A gathered table written twice, as Parquet and CSV, and read back from both."""
     root = new_folder(v.spark, "gathered")
     food_table = v.run_tables()["food"]
-    paths = files.write_gathered(food_table, root, "food", "ALL")
-    stored = [f for p in paths for f in files.list_matching(v.spark, p, r"\.(csv|parquet)$", "^_")]
-    rows = files.extract_data(v.spark, stored, food_table.schema)
+    files.write_gathered(food_table, root, "food", "ALL")
+    rows = files.extract_matching(v.spark, f"{root}/food", food_table.schema, r"\.(csv|parquet)$", "^_")
     return rows.groupBy("scenario", "year").agg(
         F.count(F.lit(1)).alias("copies"),
         F.max("expenditure_percent_GDP").alias("expenditure_percent_GDP"),
@@ -858,8 +851,7 @@ def gather_psl(v: Views) -> DataFrame:
     stored_rows = staged(shaped, "psl_rows")
     stored_rows.coalesce(1).write.mode("append").csv(root, header=True)
     stored_rows.coalesce(1).write.mode("append").parquet(root)
-    paths = files.list_matching(v.spark, root, r"\.(csv|parquet)$")
-    rows = files.extract_data(v.spark, paths, stored_rows.schema)
+    rows = gather.gather_psl(v.spark, root)
     return rows.groupBy("scenario").agg(F.count(F.lit(1)).alias("copies"), F.max("final_PSL").alias("final_PSL"))
 
 

@@ -171,3 +171,19 @@ def test_raw_rows_are_filtered_by_title(spark, tmp_path):
 def test_default_food_groups(spark):
     groups = R.food_groups(spark)
     assert groups.count() == 21 and groups.filter(F.col("supplysector") == "FoodDemand_Staples").count() == 5
+
+
+def test_scopes_delete_what_was_staged_inside(spark):
+    from scenlens.sources import shared
+
+    rows = spark.range(5)
+    outside = shared.staged(rows, "outside")
+    with shared.scope("test"):
+        inside, read = shared.staged(rows, "inside"), shared.staged(rows, "read")
+    later = read.filter("id > 2").union(outside)
+    assert len(shared.roots_of(later)) == 2
+    assert shared.delete_scope(spark, "test", but_for=[later]) == 1
+    assert later.count() == 7 and outside.count() == 5
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        inside.count()
+    assert shared.delete_scope(spark, "test") == 1 and shared.delete_scope(spark, "test") == 0

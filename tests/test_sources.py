@@ -261,3 +261,78 @@ def test_literal_table_is_broadcast_by_its_size(spark):
     big = spark.range(1000).select(F.col("id").cast("string").alias("k"))
     plan = big.join(lookup, "k")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_scan_reads_every_byte_once_and_no_list_of_paths(spark, tmp_path, monkeypatch):
+    """Twenty files of three headers: one CSV scan that Spark has pruned by name, no text scan, no driver listing."""
+    from scenlens.sources import text_scan as T
+
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    size = 0
+    for i in range(20):
+        head, row = [("scenario,year,v", "s{0},{0},1.5"), ("v,scenario", "2.5,s{0}"), ("x,year,y,v,scenario,z", 'a,{0},"b,""c",3.5,s{0},d')][i % 3]
+        text = head + "\n" + "".join(row.format(i) + "\n" for _ in range(50))
+        put(folder, f"in_{i}.csv", text)
+        put(folder, f"out_{i}.csv", "scenario,year,v\n" + "no,1,1\n" * 200)
+        size += len(text)
+    monkeypatch.setattr(S, "_files", None)
+    df = S.scan_matching(spark, str(folder), "^in_", LONG)
+    assert sorted(set(rows(df)), key=str) == sorted(
+        [(f"s{i}", i if i % 3 != 1 else None, (1.5, 2.5, 3.5)[i % 3]) for i in range(20)], key=str
+    )
+    query = df._jdf.queryExecution()
+    text = query.executedPlan().toString().split("Initial Plan")[0]
+    assert text.count("FileScan csv") == 1 and "FileScan text" not in text and "Union" not in text
+    scans = [p for p in _nodes(query.executedPlan()) if p.nodeName().startswith("Scan csv")]
+    metric = {m._1(): m._2().value() for s in scans for m in _scala(s.metrics().toSeq())}
+    assert (len(scans), metric["numFiles"], metric["filesSize"], metric["numOutputRows"]) == (1, 20, size, 1000)
+    reads = []
+    assert T.header_of(lambda at, n: reads.append((at, n)) or (b"a,b\n" + b"x" * 9999)[at : at + n], 10_003) == ["a", "b"]
+    assert reads == [(0, T.CHUNK)]
+
+
+def _scala(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _nodes(plan):
+    if plan.getClass().getSimpleName() in ("AdaptiveSparkPlanExec",):
+        plan = plan.executedPlan()
+    kids = _scala(plan.children())
+    if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+        kids = [plan.plan()]
+    return [plan, *(n for k in kids for n in _nodes(k))]
+
+
+def test_ragged_rows_long_headers_and_odd_fields(spark, tmp_path):
+    put(tmp_path, "a.csv", "\ufeffscenario,year,v\r\ns,2020,1\r\n\"a, b\",NA,\r\n")
+    names = ",".join(f"extra{i}" for i in range(2000))
+    put(tmp_path, "b.csv", f"{names},scenario,scenario\n" + "," * 1999 + ",x,y\n")
+    assert rows(S.scan_matching(spark, str(tmp_path), "csv$", LONG)) == [("a, b", None, None), ("s", 2020, 1.0), ("x", None, None)]
+    for bad in ("s,1\n", "s,1,2,3\n"):
+        put(tmp_path, "c.csv", "scenario,year,v\n" + bad)
+        for include in ("c.csv", "csv$"):
+            with pytest.raises(Exception, match="MALFORMED row"):
+                S.scan_matching(spark, str(tmp_path), include, LONG).collect()
+
+
+def test_headers_by_a_text_scan_are_the_same(spark, tmp_path, monkeypatch):
+    """A store that is not read in ranges."""
+    from scenlens.sources import text_scan as T
+
+    put(tmp_path, "a.csv", '"scenario","year","v"\n"s1",2020,1.5\n')
+    put(tmp_path, "b c.csv", "v,extra,scenario\n2.5,zz,s2\n")
+    want = rows(S.scan_matching(spark, str(tmp_path), "csv$", LONG))
+    monkeypatch.setattr(T, "RANGED", ())
+    assert rows(S.scan_matching(spark, str(tmp_path), "csv$", LONG)) == want == [("s1", 2020, 1.5), ("s2", None, 2.5)]
+
+
+def test_extract_matching(spark, tmp_path):
+    put(tmp_path, "a.csv", "scenario,year,v\na,1,1\n")
+    put(tmp_path, "c.dat", "??")
+    spark.createDataFrame([("b", 2, 2.0)], LONG).coalesce(1).write.parquet(str(tmp_path / "b"))
+    with pytest.warns(UserWarning, match="unsupported file type.*c.dat"):
+        assert rows(S.extract_matching(spark, str(tmp_path), LONG)) == [("a", 1, 1.0), ("b", 2, 2.0)]
+    assert rows(S.extract_matching(spark, str(tmp_path), LONG, r"^a|\.parquet$")) == [("a", 1, 1.0), ("b", 2, 2.0)]
+    assert rows(S.extract_matching(spark, str(tmp_path), LONG, "^a")) == [("a", 1, 1.0)]
