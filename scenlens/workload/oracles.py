@@ -626,6 +626,13 @@ ORACLES |= {
     "level_order": _with("obs", """
         SELECT o_orderkey || '.50' AS Gt_CO2_reduction, row_number() OVER (ORDER BY o_orderkey) - 1 AS place
         FROM obs"""),
+    "grid_tiles": _with("service", f"""
+        SELECT scenario, -180 + 0.5 * (l_partkey % 97)::DOUBLE AS lon, 89.5 - 3 * (l_suppkey % 53)::DOUBLE AS lat,
+               {r('sum(demand)', 4, 'value')} FROM service GROUP BY 1, 2, 3"""),
+    "grid_tiles_within": _with("service", f"""
+        SELECT scenario, -180 + 0.5 * (l_partkey % 97)::DOUBLE AS lon, 89.5 - 3 * (l_suppkey % 53)::DOUBLE AS lat,
+               {r('sum(demand)', 4, 'value')} FROM service GROUP BY 1, 2, 3
+        HAVING -171 <= lon AND lon <= -150 AND 0 <= lat AND lat <= 40"""),
     "customer_ranks": _with("obs", """
         WITH c AS (SELECT o_custkey, count(*) AS n_orders FROM obs GROUP BY 1)
         SELECT o_custkey, n_orders, rank() OVER (ORDER BY n_orders DESC) AS rank,

@@ -36,7 +36,8 @@ from scenlens.operators.rows import cols_matching, complete_cases, match_rows, r
 from scenlens.operators.spatial import point_in_polygon
 from scenlens.plans import compare as C
 from scenlens.plans import economy, food, gather, health, land, run, water
-from scenlens.sources import catalog, files
+from scenlens.sources import catalog, files, grids
+from scenlens.sources.grids import Axis
 from scenlens.sources.shared import literal_table, new_folder, staged
 from scenlens.workload.views import (
     BASELINE,
@@ -772,6 +773,29 @@ def grid_to_rows(v: Views) -> DataFrame:
     return catalog.grid_long(grids.select("region", lon, lat, F.transform("cells", lambda c: c["v"]).alias("value")))
 
 
+LON, LAT = Axis(-180.0, 0.5), Axis(listed=[89.5 - 3 * i for i in range(53)])
+
+
+def _tiles(v: Views) -> DataFrame:
+    """Order lines on a grid of 97 x 53 cells, stored as tiles of uneven sizes."""
+    col, row = (F.col("l_partkey") % 97).cast("int"), (F.col("l_suppkey") % 53).cast("int")
+    cells = v.service(part=False).groupBy("scenario", col.alias("col"), row.alias("row")).agg(F.sum("demand").alias("value"))
+    path = f"{new_folder(v.spark, 'grid')}/demand"
+    grids.cut_into_tiles(cells, ["scenario"], 20, 9, n_cols=97).write.parquet(path)
+    return v.spark.read.parquet(path)
+
+
+@query(4)
+def grid_tiles(v: Views) -> DataFrame:
+    return grids.tile_rows(_tiles(v), LON, LAT)
+
+
+@query(4)
+def grid_tiles_within(v: Views) -> DataFrame:
+    """The cells of a window; tiles outside are not read."""
+    return grids.tile_rows(_tiles(v), LON, LAT, bounds=(-171.0, 0.0, -150.0, 40.0))
+
+
 @query(None)
 def split_nests(v: Views) -> DataFrame:
     """The first part of a comma-separated path, per order line's part."""
