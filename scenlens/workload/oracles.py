@@ -537,6 +537,12 @@ ORACLES = {
 }
 
 
+def _exact(value: str) -> str:
+    """The exact sum of doubles below 2^30 and of bits above 2^-70, as whole numbers; a text rounds correctly."""
+    scale = f"{2.0**70!r}::DOUBLE"
+    return f"CAST(CAST(sum(CAST(({value}) * {scale} AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {scale}"
+
+
 def _pick(*members: str) -> str:
     return "[" + ", ".join(f"'{m}'" for m in members) + f"][CAST(decile AS INT) % {len(members)} + 1]"
 
@@ -633,6 +639,11 @@ ORACLES |= {
         SELECT scenario, -180 + 0.5 * (l_partkey % 97)::DOUBLE AS lon, 89.5 - 3 * (l_suppkey % 53)::DOUBLE AS lat,
                {r('sum(demand)', 4, 'value')} FROM service GROUP BY 1, 2, 3
         HAVING -171 <= lon AND lon <= -150 AND 0 <= lat AND lat <= 40"""),
+    "exact_revenue": _with("service", f"""
+        SELECT scenario, CAST(year AS INT) AS year, {_exact("cost * demand * (1 - discount)")} AS revenue,
+               {_exact("discount")} AS discount, count(*) AS n FROM service GROUP BY 1, 2"""),
+    "exact_mean_revenue": _with("service", f"""
+        SELECT region, {_exact("cost * demand * (1 - discount)")} / count(*) AS revenue FROM service GROUP BY 1"""),
     "customer_ranks": _with("obs", """
         WITH c AS (SELECT o_custkey, count(*) AS n_orders FROM obs GROUP BY 1)
         SELECT o_custkey, n_orders, rank() OVER (ORDER BY n_orders DESC) AS rank,

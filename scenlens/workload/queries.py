@@ -20,6 +20,7 @@ from scenlens.operators.aggregation import (
     sum_numeric_by,
     weighted_ratio,
 )
+from scenlens.operators.exact import exact_means, exact_sums
 from scenlens.operators.joins import natural_left_join, strict_left_join
 from scenlens.operators.reshape import (
     complete,
@@ -905,6 +906,22 @@ def level_order(v: Views) -> DataFrame:
     return placed(keys, numeric_order("Gt_CO2_reduction"))
 
 
+def _revenue(v: Views) -> DataFrame:
+    rows = v.service(part=False)
+    return rows.select("scenario", "region", "year", (F.col("cost") * F.col("demand") * (1 - F.col("discount"))).alias("revenue"), "discount")
+
+
+@query(None)
+def exact_revenue(v: Views) -> DataFrame:
+    """Sums of doubles without rounding: every bit is that of the exact sum."""
+    return exact_sums(_revenue(v), ["scenario", "year"], "revenue", "discount", counts=True)
+
+
+@query(None)
+def exact_mean_revenue(v: Views) -> DataFrame:
+    return exact_means(_revenue(v), ["region"], "revenue")
+
+
 @query(None)
 def customer_ranks(v: Views) -> DataFrame:
     """Customers by their orders, most first: competition and dense ranks, and how many orders stand before."""
