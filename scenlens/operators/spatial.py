@@ -15,12 +15,17 @@ only combines the same predicate at two points, it needs no special case for ray
 
 ``parity(c)`` is constant data of the polygons: the edges crossing a grid line flip the parity of every
 corner to their right, so the inside corners of a line are runs between consecutive flips.
+
+Cells may have several sizes: where many edges meet in a cell, smaller cells take its place.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from scenlens.operators.reshape import union_by_name
+from scenlens.sources.shared import staged
+
 _PAD = 1e-9
 
 
@@ -99,6 +104,74 @@ def _inside_corners(edges: DataFrame, cell: float) -> DataFrame:
     )
 
 
+def _flip(e: list[Column], p: tuple[Column, Column], c: tuple[Column, Column]) -> Column:
+    """The term of an edge in the parity of p, relative to that of the corner c of its cell."""
+
+    def strip(vx: Column, vy: Column) -> Column:
+        return (vx < c[0]) & ((vy > c[1]) != (vy > p[1]))
+
+    return (_ray(*e, *p) != _ray(*e, *c)) != (strip(e[0], e[1]) != strip(e[2], e[3]))
+
+
+def _ends() -> list[Column]:
+    return [F.col(c) for c in ("x1", "y1", "x2", "y2")]
+
+
+def _halved(crowded: DataFrame, features: DataFrame, cell: float) -> DataFrame:
+    """The features of crowded cells in cells of half the size.
+
+    Edges are placed anew. A smaller cell's corner is a point of the larger cell, so whether it is inside
+    follows from that cell's own corner and edges, by the identity that holds for any point.
+    """
+    half = cell / 2
+    inside = features.join(crowded, ["ci", "cj"], "left_semi")
+    is_edge = F.col("x1").isNotNull()
+    edges = inside.filter(is_edge).select("poly_id", "edge", *_ends()).distinct()  # of each row once: a ring may repeat an edge
+    parents = crowded.select(F.col("ci").alias("__pi"), F.col("cj").alias("__pj"))
+    borders = _edge_cells(edges, half).withColumns({"__pi": F.floor(F.col("ci") / 2), "__pj": F.floor(F.col("cj") / 2)})
+    borders = borders.join(parents, ["__pi", "__pj"], "left_semi").drop("__pi", "__pj")
+    quarters = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)]))
+    small = inside.withColumn("q", quarters).withColumns({"si": F.col("ci") * 2 + F.col("q.a"), "sj": F.col("cj") * 2 + F.col("q.b")})
+    p = (F.col("si") * F.lit(half), F.col("sj") * F.lit(half))
+    c = (F.col("ci") * F.lit(cell), F.col("cj") * F.lit(cell))
+    bit = F.when(is_edge, _flip(_ends(), p, c).cast("int")).otherwise(F.lit(1))
+    corners = (
+        small.groupBy("poly_id", F.col("si").alias("ci"), F.col("sj").alias("cj"))
+        .agg(F.bit_xor(bit).alias("bit"))
+        .filter("bit = 1")
+        .select("poly_id", "ci", "cj")
+    )
+    return borders.unionByName(corners, allowMissingColumns=True)
+
+
+def polygon_index(edges: DataFrame, cell: float = 0.5, crowd: int | None = None, levels: int = 10) -> tuple[DataFrame, list[int]]:
+    """(level, ci, cj, poly_id, edge or null for an inside corner) of all cells, and the levels in use.
+
+    Cells of level n have the size ``cell`` / 2^n. Where more than ``crowd`` edges meet in a cell, its four
+    quarters take its place, and so on for at most ``levels`` times: detailed coasts have small cells and
+    oceans large ones, and every place belongs to one cell of one level.
+    """
+    edges = _edges(edges)
+    if crowd is not None:
+        edges = staged(edges.withColumn("edge", F.monotonically_increasing_id()), "edges")
+    features = _edge_cells(edges, cell).unionByName(_inside_corners(edges, cell), allowMissingColumns=True)
+    if crowd is None:
+        return features.withColumn("level", F.lit(0)), [0]
+    out, used = [], []
+    for level in range(levels + 1):
+        features = staged(features, "polygon_cells")
+        size = F.count(F.when(F.col("x1").isNotNull(), 1))
+        crowded = staged(features.groupBy("ci", "cj").agg(size.alias("n")).filter(F.col("n") > crowd).select("ci", "cj"), "crowded_cells")
+        done = level == levels or crowded.isEmpty()
+        kept = features if done else features.join(crowded, ["ci", "cj"], "left_anti")
+        out.append(kept.withColumn("level", F.lit(level)))
+        used.append(level)
+        if done:
+            return staged(union_by_name(*out), "polygon_index"), used
+        features = _halved(crowded, features, cell / 2.0**level)
+    raise AssertionError("the last level is done")
+
+
 def point_in_polygon(
     points: DataFrame,
     edges: DataFrame,
@@ -106,42 +179,33 @@ def point_in_polygon(
     id_cols: tuple[str, ...] = ("point_id",),
     x: str = "x",
     y: str = "y",
+    crowd: int | None = None,
+    levels: int = 10,
 ) -> DataFrame:
     """(ids, poly_id) for every polygon a point lies in or on the border of.
 
     ``edges`` holds closed rings as (poly_id, x1, y1, x2, y2); holes and several parts are rings of the
     same polygon. A point may be in several polygons. Rings must not cross the antimeridian.
 
+    ``crowd`` bounds the edges that a point meets: cells with more are split, see ``polygon_index``. A point
+    is then looked up once for each level in use. Without it all cells have one size.
+
     Give distinct points: for a grid over many scenarios, resolve its distinct cells once and reuse the
     result as a table. The cells of the edges are few and fixed, so Spark broadcasts them when small;
     otherwise adaptive execution splits a crowded cell. Parities are combined map-side before the final
     shuffle.
     """
-    edges = _edges(edges)
-    borders = _edge_cells(edges, cell)
-    corners = _inside_corners(edges, cell)
-    features = borders.unionByName(corners, allowMissingColumns=True)
-
+    index, used = polygon_index(edges, cell, crowd, levels)
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    placed = points.select(
-        *id_cols,
-        px.alias("__px"),
-        py.alias("__py"),
-        _cell(px, cell).alias("ci"),
-        _cell(py, cell).alias("cj"),
-    )
-    met = placed.join(features, ["ci", "cj"], "inner")
+    places = [F.struct(F.lit(n).alias("level"), _cell(px, cell / 2.0**n).alias("ci"), _cell(py, cell / 2.0**n).alias("cj")) for n in used]
+    placed = points.select(*id_cols, px.alias("__px"), py.alias("__py"), F.inline(F.array(*places)))
+    met = placed.join(index, ["level", "ci", "cj"], "inner")
 
-    e = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
+    e = _ends()
     p = (F.col("__px"), F.col("__py"))
-    c = (F.col("ci") * F.lit(cell), F.col("cj") * F.lit(cell))
-
-    def strip(vx: Column, vy: Column) -> Column:
-        return (vx < c[0]) & ((vy > c[1]) != (vy > p[1]))
-
-    flip = (_ray(*e, *p) != _ray(*e, *c)) != (strip(e[0], e[1]) != strip(e[2], e[3]))
+    size = F.lit(cell) / F.pow(F.lit(2.0), F.col("level"))
     is_corner = F.col("x1").isNull()
-    parity = F.when(is_corner, F.lit(1)).otherwise(flip.cast("int"))
+    parity = F.when(is_corner, F.lit(1)).otherwise(_flip(e, p, (F.col("ci") * size, F.col("cj") * size)).cast("int"))
     cross = (p[1] - e[1]) * (e[2] - e[0]) - (p[0] - e[0]) * (e[3] - e[1])
     touches = (
         (cross == 0)

@@ -34,7 +34,8 @@ class Lookups:
     ``price_index``: year -> price index. ``multiplier``: region, energy_mult. ``observed_food``: region,
     av_food_exp. ``food_groups``: supplysector, subsector; the fixed list if None. Health and land inputs
     may be absent, then these indicators are not run. Without ``cell_map`` the grid's cells are placed in the
-    polygons of ``polygon_edges`` (poly_id, x1, y1, x2, y2), in search cells of ``polygon_cell`` degrees.
+    polygons of ``polygon_edges`` (poly_id, x1, y1, x2, y2), in search cells of ``polygon_cell`` degrees,
+    which are split where more than ``polygon_crowd`` edges meet.
     """
 
     price_index: Mapping[int, float]
@@ -52,6 +53,7 @@ class Lookups:
     cell_map: DataFrame | None = None
     polygon_edges: DataFrame | None = None
     polygon_cell: float = 0.5
+    polygon_crowd: int | None = 256
     ecoregions: DataFrame | None = None
     ecoregion_names: DataFrame | None = None
     factors: DataFrame | None = None
@@ -190,7 +192,9 @@ def _cell_map(lookups: Lookups) -> DataFrame:
     if lookups.polygon_edges is None:
         raise ValueError("land needs cell_map or polygon_edges")
     cells = lookups.grid.select("lon", "lat").distinct()
-    placed = point_in_polygon(cells, lookups.polygon_edges, lookups.polygon_cell, ("lon", "lat"), "lon", "lat")
+    placed = point_in_polygon(
+        cells, lookups.polygon_edges, lookups.polygon_cell, ("lon", "lat"), "lon", "lat", crowd=lookups.polygon_crowd
+    )
     return staged(placed.withColumnRenamed("poly_id", "OBJECTID"), "cell_map")
 
 

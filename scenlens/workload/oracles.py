@@ -7,6 +7,7 @@ from scenlens.workload.queries import (
     ECO_FACTORS,
     ECO_NAMES,
     ECO_RINGS,
+    DETAILED_RINGS,
     POINT_RINGS,
     edge_rows,
 )
@@ -488,6 +489,10 @@ ORACLES = {
         FROM ({AREAS}) a JOIN (VALUES {_values(ECO_FACTORS)}) AS f(code, forest, pasture, crop_irr, crop_rfd)
           ON a.ECOREGION_CODE = f.code
         GROUP BY 1"""),
+    "points_in_detailed_polygons": f"""
+        SELECT vec_id, CAST(poly_id AS INT) AS poly_id FROM ({_inside(
+            "SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings",
+            "vec_id", DETAILED_RINGS)})""",
     "points_in_polygons": f"""
         SELECT vec_id, CAST(poly_id AS INT) AS poly_id FROM ({_inside(
             "SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings",

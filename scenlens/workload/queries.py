@@ -7,6 +7,7 @@ come from exact sums and are not rounded: short decimals would be rounding ties.
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import cos, pi, sin
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructType
@@ -588,6 +589,23 @@ def points_in_polygons(v: Views) -> DataFrame:
     return point_in_polygon(v.points(), _edges(v.spark, POINT_RINGS), 0.05, ("vec_id",))
 
 
+def detailed_ring(corners: int = 1200) -> tuple[tuple[float, float], ...]:
+    """A star around the origin with one very detailed stretch: nearly all corners lie within a tenth of its turn."""
+    turns = [i / 40 for i in range(40)] + [0.25 + 0.1 * i / corners for i in range(1, corners)]
+    radius = {t: 0.28 + 0.05 * (-1) ** i for i, t in enumerate(sorted(turns))}
+    return tuple((round(r * cos(2 * pi * t), 6), round(r * sin(2 * pi * t), 6)) for t, r in sorted(radius.items()))
+
+
+DETAILED_RINGS = ((1, detailed_ring()), *POINT_RINGS[1:])
+
+
+@query(None)
+def points_in_detailed_polygons(v: Views) -> DataFrame:
+    """One ring has most of its edges in few places: cells are split there, and a point meets few edges everywhere."""
+    edges = v.spark.createDataFrame(edge_rows(DETAILED_RINGS), "poly_id int, x1 double, y1 double, x2 double, y2 double")
+    return point_in_polygon(v.points(), edges, 0.25, ("vec_id",), crowd=24)
+
+
 # Comparison and report ---------------------------------------------------------------------------
 
 
