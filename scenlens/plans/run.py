@@ -22,9 +22,10 @@ from scenlens.functions.fixed_values import (
 from scenlens.functions.scalars import deflator
 from scenlens.operators.spatial import point_in_polygon
 from scenlens.plans import compare, economy, food, health, land, water
+from scenlens.sources.bucketed import copartitioned, is_bucketed, read_bucketed, register_bucketed
 from scenlens.sources.catalog import CATALOG, read_query, register_title, rewrite_labels, where_catalog
 from scenlens.sources.files import read_indicator, write_indicator
-from scenlens.sources.shared import literal_table, staged
+from scenlens.sources.shared import delete_scope, literal_table, scope, staged
 
 
 @dataclass(frozen=True)
@@ -66,11 +67,12 @@ def food_groups(spark: SparkSession) -> DataFrame:
 
 
 def create_project(
-    root: str, tables: Mapping[str, DataFrame], raw: bool = False, mode: str = "errorifexists"
+    root: str, tables: Mapping[str, DataFrame], raw: bool = False, mode: str = "errorifexists", buckets: int | None = None
 ) -> None:
     """Register a table per title.
 
-    ``raw`` tables are model rows, to which the title's filter and label merging apply.
+    ``raw`` tables are model rows, to which the title's filter and label merging apply. With ``buckets`` the
+    tables are dealt by region and year, so that the indicators' joins need no shuffle; see ``bucketed``.
     """
     for title, df in tables.items():
         if raw:
@@ -78,7 +80,16 @@ def create_project(
             df = where_catalog(df, title).select(*[f"`{c}`" for c in query.schema.names])
             if query.relabel:
                 df = rewrite_labels(df, *query.relabel)
-        register_title(root, title, df, mode)
+        if buckets is None:
+            register_title(root, title, df, mode)
+        else:
+            register_bucketed(df.sparkSession, root, title, df, buckets)
+
+
+def read_title(spark: SparkSession, root: str, title: str, scenarios: Sequence[str] | None = None) -> DataFrame:
+    """A project's title, however it is stored."""
+    read = read_bucketed if is_bucketed(spark, root, title) else read_query
+    return read(spark, root, title, scenarios)
 
 
 def indicators(
@@ -103,13 +114,13 @@ def indicators(
     """
 
     def table(title: str) -> DataFrame:
-        return read_query(spark, project_root, title, scenarios)
+        return read_title(spark, project_root, title, scenarios)
 
     index = lookups.price_index
     pop, gdp = table("population by region"), table("GDP per capita PPP by region")
     prices = table("food demand prices by income group")
     income = economy.income_by_decile(
-        read_query(spark, base_root, "subregional income"), ssp, final_year, keep_scenario=ssp == "base"
+        read_title(spark, base_root, "subregional income"), ssp, final_year, keep_scenario=ssp == "base"
     )
     energy = economy.energy_share(
         table("building service costs"),
@@ -243,12 +254,15 @@ def run_indicators(
     **options,
 ) -> None:
     """Compute and store every indicator of a project."""
-    results = indicators(spark, project_root, base_root, ssp, lookups, **options)
-    for name, df in results.items():
-        fields = StructType.fromDDL(STORED[name]).fields
-        columns = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-        labelled = df.select(*columns, F.lit(project_label(project)).alias("project"))
-        write_indicator(labelled, out_root, name)
+    try:
+        with scope("indicators"), copartitioned(spark):
+            results = indicators(spark, project_root, base_root, ssp, lookups, **options)
+            for name, df in results.items():
+                fields = StructType.fromDDL(STORED[name]).fields
+                columns = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+                write_indicator(df.select(*columns, F.lit(project_label(project)).alias("project")), out_root, name)
+    finally:
+        delete_scope(spark, "indicators")  # what is stored stays
 
 
 def stored(spark: SparkSession, out_root: str, name: str, project: str | None = None) -> DataFrame:

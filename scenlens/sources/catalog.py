@@ -149,17 +149,23 @@ def read_query(
     return df if scenarios is None else df.filter(F.col("scenario").isin(*scenarios))
 
 
+def checked_schema(title: str, df: DataFrame) -> StructType:
+    """The title's schema, if the table has its columns."""
+    schema = _known(title).schema
+    have = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [f.name for f in schema.fields if have.get(f.name) != f.dataType]
+    if wrong or len(have) != len(schema.fields):
+        raise ValueError(f"{title!r} needs {schema.simpleString()}, got {df.schema.simpleString()}")
+    return schema
+
+
 def register_title(root: str, title: str, df: DataFrame, mode: str = "errorifexists") -> None:
     """Add a table to a project under a title. Its columns must be the title's.
 
     Rows are rebalanced by scenario, so tasks do not each write a file per scenario, and adaptive
     execution splits a large scenario over several files.
     """
-    schema = _known(title).schema
-    have = {f.name: f.dataType for f in df.schema.fields}
-    wrong = [f.name for f in schema.fields if have.get(f.name) != f.dataType]
-    if wrong or len(have) != len(schema.fields):
-        raise ValueError(f"{title!r} needs {schema.simpleString()}, got {df.schema.simpleString()}")
+    schema = checked_schema(title, df)
     even = df.select(*[f"`{c}`" for c in schema.names]).hint("rebalance", "scenario")
     even.write.mode(mode).partitionBy("scenario").parquet(f"{root}/{slug(title)}")
 

@@ -593,6 +593,8 @@ _PREDICATES = f"""
     FROM obs"""
 _SEGMENTS = "['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']"
 
+ORACLES["bucketed_energy_share"] = ORACLES["energy_share"]
+
 ORACLES |= {
     "first_file_not_empty": ORACLES["scan_text_files"],
     "preamble_lookup": _with("nations", """

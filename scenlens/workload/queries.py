@@ -39,6 +39,7 @@ from scenlens.operators.spatial import point_in_polygon
 from scenlens.plans import compare as C
 from scenlens.plans import economy, food, gather, health, land, run, water
 from scenlens.sources import catalog, files, grids
+from scenlens.sources.bucketed import copartitioned
 from scenlens.sources.grids import Axis
 from scenlens.sources.shared import literal_table, new_folder, staged
 from scenlens.workload.views import (
@@ -348,6 +349,24 @@ def energy_share(v: Views) -> DataFrame:
     return _energy(v, v.household(), v.pop(), _income(v))
 
 
+@query(6)
+def bucketed_energy_share(v: Views) -> DataFrame:
+    """The energy share over titles stored in buckets of region and year, joined where they lie."""
+    root, household, unit = new_folder(v.spark, "bucketed"), v.household(), F.lit("-").alias("Units")
+    cells = ["scenario", "region", F.col("consumer").alias("sector"), unit, "year"]
+    titles = {
+        "building service costs": household.select(*cells, (F.col("cost") / 1e9).alias("value")),
+        "building service output by service": household.select(*cells, F.col("demand").alias("value")),
+        "population by region": v.pop().select("scenario", "region", unit, "year", "value"),
+        "subregional income": v.income().select("scenario", "region", "consumer", unit, "year", "value"),
+    }
+    run.create_project(root, titles, buckets=8)
+    price, output, pop, income = (run.read_title(v.spark, root, t) for t in titles)
+    income = economy.income_by_decile(income, BASELINE, REPORT_TO, corrections={"NATION_3": 20.0})
+    with copartitioned(v.spark):
+        return staged(economy.energy_share(price, output, pop, _multipliers(v), income, 2.0, YEARS), "energy_share")
+
+
 @query(5)
 def food_share_calibrated(v: Views) -> DataFrame:
     return _food(v, v.household(), v.pop(), _income(v)).drop("food_expenditure", "food_mult")
