@@ -3,34 +3,33 @@
 from __future__ import annotations
 
 import json
-import tempfile
-import zipfile
-from pathlib import Path
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-import scenlens
+from scenlens.sources.shipping import ship
 
 _ROW_BITS = 33  # of monotonically_increasing_id(): the row's index in its partition
-_shipped: set[str] = set()
 
+__all__ = ["bounded_table", "numbered", "partitions", "settings", "ship", "word_count"]
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+@contextmanager
+def settings(spark: SparkSession, **values) -> Iterator[None]:
+    """The session's settings for jobs that run inside."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def ship(spark: SparkSession) -> None:
-    """Give this package to the executors' Python workers, once per session."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = Path(scenlens.__file__).resolve().parent
-    target = Path(tempfile.mkdtemp()) / "scenlens.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, p.relative_to(root.parent))
-    context.addPyFile(str(target))
-    _shipped.add(context.applicationId)
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def bounded_table(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:

@@ -2,20 +2,39 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 os.environ.setdefault("RAYON_NUM_THREADS", "1")
 
 import numpy as np  # noqa: E402
+import regex  # noqa: E402
 
 CACHED_WORDS = 300_000
+BLOCK_TEXTS = 1024
+BLOCK_SIZE = 1 << 21
+
+# Fixed value: how byte-level vocabularies of this kind split a text into pieces.
+_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 #: Text in which a single space always starts a new piece has no white space beside white space or at its end.
 _JOINED_SPACE = re.compile(r"\s\s|\s\Z")
 
+#: The same for parts of plain letters, digits, punctuation and line breaks, which takes less time.
+_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n")
+
+
+def cut(part: str) -> list[str]:
+    """The pieces of a part."""
+    pieces = _PLAIN.findall(part)
+    return pieces if sum(map(len, pieces)) == len(part) else _PIECE.findall(part)
+
 
 def public_path(name: str) -> str:
     import public_tokenizers
@@ -48,50 +67,113 @@ def space_starts(path: str) -> np.ndarray:
     return out
 
 
+def blocks(texts: list[str]) -> Iterator[list[str]]:
+    """Runs of at most BLOCK_TEXTS texts and, but for single longer ones, BLOCK_SIZE characters."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        if i > start and (i - start >= BLOCK_TEXTS or held + len(t) > BLOCK_SIZE):
+            yield texts[start:i]
+            start, held = i, 0
+        held += len(t)
+    if texts[start:]:
+        yield texts[start:]
+
+
 class TextEncoder:
     """Token ids of whole texts, equal to the tokenizer's own, at the price of their distinct words.
 
     The tokenizer splits a text into pieces before it merges anything, and a single space between other
-    characters always starts a piece. Such texts are cut at their spaces and each part is encoded once;
-    any other text goes to the tokenizer whole.
+    characters always starts a piece. Such texts are cut at their spaces, and parts that are new are cut into
+    their pieces; only pieces that are new go to the tokenizer, those of a block of texts together. Parts and
+    pieces that come twice in a block are kept: most of the others never come again. Any other text goes to
+    the tokenizer whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = byte_tokenizer(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # of parts
+        self.pieces: dict[str, bytes] = {}
         self.starts = space_starts(path)
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
     def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _JOINED_SPACE.search(text):
-            return self._encoded([text])[0]
-        known = self.known
-        parts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
-        if parts is None:
-            return self._encoded([text])[0]
+        return self.many([text])[0]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        gc.disable()  # millions of short strings and no cycles
         try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            if len(known) > CACHED_WORDS:
-                known.clear()
-            self._learn([p for p in set(parts) if p not in known])
-            return b"".join([known[p] for p in parts])
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode parts joined, which is cheaper; a token that starts with a space starts a part."""
-        spaced = [p for p in new if p[:1] == " "]
-        data = self._encoded(["".join(spaced)])[0] if spaced else b""
-        cuts = (np.flatnonzero(self.starts[np.frombuffer(data, self.dtype)]) * self.dtype.itemsize).tolist()
-        if len(cuts) == len(spaced):
-            self.known.update((p, data[a:b]) for p, a, b in zip(spaced, cuts, [*cuts, len(data)][1:], strict=True))
-            new = [p for p in new if p[:1] != " "]
-        self.known.update(zip(new, self._encoded(new), strict=True))
+            return [ids for block in blocks(texts) for ids in self._block(block)]
+        finally:
+            gc.enable()
+
+    def _block(self, texts: list[str]) -> list[bytes]:
+        known, rows, missing = self.known, [], []
+        for t in texts:
+            if not t or "\0" in t or _JOINED_SPACE.search(t):
+                rows.append((None, self._encoded([t])[0] if t else b""))
+                continue
+            parts = t.replace(" ", "\0 ").split("\0")
+            found = list(map(known.get, parts))
+            if None in found:
+                missing += [p for p, f in zip(parts, found, strict=True) if f is None]
+                rows.append((parts, found))
+            else:
+                rows.append((None, b"".join(found)))
+        counts = Counter(missing)
+        new = self._learn(counts)
+        if len(known) > CACHED_WORDS:
+            known.clear()
+        known.update((p, new[p]) for p, n in counts.items() if n > 1)
+        return [
+            data if parts is None else b"".join([new[p] if f is None else f for p, f in zip(parts, data, strict=True)])
+            for parts, data in rows
+        ]
+
+    def _learn(self, parts: Iterable[str]) -> dict[str, bytes]:
+        kept = self.pieces
+        if len(kept) > CACHED_WORDS:
+            kept.clear()
+        split = [cut(p) for p in parts]
+        counts = Counter(chain.from_iterable(split))
+        pieces = {}
+        new = []
+        for q in counts:
+            f = kept.get(q)
+            if f is None:
+                new.append(q)
+            else:
+                pieces[q] = f
+        self._learn_joined([q for q in new if q[:1] == " "], "", pieces)
+        self._learn_joined([q for q in new if q[:1] != " " and "\n" not in q], "\n", pieces)
+        rest = [q for q in new if q[:1] != " " and "\n" in q]
+        pieces.update(zip(rest, self._encoded(rest), strict=True))
+        kept.update((q, pieces[q]) for q in new if counts[q] > 1)
+        return {p: b"".join([pieces[q] for q in some]) for p, some in zip(parts, split, strict=True)}
+
+    def _learn_joined(self, new: list[str], mark: str, pieces: dict[str, bytes]) -> None:
+        """Encode pieces that begin with a space joined, or others with line breaks before them; halves where that fails."""
+        if not new:
+            return
+        width = self.dtype.itemsize
+        ids = np.array(self.tokenizer.encode_batch_fast([mark + mark.join(new)], add_special_tokens=False)[0].ids, self.dtype)
+        first = np.flatnonzero(ids == self.line[0]) if mark else np.flatnonzero(self.starts[ids])
+        if len(first) == len(new) and len(self.line) == 1:
+            ends = np.append(first[1:], len(ids))
+            data = ids.tobytes()
+            skipped = width * len(mark)
+            pieces.update((q, data[a * width + skipped : b * width]) for q, a, b in zip(new, first.tolist(), ends.tolist(), strict=True))
+        elif len(new) == 1:
+            pieces[new[0]] = self._encoded(new)[0]
+        else:
+            half = len(new) // 2
+            self._learn_joined(new[:half], mark, pieces)
+            self._learn_joined(new[half:], mark, pieces)
 
 
 @cache

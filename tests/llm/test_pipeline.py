@@ -1,15 +1,21 @@
 """The pipeline's stages, each against its input."""
 
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 from scenlens.llm import decontamination, mixing, near_dup, quality_rules, token_ids
+from scenlens.sources.shared import shared_dir
 from tests.llm.fixtures import no_documents, odd_documents
 from tests.llm.test_token_ids import ids_of
 
 SF = "/root/testdata/sf0.001"
 
 
+def staged_folders(spark):
+    return [p.name for p in Path(shared_dir(spark), "scenlens").glob("*")]
+
+
 def similar(a, b):
     return 100 * len(a & b) >= 80 * len(a | b)
 
@@ -74,6 +80,10 @@ def test_run_is_registered(spark):
     import __spark_entry__ as entry
 
     assert corpus_pipeline.ORACLE_SQL is None
-    assert entry.queries()["pipeline"](spark, SF).count() > 0
+    before = set(staged_folders(spark))
+    out = entry.queries()["pipeline"](spark, SF)
+    assert out.count() > 0
+    (left,) = set(staged_folders(spark)) - before  # the last stage's output, and nothing else
+    assert left in out.inputFiles()[0]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "decontamination", "mixing", "token_ids"]
     assert quality_rules and token_ids
