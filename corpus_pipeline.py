@@ -17,9 +17,11 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from scenlens.llm import decontamination, mixing, near_dup, quality_rules, token_ids
+from scenlens.llm.common import settings
 from scenlens.sources.shared import delete_scope, new_folder, scope
 
 SHINGLE = 5
+BATCH = 2000  # rows that a task hands to Python at once; workers go on from stage to stage
 STAGED, OUTPUTS = "pipeline stage", "pipeline outputs"
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -31,7 +33,7 @@ def apart(stage: Stage) -> Stage:
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         delete_scope(spark, STAGED, but_for=[docs])
-        with scope(STAGED):
+        with scope(STAGED), settings(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH}):
             return stage(spark, docs, sf_dir)
 
     return run
