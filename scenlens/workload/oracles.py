@@ -651,6 +651,18 @@ ORACLES |= {
                {_exact("discount")} AS discount, count(*) AS n FROM service GROUP BY 1, 2"""),
     "exact_mean_revenue": _with("service", f"""
         SELECT region, {_exact("cost * demand * (1 - discount)")} / count(*) AS revenue FROM service GROUP BY 1"""),
+    "open_pivot": _with("service", """
+        SELECT scenario, CAST(year AS INT) AS year, string_agg(member || '=' || n, ',' ORDER BY member) AS cells FROM (
+          SELECT scenario, year, technology || '_' || flag AS member, count(*) AS n FROM service GROUP BY 1, 2, 3)
+        GROUP BY 1, 2"""),
+    "open_pivot_filled": _with("obs", """
+        WITH large AS (SELECT scenario, region, title, count(*) AS n FROM obs WHERE value > 400000 GROUP BY 1, 2, 3)
+        SELECT scenario, region,
+          CASE WHEN '1-URGENT' IN (SELECT title FROM large) THEN coalesce(max(n) FILTER (title = '1-URGENT'), 0) END AS "1-URGENT",
+          CASE WHEN '5-LOW' IN (SELECT title FROM large) THEN coalesce(max(n) FILTER (title = '5-LOW'), 0) END AS "5-LOW",
+          CAST(NULL AS BIGINT) AS "no such",
+          CAST((SELECT count(DISTINCT title) FROM large WHERE title NOT IN ('1-URGENT', '5-LOW')) AS INT) AS others
+        FROM large GROUP BY 1, 2"""),
     "customer_ranks": _with("obs", """
         WITH c AS (SELECT o_custkey, count(*) AS n_orders FROM obs GROUP BY 1)
         SELECT o_custkey, n_orders, rank() OVER (ORDER BY n_orders DESC) AS rank,

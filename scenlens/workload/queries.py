@@ -33,6 +33,7 @@ from scenlens.operators.reshape import (
     union_by_name,
     unpivot_years,
 )
+from scenlens.operators.open_pivot import pivot_open, widened
 from scenlens.operators.ranking import numeric_order, placed, ranked
 from scenlens.operators.rows import cols_matching, complete_cases, match_rows, report_order as report_rows_order, strip_prefix, zero_fill
 from scenlens.operators.spatial import point_in_polygon
@@ -943,6 +944,28 @@ def level_order(v: Views) -> DataFrame:
     return placed(keys, numeric_order("Gt_CO2_reduction"))
 
 
+def _technology_cells(v: Views) -> DataFrame:
+    rows = v.service().groupBy("scenario", "year", "technology", "flag").agg(F.count(F.lit(1)).alias("n"))
+    return staged(rows, "technology_cells")
+
+
+@query(None)
+def open_pivot(v: Views) -> DataFrame:
+    """Lines per technology and flag, as a map whose members no list names."""
+    pivoted = pivot_open(_technology_cells(v), ["scenario", "year"], ["technology", "flag"], "n")
+    shown = F.transform(F.map_entries("cells"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return pivoted.select("scenario", "year", F.array_join(shown, ",").alias("cells"))
+
+
+@query(None)
+def open_pivot_filled(v: Views) -> DataFrame:
+    """Regions in which an order priority has orders over a value: every row has all members, and some become columns."""
+    rows = v.obs().filter("value > 400000").groupBy("scenario", "region", "title").agg(F.count(F.lit(1)).alias("n"))
+    pivoted = pivot_open(staged(rows, "large_orders"), ["scenario", "region"], "title", "n", fill=0)
+    wide = widened(pivoted, ["1-URGENT", "5-LOW", "no such"], other="keep")
+    return wide.select("scenario", "region", "1-URGENT", "5-LOW", F.col("no such"), F.size("cells").alias("others"))
+
+
 def _revenue(v: Views) -> DataFrame:
     rows = v.service(part=False)
     return rows.select("scenario", "region", "year", (F.col("cost") * F.col("demand") * (1 - F.col("discount"))).alias("revenue"), "discount")
