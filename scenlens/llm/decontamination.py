@@ -1,7 +1,9 @@
 """Benchmark decontamination by spaced seeds.
 
 A mask picks some positions of a window of words; a window's hash covers these only, so a substitution at
-an ignored position does no harm, and of a few masks one usually passes between substitutions. The hashes
+an ignored position does no harm, and of a few masks one usually passes between substitutions. An item
+shorter than the longest mask has masks of its own, for every run of its words that would be an overlap and
+every place in it where a word may differ, so none of its overlaps is missed. The hashes
 of all windows of all documents are compared with those of the benchmark: first with a bitmap of
 2^``BITMAP_BITS`` bits, which every task holds and whose size does not depend on the benchmark, then, for
 what passes, by a join on the hash. A hit gives a document, an item and a diagonal (document position -
@@ -16,15 +18,16 @@ longest item reaches, as word hashes.
 
 Words: lower-cased, with ASCII punctuation and white space as breaks.
 
-Defined results: a null or empty text, or item, overlaps with nothing; so does an item shorter than the
-shortest mask. Rows with a null doc_id or item_id take part, and rows with equal ids and regions are one.
+Defined results: a null or empty text, or item, overlaps with nothing; an item of few words is searched like
+any other. Rows with a null doc_id or item_id take part, and rows with equal ids and regions are one. Documents
+are removed by their text, so rows with one doc_id are judged each by its own and rows without one too.
 An empty table on either side gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,10 +43,9 @@ MASKS = ("1110111", "11011011", "1101010011")
 BITMAP_BITS = 24
 MIN_WORDS = 13
 IDENTITY = 0.8
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 2_000_000  # 32 MB of digests
 
 _BREAKS = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
-_OFFSETS = [[i for i, c in enumerate(m) if c == "1"] for m in MASKS]
 _PERCENT = round(100 * IDENTITY)
 _SPAN = max(len(m) for m in MASKS)
 
@@ -52,9 +54,25 @@ def tokens(text: str | None) -> np.ndarray:
     return word_hashes(encoded((text or "").lower()).translate(_BREAKS).split())
 
 
-def seeds(words: np.ndarray) -> list[np.ndarray]:
+def short_masks(n: int) -> list[str]:
+    """Masks for an item of ``n`` words: of each run that is long enough, each place where one word may differ."""
+    out = []
+    for run in range(-(-_PERCENT * n // 100), n + 1):
+        if run - -(-_PERCENT * run // 100):
+            out += ["1" * i + "0" + "1" * (run - 1 - i) for i in range(1, run - 1)]
+        else:
+            out.append("1" * run)
+    return out
+
+
+def masks_for(lengths: Iterable[int]) -> list[str]:
+    """All masks that documents are searched by, given the lengths of the items."""
+    return [*MASKS, *sorted({m for n in lengths if 0 < n < _SPAN for m in short_masks(n)} - set(MASKS))]
+
+
+def seeds(words: np.ndarray, masks: Iterable[str]) -> list[np.ndarray]:
     """For each mask the hashes of all windows; masks differ in their hashes."""
-    return [window_hashes(words, o) ^ np.uint64(i) for i, o in enumerate(_OFFSETS)]
+    return [window_hashes(words, [i for i, c in enumerate(m) if c == "1"]) ^ np.uint64(int("1" + m, 2)) for m in masks]
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:
@@ -64,7 +82,7 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words = [tokens(t.as_py()) for t in batch.column("text")]
-        found = [[(i, at, int(h)) for s in seeds(w) for at, h in enumerate(s.view(np.int64))] for i, w in enumerate(words)]
+        found = [[(i, at, int(h)) for s in seeds(w, masks_for([len(w)])) for at, h in enumerate(s.view(np.int64))] for i, w in enumerate(words)]
         columns = [batch.column("item_id"), [w.view(np.int64) for w in words], [[x[1] for x in f] for f in found], [[x[2] for x in f] for f in found]]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
         yield pa.RecordBatch.from_arrays(
@@ -73,10 +91,10 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def regions(words: np.ndarray, bitmap: np.ndarray, reach: int) -> Iterator[tuple[int, np.ndarray, list, list]]:
+def regions(words: np.ndarray, bitmap: np.ndarray, reach: int, masks: list[str]) -> Iterator[tuple[int, np.ndarray, list, list]]:
     """(start, words, hit positions, hit hashes) of the parts of a text around windows that the bitmap knows."""
     ats, keys = [], []
-    for s in seeds(words):
+    for s in seeds(words, masks):
         slots = _slots(s)
         hit = np.flatnonzero((bitmap[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1)
         ats.append(hit)
@@ -92,16 +110,16 @@ def regions(words: np.ndarray, bitmap: np.ndarray, reach: int) -> Iterator[tuple
         yield start, words[start : int(a[-1]) + _SPAN + reach].view(np.int64), a - start, k
 
 
-def _hits(bitmap, reach: int):
+def _hits(bitmap, reach: int, masks: list[str], kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
             rows = [
                 (i, *region)
                 for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True)
-                for region in regions(tokens(text.as_py()), bits, reach)
+                for region in regions(tokens(text.as_py()), bits, reach, masks)
             ]
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            kinds = [kind, pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
             columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "start", "words", "ats", "keys"]
@@ -152,6 +170,14 @@ def bitmap_of(keys: DataFrame) -> bytes:
 
 def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, first word, number of words and matches of each overlap: the best per document and item."""
+    return _overlaps(documents.select(F.col("doc_id").cast("long"), "text"), benchmark)
+
+
+def _overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The same for documents with a key of any type as their doc_id."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    key = documents.schema["doc_id"].dataType
     spark = documents.sparkSession
     ship(spark)
     items = staged(
@@ -163,9 +189,12 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     keys = items.select("item_id", "item_words", F.inline(F.arrays_zip("ats", F.col("seeds").alias("seed")))).toDF("item_id", "item_words", "at", "seed")
     keys = staged(keys, "benchmark_seeds")
     reach = items.agg(F.max(F.size("item_words"))).first()[0] or 0
+    short = items.select(F.size("item_words").alias("n")).filter(F.col("n") < _SPAN).distinct().collect()  # a few numbers
+    masks = masks_for(r.n for r in short)
     bitmap = spark.sparkContext.broadcast(bitmap_of(keys))
-    rows = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _hits(bitmap, reach), "doc_id long, start long, words array<long>, ats array<int>, keys array<long>"
+    rows = documents.mapInArrow(
+        _hits(bitmap, reach, masks, to_arrow_type(key)),
+        f"doc_id {key.simpleString()}, start long, words array<long>, ats array<int>, keys array<long>",
     )
     parts = staged(rows.withColumn("region", F.xxhash64("doc_id", "start", "words")), "regions")
     hits = parts.select("region", F.inline(F.arrays_zip("ats", "keys"))).toDF("region", "pos", "seed")
@@ -187,7 +216,10 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without overlaps, with all their columns; a row without doc_id stays."""
-    found = staged(overlaps(documents, benchmark).filter(F.col("doc_id").isNotNull()).select("doc_id").distinct(), "contaminated")
+    """The documents without overlaps, with all their columns. Equal texts go together, whatever their doc_ids are."""
+    digest = F.unhex(F.md5(F.col("text").cast("binary")))
+    found = _overlaps(documents.select(digest.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("__digest"))
+    found = staged(found.distinct(), "contaminated")
     gone = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
-    return documents.join(gone, "doc_id", "left_anti")
+    rows = documents.withColumn("__digest", digest).join(gone, "__digest", "left_anti")
+    return rows.select(*[F.col(f"`{c}`") for c in documents.columns])
