@@ -22,9 +22,10 @@ from scenlens.functions.fixed_values import (
 from scenlens.functions.scalars import deflator
 from scenlens.operators.spatial import point_in_polygon
 from scenlens.plans import compare, economy, food, health, land, water
+from scenlens.sources import versions
 from scenlens.sources.bucketed import copartitioned, is_bucketed, read_bucketed, register_bucketed
 from scenlens.sources.catalog import CATALOG, read_query, register_title, rewrite_labels, where_catalog
-from scenlens.sources.files import read_indicator, write_indicator
+from scenlens.sources.files import read_indicator
 from scenlens.sources.shared import delete_scope, literal_table, scope, staged
 
 
@@ -253,33 +254,42 @@ def run_indicators(
     lookups: Lookups,
     **options,
 ) -> None:
-    """Compute and store every indicator of a project."""
+    """Compute and store every indicator of a project. Readers see all of them at once, or the state before."""
     try:
         with scope("indicators"), copartitioned(spark):
             results = indicators(spark, project_root, base_root, ssp, lookups, **options)
-            for name, df in results.items():
-                fields = StructType.fromDDL(STORED[name]).fields
-                columns = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-                write_indicator(df.select(*columns, F.lit(project_label(project)).alias("project")), out_root, name)
+            versions.commit(spark, out_root, project_label(project), {n: shaped(n, df) for n, df in results.items()})
     finally:
         delete_scope(spark, "indicators")  # what is stored stays
 
 
+def shaped(name: str, df: DataFrame) -> DataFrame:
+    """An indicator in the columns that are stored; those it lacks are null."""
+    fields = StructType.fromDDL(STORED[name]).fields
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def _rows(spark: SparkSession, out_root: str, name: str, project: str | None) -> DataFrame:
+    """From the projects' manifests; from one folder per indicator where an earlier job has written that."""
+    read = versions.read if versions.exists(spark, out_root) else read_indicator
+    return read(spark, out_root, name, StructType.fromDDL(STORED[name]), project)
+
+
 def stored(spark: SparkSession, out_root: str, name: str, project: str | None = None) -> DataFrame:
     """A stored indicator of all projects, or of those whose label matches a regex."""
-    schema = StructType.fromDDL(STORED[name])
-    return read_indicator(spark, out_root, name, schema, project).drop("project")
+    return _rows(spark, out_root, name, project).drop("project")
 
 
 def is_stored(spark: SparkSession, out_root: str, name: str) -> bool:
+    if versions.exists(spark, out_root):
+        return any(name in m.tables for m in versions.all_latest(spark, out_root))
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{out_root}/{name}/indiv_results")
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def gather_family(spark: SparkSession, out_root: str, name: str, ssp: str, base_pattern: str = "base") -> DataFrame:
     """A stored indicator of one family's projects, without baseline projects; equal rows once."""
-    schema = StructType.fromDDL(STORED[name])
-    rows = read_indicator(spark, out_root, name, schema, ssp)
+    rows = _rows(spark, out_root, name, ssp)
     return rows.filter(~F.col("project").rlike(base_pattern)).drop("project").distinct()
 
 

@@ -663,6 +663,10 @@ ORACLES |= {
           CAST(NULL AS BIGINT) AS "no such",
           CAST((SELECT count(DISTINCT title) FROM large WHERE title NOT IN ('1-URGENT', '5-LOW')) AS INT) AS others
         FROM large GROUP BY 1, 2"""),
+    "committed_runs": _with("run_years", f"""
+        SELECT run AS scenario, CAST(year AS INT) AS year, 'percentage' AS units,
+               {r('2 * (100 * half / total)', 6, 'expenditure_percent_GDP')}
+        FROM run_years WHERE ssp IN (2, 4)"""),
     "customer_ranks": _with("obs", """
         WITH c AS (SELECT o_custkey, count(*) AS n_orders FROM obs GROUP BY 1)
         SELECT o_custkey, n_orders, rank() OVER (ORDER BY n_orders DESC) AS rank,

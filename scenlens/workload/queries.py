@@ -39,7 +39,7 @@ from scenlens.operators.rows import cols_matching, complete_cases, match_rows, r
 from scenlens.operators.spatial import point_in_polygon
 from scenlens.plans import compare as C
 from scenlens.plans import economy, food, gather, health, land, run, water
-from scenlens.sources import catalog, files, grids
+from scenlens.sources import catalog, files, grids, versions
 from scenlens.sources.bucketed import copartitioned
 from scenlens.sources.grids import Axis
 from scenlens.sources.shared import literal_table, new_folder, staged
@@ -896,6 +896,20 @@ def _store_runs(v: Views, absent: tuple[str, ...] = ()) -> str:
     return root
 
 
+@query(6)
+def committed_runs(v: Views) -> DataFrame:
+    """Two runs of each family's outputs, the second one with other values: readers see the second one whole."""
+    root, cells = new_folder(v.spark, "committed"), v.run_tables()
+    for factor in (1, 2):
+        for ssp in ("SSP2", "SSP4"):
+            food = cells["food"].filter(F.col("scenario").endswith(ssp))
+            more = food.withColumn("expenditure_percent_GDP", F.col("expenditure_percent_GDP") * factor)
+            gdp = cells["gdp"].filter(F.col("scenario").endswith(ssp))
+            versions.commit(v.spark, root, f"study {ssp}", {"food": run.shaped("food", more), "gdp": run.shaped("gdp", gdp)})
+    versions.vacuum(v.spark, root)
+    return run.stored(v.spark, root, "food")
+
+
 @query(6)
 def gather_family(v: Views) -> DataFrame:
     return run.gather_family(v.spark, _store_runs(v, ("gdp", "pop", "expenditure", "health", "water", "land")), "food", "SSP3")
