@@ -645,7 +645,7 @@ ORACLES |= {
     "grid_tiles_within": _with("service", f"""
         SELECT scenario, -180 + 0.5 * (l_partkey % 97)::DOUBLE AS lon, 89.5 - 3 * (l_suppkey % 53)::DOUBLE AS lat,
                {r('sum(demand)', 4, 'value')} FROM service GROUP BY 1, 2, 3
-        HAVING -171 <= lon AND lon <= -150 AND 0 <= lat AND lat <= 40"""),
+        HAVING -171 <= lon AND lon <= -150 AND 50 <= lat AND lat <= 80"""),
     "exact_revenue": _with("service", f"""
         SELECT scenario, CAST(year AS INT) AS year, {_exact("cost * demand * (1 - discount)")} AS revenue,
                {_exact("discount")} AS discount, count(*) AS n FROM service GROUP BY 1, 2"""),

@@ -832,7 +832,7 @@ def grid_tiles(v: Views) -> DataFrame:
 @query(4)
 def grid_tiles_within(v: Views) -> DataFrame:
     """The cells of a window; tiles outside are not read."""
-    return grids.tile_rows(_tiles(v), LON, LAT, bounds=(-171.0, 0.0, -150.0, 40.0))
+    return grids.tile_rows(_tiles(v), LON, LAT, bounds=(-171.0, 50.0, -150.0, 80.0))
 
 
 @query(None)
