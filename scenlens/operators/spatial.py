@@ -198,8 +198,12 @@ def point_in_polygon(
     index, used = polygon_index(edges, cell, crowd, levels)
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     places = [F.struct(F.lit(n).alias("level"), _cell(px, cell / 2.0**n).alias("ci"), _cell(py, cell / 2.0**n).alias("cj")) for n in used]
-    placed = points.select(*id_cols, px.alias("__px"), py.alias("__py"), F.inline(F.array(*places)))
-    met = placed.join(index, ["level", "ci", "cj"], "inner")
+    if crowd is None:
+        placed = points.select(*id_cols, px.alias("__px"), py.alias("__py"), F.lit(0).alias("level"), _cell(px, cell).alias("ci"), _cell(py, cell).alias("cj"))
+        met = placed.join(index.drop("level"), ["ci", "cj"], "inner")
+    else:
+        placed = points.select(*id_cols, px.alias("__px"), py.alias("__py"), F.inline(F.array(*places)))
+        met = placed.join(index, ["level", "ci", "cj"], "inner")
 
     e = _ends()
     p = (F.col("__px"), F.col("__py"))
