@@ -23,13 +23,16 @@ judged on its own text and language. An empty table gives no rows. Other columns
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scenlens.llm.common import ship
-from scenlens.llm.vocabularies import fertility, public_path
-from scenlens.llm.words import encoded, window_hashes
+from scenlens.llm.vocabularies import Fertility, blocks, fertility, no_collection, public_path
+from scenlens.llm.words import encoded, split_words, window_hashes
 from scenlens.sources.shared import staged
 
 PIECES = "piece_bpe_32k.model"
@@ -48,9 +51,8 @@ MEASURES = ("chars_per_token", "chars_per_piece", "entropy")
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 MEASURED = f"{BASE}, n_pieces long, chars_per_token double, chars_per_piece double, byte_share double, entropy double, script string"
 
-_SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
-_SYMBOLS = tuple(bytes([c]) for c in b"#*$%&|<>")
-_CONTINUED = bytes(range(0x80, 0xC0))
+_SPACES = b" \t\n\x0b\x0c\r"
+_SYMBOLS = b"#*$%&|<>"
 
 # Bands where a script has too few documents: what a text of any language keeps to.
 FIXED = {"chars_per_token": (0.25, 12.0), "chars_per_piece": (0.25, 12.0), "entropy": (1.5, 16.0)}
@@ -83,14 +85,14 @@ def script_of(text: str) -> str:
     return _SCRIPTS[most][0] if counts[most] else "none"
 
 
-def repeated_words(hashes: np.ndarray) -> int:
-    """Words that stand in a window found twice or more."""
-    windows = window_hashes(hashes, list(range(WINDOW)))
-    if not len(windows):
+def repeated_words(windows: np.ndarray, n: int) -> int:
+    """Words of a text of ``n`` that stand in a window found twice or more; ``windows`` has their hashes."""
+    ordered = np.sort(windows)
+    if not (ordered[1:] == ordered[:-1]).any():
         return 0
     _, inverse, counts = np.unique(windows, return_inverse=True, return_counts=True)
     starts = np.flatnonzero(counts[inverse] > 1)
-    edge = np.zeros(len(hashes) + 1, np.int64)
+    edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + WINDOW, -1)
     return int((np.cumsum(edge) > 0).sum())
@@ -108,25 +110,44 @@ def repeated_lines(data: bytes) -> int:
 
 
 def measure(text: str | None, lang: str | None, piece_path: str, byte_path: str) -> tuple:
-    data = encoded(text)
-    words = data.split()
+    return measures([text], piece_path, byte_path)[0]
+
+
+def measures(texts: Iterable[str | None], piece_path: str, byte_path: str) -> list[tuple]:
+    """The measures of each text. Words are looked up for a block of texts together."""
     known = fertility(piece_path, byte_path)
-    found = known.of(words)
-    code_points = len(data.translate(None, _CONTINUED))
-    word_chars = code_points - sum(data.count(c) for c in _SPACES)
-    symbols = sum(data.count(c) for c in _SYMBOLS)
-    hashes = np.fromiter((f[2] for f in found), np.uint64, len(found))
-    base = len(words), word_chars, symbols, repeated_lines(data), repeated_words(hashes)
-    pieces = np.frombuffer(b"".join([f[0] for f in found]), "<u4")
-    script = script_of(text or "")
+    with no_collection():
+        return [row for block in blocks([t or "" for t in texts]) for row in _block(block, known)]
+
+
+def _block(texts: list[str], known: Fertility) -> Iterator[tuple]:
+    data = [encoded(t) for t in texts]
+    coded, edges = split_words(data)
+    at = coded.indices.to_numpy()
+    found = known.of(coded.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+    ids, tokens, hashes = zip(*found, strict=True) if found else ((), (), ())
+    windows = window_hashes(np.array(hashes, np.uint64)[at], list(range(WINDOW)))
+    pieces = np.frombuffer(b"".join([ids[i] for i in at.tolist()]), "<u4")
+    n_tokens, n_pieces = (np.append(0, np.cumsum(np.array(x, np.int64)[at]))[edges].tolist() for x in (tokens, [len(i) // 4 for i in ids]))
+    edges = edges.tolist()
+    for i, text in enumerate(texts):
+        a, b = edges[i], edges[i + 1]
+        yield _row(text, data[i], b - a, windows[a : max(a, b - WINDOW + 1)], pieces[n_pieces[i] : n_pieces[i + 1]], n_tokens[i + 1] - n_tokens[i], known)
+
+
+def _row(text: str, data: bytes, n_words: int, windows: np.ndarray, pieces: np.ndarray, n_tokens: int, known: Fertility) -> tuple:
+    word_chars = len(text) - len(data) + len(data.translate(None, _SPACES))
+    symbols = len(data) - len(data.translate(None, _SYMBOLS))
+    base = n_words, word_chars, symbols, repeated_lines(data), repeated_words(windows, n_words)
+    script = script_of(text)
     if not len(pieces):
         return *base, 0, None, None, None, None, script
-    _, counts = np.unique(pieces, return_counts=True)
-    share = counts / len(pieces)
+    counts = np.bincount(pieces)
+    share = counts[counts > 0] / len(pieces)
     return (
         *base,
         len(pieces),
-        word_chars / max(1, sum(f[1] for f in found)),
+        word_chars / max(1, n_tokens),
         word_chars / len(pieces),
         float(known.is_byte[pieces].mean()),
         float(-(share * np.log2(share)).sum()),
@@ -137,9 +158,8 @@ def measure(text: str | None, lang: str | None, piece_path: str, byte_path: str)
 def _measures(piece_path: str, byte_path: str):
     names = [f.split()[0] for f in MEASURED.split(", ")]
 
-    def run(text: pd.Series, lang: pd.Series) -> pd.DataFrame:
-        rows = [measure(t, x, piece_path, byte_path) for t, x in zip(text, lang, strict=True)]
-        return pd.DataFrame(rows, columns=names)
+    def run(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(measures(text, piece_path, byte_path), columns=names)
 
     return F.pandas_udf(run, MEASURED)
 
@@ -150,10 +170,10 @@ def base_failed(m: str) -> Column:
 
 
 def measured(documents: DataFrame, name: str = "__quality", piece_path: str | None = None, byte_path: str | None = None) -> DataFrame:
-    """``documents`` with a struct of measures; ``lang`` and ``text`` are read."""
+    """``documents`` with a struct of measures; ``text`` is read."""
     ship(documents.sparkSession)
     udf = _measures(piece_path or public_path(PIECES), byte_path or public_path(BYTES_VOCABULARY))
-    return documents.withColumn(name, udf("text", "lang"))
+    return documents.withColumn(name, udf("text"))
 
 
 def _group(lang: Column, m: str) -> list[Column]:

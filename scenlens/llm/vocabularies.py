@@ -5,35 +5,41 @@ from __future__ import annotations
 import gc
 import os
 import re
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import cache
-from itertools import chain
+from itertools import compress, pairwise
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 os.environ.setdefault("RAYON_NUM_THREADS", "1")
 
 import numpy as np  # noqa: E402
-import regex  # noqa: E402
+import pyarrow as pa  # noqa: E402
+import pyarrow.compute as pc  # noqa: E402
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
+JOINED_WORDS = 200
 BLOCK_TEXTS = 1024
 BLOCK_SIZE = 1 << 21
 
-# Fixed value: how byte-level vocabularies of this kind split a text into pieces.
-_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
 #: Text in which a single space always starts a new piece has no white space beside white space or at its end.
 _JOINED_SPACE = re.compile(r"\s\s|\s\Z")
 
-#: The same for parts of plain letters, digits, punctuation and line breaks, which takes less time.
-_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n")
+#: Words that a normaliser of Unicode neither cuts nor empties, so that joined words can be told apart.
+_PLAIN_WORD = re.compile(
+    "[!-~À-ʯΈ-ϿЀ-ԯא-תؠ-يऄ-๏"
+    "ぁ-ゖァ-ヺー一-鿿가-힣]+"
+)
 
 
-def cut(part: str) -> list[str]:
-    """The pieces of a part."""
-    pieces = _PLAIN.findall(part)
-    return pieces if sum(map(len, pieces)) == len(part) else _PIECE.findall(part)
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """For work with millions of short strings and no cycles."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
 
 
 def public_path(name: str) -> str:
@@ -79,23 +85,49 @@ def blocks(texts: list[str]) -> Iterator[list[str]]:
         yield texts[start:]
 
 
+class Cache:
+    """Values of words in a task. Words that have not come while CACHED_WORDS others came are learned anew."""
+
+    def __init__(self, learn: Callable[[list], Iterable[tuple]]):
+        self.learn = learn
+        self.recent: dict = {}
+        self.older: dict = {}
+
+    def of(self, words: Iterable) -> dict:
+        """A table that holds the values of these words, among others."""
+        if len(self.recent) > CACHED_WORDS:
+            self.older, self.recent = self.recent, {}
+        recent, older = self.recent, self.older
+        missing = list(dict.fromkeys([w for w in words if w not in recent]))
+        if older:
+            again = [w for w in missing if w in older]
+            recent.update(zip(again, map(older.__getitem__, again), strict=True))
+            missing = [w for w in missing if w not in older]
+        for i in range(0, len(missing), JOINED_WORDS):
+            recent.update(self.learn(missing[i : i + JOINED_WORDS]))
+        return recent
+
+
+def spaced_ids(tokenizer, starts: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words that each begin with a space, encoded as one text, and where the tokens begin with a space."""
+    ids = np.array(tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, np.int64)
+    return ids, np.flatnonzero(starts[ids])
+
+
 class TextEncoder:
     """Token ids of whole texts, equal to the tokenizer's own, at the price of their distinct words.
 
     The tokenizer splits a text into pieces before it merges anything, and a single space between other
-    characters always starts a piece. Such texts are cut at their spaces, and parts that are new are cut into
-    their pieces; only pieces that are new go to the tokenizer, those of a block of texts together. Parts and
-    pieces that come twice in a block are kept: most of the others never come again. Any other text goes to
-    the tokenizer whole.
+    characters always starts a piece. Such texts are cut at their spaces; parts that are new go to the tokenizer
+    joined, and their ids are parted again at the tokens that begin with a space, of which each part has one.
+    Any other text goes to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = byte_tokenizer(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}  # of parts
-        self.pieces: dict[str, bytes] = {}
         self.starts = space_starts(path)
-        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.known = Cache(self._learn)
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -106,74 +138,42 @@ class TextEncoder:
 
     def many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        gc.disable()  # millions of short strings and no cycles
-        try:
+        with no_collection():
             return [ids for block in blocks(texts) for ids in self._block(block)]
-        finally:
-            gc.enable()
 
     def _block(self, texts: list[str]) -> list[bytes]:
-        known, rows, missing = self.known, [], []
-        for t in texts:
-            if not t or "\0" in t or _JOINED_SPACE.search(t):
-                rows.append((None, self._encoded([t])[0] if t else b""))
-                continue
-            parts = t.replace(" ", "\0 ").split("\0")
-            found = list(map(known.get, parts))
-            if None in found:
-                missing += [p for p, f in zip(parts, found, strict=True) if f is None]
-                rows.append((parts, found))
-            else:
-                rows.append((None, b"".join(found)))
-        counts = Counter(missing)
-        new = self._learn(counts)
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        known.update((p, new[p]) for p, n in counts.items() if n > 1)
-        return [
-            data if parts is None else b"".join([new[p] if f is None else f for p, f in zip(parts, data, strict=True)])
-            for parts, data in rows
-        ]
-
-    def _learn(self, parts: Iterable[str]) -> dict[str, bytes]:
-        kept = self.pieces
-        if len(kept) > CACHED_WORDS:
-            kept.clear()
-        split = [cut(p) for p in parts]
-        counts = Counter(chain.from_iterable(split))
-        pieces = {}
-        new = []
-        for q in counts:
-            f = kept.get(q)
-            if f is None:
-                new.append(q)
-            else:
-                pieces[q] = f
-        self._learn_joined([q for q in new if q[:1] == " "], "", pieces)
-        self._learn_joined([q for q in new if q[:1] != " " and "\n" not in q], "\n", pieces)
-        rest = [q for q in new if q[:1] != " " and "\n" in q]
-        pieces.update(zip(rest, self._encoded(rest), strict=True))
-        kept.update((q, pieces[q]) for q in new if counts[q] > 1)
-        return {p: b"".join([pieces[q] for q in some]) for p, some in zip(parts, split, strict=True)}
-
-    def _learn_joined(self, new: list[str], mark: str, pieces: dict[str, bytes]) -> None:
-        """Encode pieces that begin with a space joined, or others with line breaks before them; halves where that fails."""
-        if not new:
-            return
-        width = self.dtype.itemsize
-        ids = np.array(self.tokenizer.encode_batch_fast([mark + mark.join(new)], add_special_tokens=False)[0].ids, self.dtype)
-        first = np.flatnonzero(ids == self.line[0]) if mark else np.flatnonzero(self.starts[ids])
-        if len(first) == len(new) and len(self.line) == 1:
-            ends = np.append(first[1:], len(ids))
-            data = ids.tobytes()
-            skipped = width * len(mark)
-            pieces.update((q, data[a * width + skipped : b * width]) for q, a, b in zip(new, first.tolist(), ends.tolist(), strict=True))
-        elif len(new) == 1:
-            pieces[new[0]] = self._encoded(new)[0]
-        else:
-            half = len(new) // 2
-            self._learn_joined(new[:half], mark, pieces)
-            self._learn_joined(new[half:], mark, pieces)
+        cut = ["\0" not in t and _JOINED_SPACE.search(t) is None for t in texts]
+        joined = iter(self._cut(list(compress(texts, cut))))
+        return [next(joined) if c else self._encoded([t])[0] for t, c in zip(texts, cut, strict=True)]
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        edges, parts = lists.offsets.to_numpy(), lists.values
+        is_first = np.zeros(len(parts), bool)
+        is_first[edges[:-1]] = True
+        coded = parts.filter(pa.array(~is_first)).dictionary_encode()  # all but the first begin with a space
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.known.of(words)
+        ids = pa.array([known[w] for w in words], pa.binary()).take(coded.indices)
+        at = np.append(0, np.cumsum(pc.binary_length(ids).to_numpy()))[edges - np.arange(len(edges))].tolist()
+        data = ids.buffers()[2].to_pybytes() if len(ids) else b""
+        firsts = self._encoded(parts.filter(pa.array(is_first)).to_pylist())
+        return [f + data[a:b] for f, (a, b) in zip(firsts, pairwise(at), strict=True)]
+
+    def _learn(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        return zip(words, self._learn_spaced([f" {w}" for w in words]), strict=True)
+
+    def _learn_spaced(self, parts: list[str]) -> list[bytes]:
+        """Encode parts that begin with a space joined; halves where that fails."""
+        if len(parts) <= 1:
+            return self._encoded(parts)
+        ids, first = spaced_ids(self.tokenizer, self.starts, parts)
+        if len(first) != len(parts):
+            half = len(parts) // 2
+            return self._learn_spaced(parts[:half]) + self._learn_spaced(parts[half:])
+        data = ids.astype(self.dtype).tobytes()
+        edges = [*(first * self.dtype.itemsize).tolist(), len(data)]
+        return [data[a:b] for a, b in pairwise(edges)]
 
 
 @cache
@@ -190,38 +190,39 @@ class Fertility:
         self.pieces = piece_processor(piece_path)
         self.bytes = byte_tokenizer(byte_path)
         self.hashes = word_hashes
-        self.known: dict[bytes, tuple[bytes, int, int]] = {}
+        self.known = Cache(self._learn)
         size = self.pieces.get_piece_size()
         self.starts = space_starts(byte_path)
         self.piece_starts = np.fromiter((self.pieces.id_to_piece(i).startswith("▁") for i in range(size)), bool, size)
         self.is_byte = np.fromiter((self.pieces.is_byte(i) for i in range(size)), bool, size)
 
     def of(self, words: list[bytes]) -> list[tuple[bytes, int, int]]:
-        known = self.known
-        try:
-            return [known[w] for w in words]
-        except KeyError:
-            if len(known) > CACHED_WORDS:
-                known.clear()
-            self._learn([w for w in set(words) if w not in known])
-            return [known[w] for w in words]
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Encode words joined by spaces, which is cheaper; where these don't part the words again, one by one."""
+        known = self.known.of(words)
+        return [known[w] for w in words]
+
+    def _learn(self, new: list[bytes]) -> Iterator[tuple[bytes, tuple[bytes, int, int]]]:
         texts = [w.decode("utf-8", "replace") for w in new]
-        joined = " ".join(texts)
-        pieces = np.array(self.pieces.encode(joined), "<u4")
+        plain = [_PLAIN_WORD.fullmatch(t) is not None for t in texts]
+        joined = self._joined(list(compress(texts, plain)))
+        single = self._one_by_one([t for t, p in zip(texts, plain, strict=True) if not p])
+        for w, p, h in zip(new, plain, self.hashes(new).tolist(), strict=True):
+            yield w, (*next(joined if p else single), h)
+
+    def _joined(self, texts: list[str]) -> Iterator[tuple[bytes, int]]:
+        """Encode words joined by spaces, which is cheaper; where these don't part the words again, one by one."""
+        pieces = np.array(self.pieces.encode(" ".join(texts)), "<u4")
         cuts = np.flatnonzero(self.piece_starts[pieces])
-        tokens = self.bytes.encode_batch_fast([f" {joined}"], add_special_tokens=False)[0].ids
-        starts = np.flatnonzero(self.starts[np.array(tokens, np.int64)])
-        if len(cuts) == len(starts) == len(new):
-            ids = [p.tobytes() for p in np.split(pieces, cuts[1:])]
-            counts = np.diff(np.append(starts, len(tokens))).tolist()
-        else:
-            ids = [np.array(p, "<u4").tobytes() for p in self.pieces.encode(texts, num_threads=1)]
-            counts = [len(t.ids) for t in self.bytes.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
-        for w, p, n, h in zip(new, ids, counts, self.hashes(new).tolist(), strict=True):
-            self.known[w] = (p, n, h)
+        tokens, starts = spaced_ids(self.bytes, self.starts, [f" {t}" for t in texts])
+        if not len(cuts) == len(starts) == len(texts):
+            return self._one_by_one(texts)
+        data = pieces.tobytes()
+        edges = [*(cuts * 4).tolist(), len(data)]
+        return zip([data[a:b] for a, b in pairwise(edges)], np.diff(starts, append=len(tokens)).tolist(), strict=True)
+
+    def _one_by_one(self, texts: list[str]) -> Iterator[tuple[bytes, int]]:
+        ids = [np.array(p, "<u4").tobytes() for p in self.pieces.encode(texts, num_threads=1)] if texts else []
+        tokens = self.bytes.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
+        return zip(ids, [len(t.ids) for t in tokens], strict=True)
 
 
 @cache

@@ -7,6 +7,8 @@ white space and just A-Z.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -16,6 +18,14 @@ def encoded(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 
 
+def split_words(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts, coded by their distinct values, and where each text's words begin and end."""
+    lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+    some = pc.greater(pc.binary_length(lists.values), 0)  # white space at an end leaves an empty word
+    edges = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))[lists.offsets.to_numpy()]
+    return lists.values.filter(some).dictionary_encode(), edges
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mix of each element (splitmix64)."""
     x = x + _GOLDEN

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from scenlens.llm import licenses, line_dedup, mixing, quality_rules, sharding
@@ -162,6 +163,60 @@ def test_words_measured_together_equal_one_by_one(spark):
             assert n == len(known.bytes.encode(" " + w.decode(), add_special_tokens=False).ids)
 
 
+def test_words_that_normalising_cuts_or_empties():
+    """One word in two runs of pieces and one without pieces, learned together with others."""
+    from scenlens.llm.vocabularies import Fertility, public_path
+
+    known = Fertility(public_path(quality_rules.PIECES), public_path(quality_rules.BYTES_VOCABULARY))
+    words = "first a\u00a0b \u3000 last \ufdfa \u200b x\u2581y привет 中文 \u0301e".encode().split(b" ")
+    for w, (ids, n, _) in zip(words, known.of(words), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == known.pieces.encode(w.decode())
+        assert n == len(known.bytes.encode(" " + w.decode(), add_special_tokens=False).ids)
+
+
+def test_texts_share_calls_of_the_tokenizers(monkeypatch):
+    """New words of many texts are encoded together; a text's measures don't depend on the texts beside it."""
+    from scenlens.llm.vocabularies import Fertility, public_path
+
+    paths = public_path(quality_rules.PIECES), public_path(quality_rules.BYTES_VOCABULARY)
+    texts = [f"one{i} two{i}, three{i} " * 3 + "\u3000 a\u00a0b\n\x0b" for i in range(300)] + ["", " ", None, "  x\t"]
+    alone = [quality_rules.measure(t, None, *paths) for t in texts]
+    known, calls = Fertility(*paths), []
+    encoder = known.bytes
+
+    class Counted:
+        def encode_batch_fast(self, some, **options):
+            calls.append(len(some))
+            return encoder.encode_batch_fast(some, **options)
+
+    known.bytes = Counted()
+    monkeypatch.setattr(quality_rules, "fertility", lambda *_: known)
+    assert quality_rules.measures(texts, *paths) == alone
+    assert len(calls) < 30
+
+
+def test_words_that_come_again_are_kept(monkeypatch):
+    from scenlens.llm import vocabularies
+
+    monkeypatch.setattr(vocabularies, "CACHED_WORDS", 10)
+    learned = []
+    cache = vocabularies.Cache(lambda new: [(w, learned.append(w) or len(w)) for w in new])
+    for i in range(100):
+        assert cache.of([f"new {i}", "often", "often"])["often"] == 5
+        assert len(cache.recent) + len(cache.older) < 30
+    assert learned.count("often") == 1 and len(learned) == 101
+
+
+def test_split_words():
+    from scenlens.llm.words import split_words
+
+    texts = [b"", b" a  b\t\n", b"\x0b\x0c\r", "é\u00a0x\u3000y \x1c z\x85".encode(), b"a", b"\xed\xa0\x80 q"]
+    coded, edges = split_words(texts)
+    words = [bytes(x.as_buffer()) for x in coded.cast("string")] if len(coded) else []
+    assert [words[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)] == [t.split() for t in texts]
+    assert split_words([])[1].tolist() == [0]
+
+
 def test_bands_reject_junk_and_keep_clean(spark):
     documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
