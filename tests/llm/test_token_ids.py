@@ -33,6 +33,26 @@ def test_encoder_equals_tokenizer_on_documents(spark):
         assert np.frombuffer(encoder.ids(r.text), "<u2").tolist() == ids_of(r.text)[:-1]
 
 
+def test_parts_are_encoded_once():
+    """A part goes to the tokenizer once, joined with others, also where it comes once in a block of texts."""
+    encoder, sent = TextEncoder(PATH), []
+    tokenizer = encoder.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, some, **options):
+            sent.extend(some)
+            return tokenizer.encode_batch_fast(some, **options)
+
+    encoder.tokenizer = Counted()
+    texts = [f"a once{i}. other{i}, \u4e2d{i}" for i in range(60)]
+    want = [ids_of(t)[:-1] for t in texts]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.many([*texts, ""])[:-1]] == want
+    assert len([x for x in sent if x not in ("a", "")]) == 1
+    sent.clear()
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.many(texts[::-1])] == want[::-1]
+    assert set(sent) == {"a"}
+
+
 def test_documents_read_back(spark):
     df = odd_documents(spark)
     rows = sorted(df.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
