@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from scenlens.llm.common import ship
+from scenlens.llm.vocabularies import release
 from scenlens.llm.words import encoded, window_hashes, word_hashes
 from scenlens.operators.joins import inner_join
 from scenlens.sources.shared import staged
@@ -112,6 +113,7 @@ def regions(words: np.ndarray, bitmap: np.ndarray, reach: int, masks: list[str])
 
 def _hits(bitmap, reach: int, masks: list[str], kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         bits = np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
             rows = [

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from scenlens.llm.common import ship
+from scenlens.llm.vocabularies import release
 from scenlens.llm.words import encoded, mix, window_hashes, word_hashes
 from scenlens.operators.joins import anti_join, inner_join, left_join
 from scenlens.sources.shared import staged
@@ -99,6 +100,7 @@ def signature(elements: np.ndarray) -> bytes | None:
 
 def _sketches(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             sizes, signatures, bands, bitmaps = [], [], [], []
             for text in batch.column("text"):
@@ -124,6 +126,7 @@ def _sketches(shingle: int):
 
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             sets = [shingle_set(t.as_py(), shingle) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(

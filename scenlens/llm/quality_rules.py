@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scenlens.llm.common import ship
-from scenlens.llm.vocabularies import Fertility, blocks, fertility, no_collection, public_path
+from scenlens.llm.vocabularies import Fertility, blocks, fertility, no_collection, public_path, release
 from scenlens.llm.words import encoded, split_words, window_hashes
 from scenlens.sources.shared import staged
 
@@ -115,6 +115,7 @@ def measure(text: str | None, lang: str | None, piece_path: str, byte_path: str)
 
 def measures(texts: Iterable[str | None], piece_path: str, byte_path: str) -> list[tuple]:
     """The measures of each text. Words are looked up for a block of texts together."""
+    release(but_for=fertility)
     known = fertility(piece_path, byte_path)
     with no_collection():
         return [row for block in blocks([t or "" for t in texts]) for row in _block(block, known)]

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from scenlens.llm.common import settings, ship
-from scenlens.llm.vocabularies import byte_tokenizer, public_path, text_encoder
+from scenlens.llm.vocabularies import byte_tokenizer, public_path, release, text_encoder
 from scenlens.llm.words import mix
 from scenlens.sources.shared import new_folder, staged
 
@@ -217,6 +217,7 @@ def shard_of(content: bytes | memoryview) -> Shard:
 
 def _payload(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(but_for=text_encoder)
         encoder = text_encoder(path)
         ids: list[np.ndarray] = []
         nulls: list[np.ndarray] = []

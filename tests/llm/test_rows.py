@@ -2,6 +2,7 @@
 
 import random
 import re
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -207,6 +208,25 @@ def test_words_that_come_again_are_kept(monkeypatch):
     assert learned.count("often") == 1 and len(learned) == 101
 
 
+def test_tasks_drop_word_caches_of_other_work():
+    """The workers of a pipeline go on from stage to stage; what one stage learnt of words must not fill the memory of the next."""
+    from scenlens.llm import near_dup, token_ids, vocabularies
+
+    paths = [vocabularies.public_path(n) for n in (quality_rules.PIECES, quality_rules.BYTES_VOCABULARY)]
+
+    def held(task):
+        quality_rules.measure("some words of a text", None, *paths)
+        known = weakref.ref(vocabularies.fertility(*paths))
+        vocabularies.text_encoder(paths[1]).ids("some words of a text")
+        task()
+        return known() is not None, vocabularies.text_encoder.cache_info().currsize
+
+    assert held(lambda: list(near_dup._sketches(2)(iter([])))) == (False, 0)
+    assert held(lambda: list(near_dup._sets(2)(iter([])))) == (False, 0)
+    assert held(lambda: list(token_ids._payload(paths[1])(iter([])))) == (False, 1)
+    assert held(lambda: quality_rules.measure("others", None, *paths)) == (True, 0)
+
+
 def test_split_words():
     from scenlens.llm.words import split_words
 
