@@ -44,7 +44,8 @@ from scenlens.sources.shared import new_folder, staged
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_BYTES = 16 << 20  # of text
-HELD_FILES = 16 << 20  # bytes of shards that a task hands to Python at once
+READ_BYTES = 64 << 20  # of shards, by one task
+BATCH_BYTES = 4 << 20  # of texts or, but for single larger ones, shards that a task hands to Python at once
 GAMMA = 1.7
 MAX_LEVELS = 48
 
@@ -253,13 +254,14 @@ def write_shards(
         .select("doc_id", "text")
         .mapInArrow(_payload(path), "value binary")
     )
-    (
-        rows.select(F.col("value").cast("string").alias("value"))
-        .write.option("lineSep", end_id.to_bytes(width, "little").decode("latin-1"))
-        .option("encoding", "ISO-8859-1")
-        .option("maxRecordsPerFile", 0)
-        .text(folder)
-    )
+    with settings(spark, **{"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}):
+        (
+            rows.select(F.col("value").cast("string").alias("value"))
+            .write.option("lineSep", end_id.to_bytes(width, "little").decode("latin-1"))
+            .option("encoding", "ISO-8859-1")
+            .option("maxRecordsPerFile", 0)
+            .text(folder)
+        )
 
 
 # Reading
@@ -405,7 +407,7 @@ def write_and_index(documents: DataFrame, folder: str | None = None, shard_bytes
     spark = documents.sparkSession
     folder = folder or new_folder(spark, "token_ids")
     write_shards(documents, f"{folder}/shards", shard_bytes=shard_bytes)
-    with settings(spark, **{"spark.sql.files.maxPartitionBytes": 4 * HELD_FILES, "spark.sql.execution.arrow.maxBytesPerBatch": HELD_FILES}):
+    with settings(spark, **{"spark.sql.files.maxPartitionBytes": READ_BYTES, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}):
         records = staged(read_records(spark, f"{folder}/shards"), "token_records")
     return placed(records, write_manifest(records, f"{folder}/shards", f"{folder}/manifest")).select(
         "doc_id", "start", "n_tokens", "ids_crc32", "copy", "shard", "offset"

@@ -18,12 +18,18 @@ import pyarrow as pa  # noqa: E402
 import pyarrow.compute as pc  # noqa: E402
 
 CACHED_WORDS = 250_000
+CACHED_MARKS = 10_000
 JOINED_WORDS = 200
 BLOCK_TEXTS = 1024
 BLOCK_SIZE = 1 << 21
 
 #: Text in which a single space always starts a new piece has no white space beside white space or at its end.
-_JOINED_SPACE = re.compile(r"\s\s|\s\Z")
+_SPACE = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_NOT_CUT = rf"{_SPACE}{_SPACE}|{_SPACE}\z|\x00"
+
+#: Latin letters, then punctuation: each of the two is one piece.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_TWO_PIECES = re.compile(rf"(\n?)([{_LETTERS}]+)([!-/:-@\[-`{{-~]*)")
 
 #: Words that a normaliser of Unicode neither cuts nor empties, so that joined words can be told apart.
 _PLAIN_WORD = re.compile(
@@ -54,6 +60,7 @@ def byte_tokenizer(path: str):
 
     found = Tokenizer.from_file(path)
     found.encode_special_tokens = True  # their strings in a text are ordinary text
+    found.model._resize_cache(0)  # words come here once; what is kept of pieces costs more than it saves
     return found
 
 
@@ -65,14 +72,21 @@ def piece_processor(path: str):
 
 
 @cache
-def space_starts(path: str) -> np.ndarray:
-    """For each id of a byte-level vocabulary: does its token start with a space?"""
+def first_characters(path: str, some: str) -> np.ndarray:
+    """For each id of a byte-level vocabulary: does its token start with one of these characters? A space is Ġ, a line end Ċ."""
     vocabulary = byte_tokenizer(path).get_vocab()
     out = np.zeros(max(vocabulary.values()) + 1, bool)
-    out[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+    out[[i for t, i in vocabulary.items() if t.startswith(tuple(some))]] = True
     return out
 
 
+def splits_like_gpt2(tokenizer) -> bool:
+    from tokenizers import pre_tokenizers
+
+    found = tokenizer.pre_tokenizer
+    return tokenizer.normalizer is None and isinstance(found, pre_tokenizers.ByteLevel) and found.use_regex and not found.add_prefix_space
+
+
 def blocks(texts: list[str]) -> Iterator[list[str]]:
     """Runs of at most BLOCK_TEXTS texts and, but for single longer ones, BLOCK_SIZE characters."""
     start, held = 0, 0
@@ -121,18 +135,36 @@ class TextEncoder:
     characters always starts a piece. Such texts are cut at their spaces; parts that are new go to the tokenizer
     joined, and their ids are parted again at the tokens that begin with a space, of which each part has one.
     Any other text goes to the tokenizer whole.
+
+    Where the tokenizer splits as GPT-2 did, a single line end is a piece of its own, a run of letters after a
+    space or a line end is one piece, and so is punctuation behind it. There texts are cut at line ends too, and
+    new words of letters and punctuation go to the tokenizer's model piece by piece; words that share their
+    letters share the ids of these.
     """
 
     def __init__(self, path: str):
         self.tokenizer = byte_tokenizer(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.starts = space_starts(path)
+        self.model = self.tokenizer.model
+        self.in_pieces = splits_like_gpt2(self.tokenizer)
+        self.starts = first_characters(path, "ĠĊ" if self.in_pieces else "Ġ")
+        self.bytes_of_id = [i.tobytes() for i in np.arange(len(self.starts)).astype(self.dtype)]
         self.known = Cache(self._learn)
+        self.marks: dict[str, bytes] = {}  # of punctuation
+        if self.in_pieces:
+            (space,), (line_end,) = map(self.tokenizer.pre_tokenizer.pre_tokenize_str, " \n")
+            self.space, self.line_end = space[0], self._piece(line_end[0])
+            letters = [c for c in map(chr, range(0x80, 0x250)) if re.match(f"[{_LETTERS}]", c)]
+            self.bytes_of = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
+    def _piece(self, piece: str) -> bytes:
+        """The ids of a piece, in the characters that stand for its bytes."""
+        return b"".join([self.bytes_of_id[t.id] for t in self.model.tokenize(piece)])
+
     def ids(self, text: str) -> bytes:
         return self.many([text])[0]
 
@@ -142,16 +174,19 @@ class TextEncoder:
             return [ids for block in blocks(texts) for ids in self._block(block)]
 
     def _block(self, texts: list[str]) -> list[bytes]:
-        cut = ["\0" not in t and _JOINED_SPACE.search(t) is None for t in texts]
-        joined = iter(self._cut(list(compress(texts, cut))))
-        return [next(joined) if c else self._encoded([t])[0] for t, c in zip(texts, cut, strict=True)]
-
-    def _cut(self, texts: list[str]) -> list[bytes]:
-        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        array = pa.array(texts, pa.string())
+        cut = pc.invert(pc.match_substring_regex(array, _NOT_CUT))
+        joined = iter(self._cut(array.filter(cut)))
+        return [next(joined) if c else self._encoded([t])[0] for t, c in zip(texts, cut.to_pylist(), strict=True)]
+
+    def _cut(self, texts: pa.StringArray) -> list[bytes]:
+        if self.in_pieces:
+            texts = pc.replace_substring(texts, "\n", " \n")
+        lists = pc.split_pattern(texts, " ")
         edges, parts = lists.offsets.to_numpy(), lists.values
         is_first = np.zeros(len(parts), bool)
         is_first[edges[:-1]] = True
-        coded = parts.filter(pa.array(~is_first)).dictionary_encode()  # all but the first begin with a space
+        coded = parts.filter(pa.array(~is_first)).dictionary_encode()  # all but the first begin with a space or a line end
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = self.known.of(words)
         ids = pa.array([known[w] for w in words], pa.binary()).take(coded.indices)
@@ -161,10 +196,29 @@ class TextEncoder:
         return [f + data[a:b] for f, (a, b) in zip(firsts, pairwise(at), strict=True)]
 
     def _learn(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        return zip(words, self._learn_spaced([f" {w}" for w in words]), strict=True)
+        found = [_TWO_PIECES.fullmatch(w) for w in words] if self.in_pieces else [None] * len(words)
+        others = [w for w, m in zip(words, found, strict=True) if m is None]
+        yield from zip(others, self._learn_spaced([w if w[:1] == "\n" and self.in_pieces else f" {w}" for w in others]), strict=True)
+        known, older, letters = self.known.recent, self.known.older, {}
+        for m in filter(None, found):
+            line_end, run, marks = m.groups()
+            key = line_end + run
+            ids = letters.get(key) or known.get(key) or older.get(key)
+            if ids is None:
+                piece = run if run.isascii() else run.translate(self.bytes_of)
+                ids = letters[key] = self.line_end + self._piece(piece) if line_end else self._piece(self.space + piece)
+            if marks:
+                letters[m.string] = ids + (self.marks.get(marks) or self._marks(marks))
+        yield from letters.items()
+
+    def _marks(self, marks: str) -> bytes:
+        if len(self.marks) >= CACHED_MARKS:
+            self.marks.clear()
+        self.marks[marks] = ids = self._piece(marks)
+        return ids
 
     def _learn_spaced(self, parts: list[str]) -> list[bytes]:
-        """Encode parts that begin with a space joined; halves where that fails."""
+        """Encode parts that begin with a space or a line end joined; halves where that fails."""
         if len(parts) <= 1:
             return self._encoded(parts)
         ids, first = spaced_ids(self.tokenizer, self.starts, parts)
@@ -192,7 +246,7 @@ class Fertility:
         self.hashes = word_hashes
         self.known = Cache(self._learn)
         size = self.pieces.get_piece_size()
-        self.starts = space_starts(byte_path)
+        self.starts = first_characters(byte_path, "Ġ")
         self.piece_starts = np.fromiter((self.pieces.id_to_piece(i).startswith("▁") for i in range(size)), bool, size)
         self.is_byte = np.fromiter((self.pieces.is_byte(i) for i in range(size)), bool, size)
 

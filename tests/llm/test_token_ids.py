@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -53,6 +54,38 @@ def test_parts_are_encoded_once():
     assert set(sent) == {"a"}
 
 
+def test_words_share_the_ids_of_their_letters():
+    """New words of letters and punctuation cost the tokenizer their new pieces, also behind a line end."""
+    encoder, sent = TextEncoder(PATH), []
+    model = encoder.model
+
+    class Counted:
+        def tokenize(self, piece):
+            sent.append(piece)
+            return model.tokenize(piece)
+
+    encoder.model = Counted()
+    texts = ["x Größe Größe, Größe.%%% Größe.\nGröße, it's 'Größe' Größe2 a-b", "y Größe!.\nGröße.%%%\n'tis Größe,", "z.\nGröße"]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.many(texts)] == [ids_of(t)[:-1] for t in texts]
+    assert sorted(sent) == sorted(["ĠGrÃ¶ÃŁe", "GrÃ¶ÃŁe", ",", ".", ".%%%", "!."])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("abß\u0141\u024f\u0250\u00aa\u00d7\u0301é's.,-_\n\n  \t\u0085\u00a0\u20281")), max_size=40))
+def test_pieces_equal_the_tokenizers(text):
+    assert np.frombuffer(TextEncoder(PATH).ids(text), "<u2").tolist() == ids_of(text)[:-1]
+
+
+def test_texts_come_to_python_in_small_batches(spark, tmp_path, monkeypatch):
+    def sizes(path):
+        return lambda batches: (pa.RecordBatch.from_pydict({"value": [f"{b.nbytes},".encode()]}) for b in batches)
+
+    monkeypatch.setattr(token_ids, "_payload", sizes)
+    token_ids.write_shards(spark.range(32).selectExpr("id as doc_id", "repeat('a ', 1 << 18) as text"), f"{tmp_path}/s")
+    found = [int(x) for f in glob.glob(f"{tmp_path}/s/part-*") for x in open(f, "rb").read().replace(b"\2\0", b"").split(b",") if x]
+    assert sum(found) > 16 << 20 and max(found) < 6 << 20
+
+
 def test_documents_read_back(spark):
     df = odd_documents(spark)
     rows = sorted(df.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
