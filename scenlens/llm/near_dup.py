@@ -11,9 +11,10 @@ coordinate with probability close to the sets' similarity, with the bounds of in
 probability (1 - 0.8^6)^48 < 5e-7. Within a bucket each member is compared on the full sets with the
 smallest one, its lead; the links found join classes to components. Members with one lead that are still in
 different components are then compared too, unless a link is impossible by their sizes or by bitmaps of
-``BITS`` slots: slots that only one set fills are elements that the other lacks. So a bucket of thousands of
-copies costs a comparison each, pairs that cannot link cost no row, no candidate is left out, and the
-components are those of all links between candidates.
+``BITS`` slots: slots that only one set fills are elements that the other lacks. The bitmaps of a lead's members
+meet in tiles of two blocks, each about ``TILE`` members that a hash deals out, so a hot lead is spread over
+tasks. So a bucket of thousands of copies costs a comparison each, pairs that cannot link cost no row, no
+candidate is left out, and the components are those of all links between candidates.
 
 Defined results: a text without words, or null, has an empty set, links with nothing and stays. A row
 without doc_id links with nothing, has a null component and stays. Rows with the same text are one class;
@@ -30,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from scenlens.llm.common import ship
+from scenlens.llm.common import partitions, ship
 from scenlens.llm.vocabularies import release
 from scenlens.llm.words import encoded, mix, window_hashes, word_hashes
 from scenlens.operators.joins import anti_join, inner_join, left_join
@@ -43,6 +44,7 @@ PERCENT = 80
 BROADCAST_IDS = 2_000_000  # 16 MB of ids
 ROW = "__row"
 BITS = 4096  # of the bitmap that bounds two sets' overlap
+TILE = 256  # members of one lead in a block
 
 _SEEDS = mix(np.arange(2 * T, dtype=np.uint64) + np.uint64(0xFA57))
 _BAND_SEEDS = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(0xBA2D))
@@ -50,6 +52,8 @@ _FREE = np.uint64(2**64 - 1)
 _LOW = np.uint64(0xFFFFFFFF)
 _SHIFT = np.uint64(32)
 _ELEMENTS = 1 << 18  # that one step of a sketch handles
+_MEET = 1 << 12  # pairs whose bitmaps are compared at once
+_FOUND = 1 << 16  # pairs that a task gathers before it hands them on
 
 
 def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -172,12 +176,11 @@ def _alike(n, m):
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
 
-def _pair(a, b):
-    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
-
-
 def may_overlap(bits_a, bits_b, n_a, n_b):
-    """An exact test that excludes pairs: a slot that only one set fills holds an element that the other lacks."""
+    """An exact test that excludes pairs: a slot that only one set fills holds an element that the other lacks.
+
+    In SQL, for single pairs; ``possible_pairs`` is the same test for the rows of a tile.
+    """
 
     def only(x, y):
         counts = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
@@ -187,30 +190,95 @@ def may_overlap(bits_a, bits_b, n_a, n_b):
     return both * 100 >= (n_a + n_b - both) * PERCENT
 
 
+def possible_pairs(n: np.ndarray, components: np.ndarray, bits: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of a tile, in different components and blocks (if it has two), that may be similar enough."""
+    wanted = np.triu(components[:, None] != components[None, :], 1)
+    if blocks.min() != blocks.max():
+        wanted &= blocks[:, None] != blocks[None, :]
+    wanted &= np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * PERCENT
+    x, y = np.nonzero(wanted)
+    filled = np.bitwise_count(bits).sum(1, dtype=np.int64)
+    good = np.zeros(len(x), bool)
+    for lo in range(0, len(x), _MEET):
+        a, b = x[lo : lo + _MEET], y[lo : lo + _MEET]
+        shared = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
+        both = np.minimum(n[a] - filled[a], n[b] - filled[b]) + shared
+        good[lo : lo + _MEET] = both * 100 >= (n[a] + n[b] - both) * PERCENT
+    return x[good], y[good]
+
+
+def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted tiles to the pairs of ids, the smaller one first, that may be similar enough."""
+    release()
+    key, parts = None, []  # of the tile at hand, which may go on in the next batch
+    found, n_found = [], 0
+
+    def compare() -> None:
+        nonlocal n_found
+        ids, *columns = (np.concatenate(c) for c in zip(*parts, strict=True))
+        x, y = possible_pairs(*columns)
+        found.append((np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])))
+        n_found += len(x)
+        parts.clear()
+
+    def flush() -> pa.RecordBatch:
+        nonlocal n_found
+        out = pa.RecordBatch.from_arrays([pa.array(np.concatenate(side), pa.int64()) for side in zip(*found, strict=True)], ["a", "b"])
+        found.clear()
+        n_found = 0
+        return out
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("lead", "i", "j")], 1)
+        ids, n, components, blocks = (batch.column(c).to_numpy() for c in ("id", "n", "component", "block"))
+        bits = batch.column("bitmap").flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+        for lo, hi in zip(starts, np.append(starts[1:], len(ids)), strict=True):
+            if parts and key != tuple(keys[lo]):
+                compare()
+                if n_found >= _FOUND:
+                    yield flush()
+            key = tuple(keys[lo])
+            parts.append([c[lo:hi] for c in (ids, n, components, bits, blocks)])
+    if parts:
+        compare()
+    if found:
+        yield flush()
+
+
 def lead_pairs(followers: DataFrame) -> DataFrame:
     """Each member with the least of its bucket, once."""
     pairs = followers.filter(_alike(F.col("lead_n"), F.col("n")))
     return pairs.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def mixed_groups(followers: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """(lead, id, n, component, bitmap) of the followers of leads that have some in different components."""
+def mixed_groups(followers: DataFrame, labels: DataFrame, classes: DataFrame, tile: int = TILE) -> DataFrame:
+    """(lead, id, n, component, blocks, bitmap) of the followers of leads that have some in different components."""
     rows = left_join(followers.select("lead", "id", "n").distinct(), labels, "id", spread=True)
-    mixed = rows.groupBy("lead").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    mixed = mixed.filter(F.col("c0") < F.col("c1")).select("lead", F.hash("lead").alias("spread"))
-    rows = rows.withColumn("spread", F.hash("lead")).join(mixed, ["lead", "spread"], "left_semi").drop("spread")
+    mixed = rows.groupBy("lead").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("size"))
+    blocks = F.ceil(F.col("size") / tile).alias("blocks")
+    mixed = mixed.filter(F.col("c0") < F.col("c1")).select("lead", F.hash("lead").alias("spread"), blocks)
+    rows = rows.withColumn("spread", F.hash("lead")).join(mixed, ["lead", "spread"]).drop("spread")
     bits = classes.select("id", "bitmap").dropDuplicates(["id"])
-    return staged(left_join(rows, bits, "id", spread=True).select("lead", "id", "n", "component", "bitmap"), "mixed_groups")
+    return staged(left_join(rows, bits, "id", spread=True).select("lead", "id", "n", "component", "blocks", "bitmap"), "mixed_groups")
+
+
+def member_tiles(rows: DataFrame) -> DataFrame:
+    """(lead, i, j, block, id, n, component, bitmap): the followers of every tile; i and j are the blocks that meet there."""
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    meeting = rows.select("lead", block, other, "id", "n", "component", "bitmap")
+    return meeting.select("lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n", "component", "bitmap")
 
 
 def cross_pairs(rows: DataFrame) -> DataFrame:
     """All pairs of followers of one lead in different components that may be similar, once."""
-    names = ("id", "n", "component", "bitmap")
-    left, right = (rows.select("lead", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
-    apart = F.col("component_a") < F.col("component_b")
-    may = may_overlap(F.col("bitmap_a"), F.col("bitmap_b"), F.col("n_a"), F.col("n_b"))
-    joined = left.join(right, (left["lead"] == right["lead"]) & apart & _alike(F.col("n_a"), F.col("n_b")) & may)
-    return joined.select(*_pair(F.col("id_a"), F.col("id_b"))).distinct()
+    spark, key = rows.sparkSession, ["lead", "i", "j"]
+    ship(spark)
+    dealt = member_tiles(rows).repartition(partitions(spark), *key).sortWithinPartitions(*key)
+    return dealt.mapInArrow(_tile_pairs, "a long, b long").distinct()
 
 
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -114,6 +114,39 @@ def test_bitmaps_exclude_no_similar_pair(spark):
     assert all(r.may for r in got if r.j >= 0.8) and not any(r.may for r in got if r.j < 0.5 and r.n < 1000)
 
 
+@pytest.mark.parametrize("batch", [7, 10000])
+def test_members_of_leads_meet_in_tiles(spark, batch):
+    """A hot lead among small ones: the pairs are those that SQL finds one by one, and no tile holds the lead."""
+    from pyspark.sql import functions as F
+
+    from scenlens.llm.common import settings
+
+    rng = np.random.default_rng(8)
+    rows = []
+    for lead, size in [(0, 300), *((k, 2 + k % 5) for k in range(1, 30))]:
+        base = rng.integers(0, 2**63, 120).astype(np.uint64) * np.uint64(2)
+        for k in range(size):
+            other = base.copy()
+            changed = int(rng.integers(0, 30))
+            other[:changed] = rng.integers(0, 2**63, changed).astype(np.uint64)
+            other = np.unique(other[int(rng.integers(0, 30)) :])
+            rows.append((lead, 1000 * (k % 7) + 10 * k + lead, len(other), int(rng.integers(0, 40)), near_dup.bitmap(other).tolist()))
+    followers = spark.createDataFrame([r[:3] for r in rows], "lead long, id long, n long")
+    known = spark.createDataFrame(list({r[1]: (r[1], r[3], r[4]) for r in rows}.values()), "id long, component long, bitmap array<long>")
+    groups = near_dup.mixed_groups(followers, known.drop("bitmap"), known.drop("component"), tile=16)
+    left, right = (groups.drop("blocks").toDF("lead", *(f"{c}_{s}" for c in ("id", "n", "component", "bits"))) for s in "ab")
+    n = F.col("n_a"), F.col("n_b")
+    may = near_dup.may_overlap(F.col("bits_a"), F.col("bits_b"), *n) & (F.least(*n) * 100 >= F.greatest(*n) * near_dup.PERCENT)
+    want = left.join(right, "lead").filter((F.col("id_a") < F.col("id_b")) & (F.col("component_a") != F.col("component_b")) & may)
+    want = {tuple(r) for r in want.select("id_a", "id_b").collect()}
+    with settings(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": batch}):
+        crossed = near_dup.cross_pairs(groups)
+        got = [tuple(r) for r in crossed.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 1000
+    assert max(r["count"] for r in near_dup.member_tiles(groups).groupBy("lead", "i", "j").count().collect()) < 100
+    assert "Join" not in crossed._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 102), (101, 102)], "a long, b long")
     got = {r.node: r.component for r in near_dup.components(edges).collect()}
